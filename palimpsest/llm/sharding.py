@@ -21,28 +21,16 @@ PRIME = 2_147_483_647  # products of two residues stay within a signed 64-bit nu
 WALK = 64  # more steps than a cycle has outside for n <= 4096; beyond, outside is rarer than 1/64 a step
 
 
-def _mix(x: Column, key: int) -> Column:
+def _mix(x: Column, key: Column | int) -> Column:
     """A keyed hash of x in [0, PRIME); sums and products below 2^62 only, so any engine can repeat it."""
     y = (x % PRIME * (key * 48_271 % 1_000_003 + 7_919) + (key * 69_621 + 12_345)) % PRIME
-    y = (y * y + key * 40_692 + 1) % PRIME
+    y = (y * y + (key * 40_692 + 1)) % PRIME
     y = y.bitwiseXOR(F.shiftright(y, 15))
     return (y * 1_103_515_245 + key) % PRIME
 
 
-def feistel(x: Column, a: int, b: int, seed: int, rounds: int = ROUNDS) -> Column:
-    """A bijection of [0, a*b): x = left * b + right, each round adds a hash of one half to the other."""
-
-    def rounded(k: int):
-        key = seed * 131 + k + 1
-        if k % 2:
-            return lambda p: F.struct(p["l"].alias("l"), ((p["r"] + _mix(p["l"], key)) % b).alias("r"))
-        return lambda p: F.struct(((p["l"] + _mix(p["r"], key)) % a).alias("l"), p["r"].alias("r"))
-
-    # A let-binding per round (transform over one element) keeps the expression linear in the rounds.
-    state = F.array(F.struct(F.floor(x / b).cast("long").alias("l"), (x % b).alias("r")))
-    for k in range(rounds):
-        state = F.transform(state, rounded(k))
-    return state[0]["l"] * b + state[0]["r"]
+def _key(seed: int, k: Column | int) -> Column | int:
+    return k % ROUNDS + (seed * 131 + 1)
 
 
 def moduli(n: int) -> tuple[int, int]:
@@ -50,13 +38,28 @@ def moduli(n: int) -> tuple[int, int]:
     return a, max(1, -(-n // a))
 
 
-def permuted(x: Column, n: int, seed: int = 42) -> Column:
-    """The place of row number x in [0, n) after the shuffle (cycle walking)."""
+def permuted(df: DataFrame, x: str, n: int, seed: int = 42) -> DataFrame:
+    """``df`` with ``place``, where row number ``x`` in [0, n) comes to stand.
+
+    x = left * b + right; each round adds a keyed hash of one half to the other, which is a
+    bijection of [0, a * b). The first pass is plain columns; the few numbers outside walk on.
+    """
     a, b = moduli(n)
-    first = feistel(x, a, b, seed)
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda acc, _: F.when(acc < n, acc).otherwise(feistel(acc, a, b, seed)))
-    inside = F.when(first < n, first).otherwise(walk)
-    return inside if n <= 4096 else F.when(inside < n, inside).otherwise(F.raise_error(F.lit("the permutation needs more steps")).cast("long"))
+    d = df.withColumns({"l": F.floor(F.col(x) / b).cast("long"), "r": F.col(x) % b})
+    for k in range(ROUNDS):
+        moved, other, size = ("r", "l", b) if k % 2 else ("l", "r", a)
+        d = d.withColumn(moved, (F.col(moved) + _mix(F.col(other), F.lit(_key(seed, k)))) % size)
+
+    def step(s: Column, k: Column) -> Column:
+        done = s["done"] | ((k % ROUNDS == 0) & (s["l"] * b + s["r"] < n))
+        left = F.when(done | (k % 2 == 1), s["l"]).otherwise((s["l"] + _mix(s["r"], _key(seed, k))) % a)
+        right = F.when(done | (k % 2 == 0), s["r"]).otherwise((s["r"] + _mix(s["l"], _key(seed, k))) % b)
+        return F.struct(left.alias("l"), right.alias("r"), done.alias("done"))
+
+    walk = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS * WALK)), F.struct("l", "r", F.lit(False).alias("done")), step, lambda s: F.when(s["done"], s["l"] * b + s["r"]))
+    first = F.col("l") * b + F.col("r")
+    lost = F.raise_error(F.lit("the permutation needs more steps")).cast("long")
+    return d.withColumn("place", F.when(first < n, first).otherwise(F.coalesce(walk, lost))).drop("l", "r")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -84,8 +87,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 42) -> DataFrame:
     repeated ids are rows like any others, extra columns are ignored, an empty table gives no rows.
     """
     d = staged(numbered(docs), "rows")
-    place = permuted(F.col("row_number"), d.count(), seed)
-    return d.withColumn("place", place).select(
+    return permuted(d, "row_number", d.count(), seed).select(
         "doc_id",
         "size",
         "text_crc32",
