@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import audio, bpe, packing, quality_rules, sharding
+from palimpsest.llm import audio, bpe, packing, pu_quality, quality_rules, sharding, toxicity
 from palimpsest.llm.common import read_table
 
 
@@ -14,11 +14,17 @@ def _documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSes
     return lambda spark, sf_dir: operator(read_table(spark, sf_dir, "documents"))
 
 
+def _labelled(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _documents(packing.pack),
+    "op2_toxicity": _labelled(toxicity.score),
     "op3_bpe_tree": _documents(bpe.encode_decode),
     "op4_feistel_shards": _documents(sharding.shard),
     "op6_telephony": _documents(audio.telephony),
+    "op8_pu_quality": _labelled(pu_quality.score),
     "op9_quality_rules": _documents(quality_rules.report),
 }
 
