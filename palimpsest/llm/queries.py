@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import audio, bpe, packing, pu_quality, quality_rules, sharding, toxicity
+from palimpsest.llm import audio, bpe, ngram_join, packing, pu_quality, quality_rules, sharding, toxicity
 from palimpsest.llm.common import read_table
 
 
@@ -24,8 +24,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_tree": _documents(bpe.encode_decode),
     "op4_feistel_shards": _documents(sharding.shard),
     "op6_telephony": _documents(audio.telephony),
+    "op7_ngram_jaccard": _documents(ngram_join.near_duplicates),
     "op8_pu_quality": _labelled(pu_quality.score),
     "op9_quality_rules": _documents(quality_rules.report),
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_quality_rules": quality_rules.SQL}
+ORACLE_SQL: dict[str, str] = {"op7_ngram_jaccard": ngram_join.SQL, "op9_quality_rules": quality_rules.SQL}
