@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import audio, bpe, ngram_join, packing, pu_quality, quality_rules, sharding, toxicity
+from palimpsest.llm import audio, bpe, ngram_join, packing, pii, pu_quality, quality_rules, sharding, toxicity
 from palimpsest.llm.common import read_table
 
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": _labelled(toxicity.score),
     "op3_bpe_tree": _documents(bpe.encode_decode),
     "op4_feistel_shards": _documents(sharding.shard),
+    "op5_weak_pii": _documents(pii.find),
     "op6_telephony": _documents(audio.telephony),
     "op7_ngram_jaccard": _documents(ngram_join.near_duplicates),
     "op8_pu_quality": _labelled(pu_quality.score),
