@@ -30,6 +30,7 @@ KINDS = (*PATTERNS, "secret")
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 CONTEXT = 24  # characters before a span that a labeler or the classifier looks at
 ACCEPT = 0.5
+BLOCK = 64  # matches that are summed together when positions are computed
 
 #: Fixed values of the labelers: words that announce a secret, and openings of keys.
 ANNOUNCE = r"(?i)(?:passwor[dt]|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)"
@@ -43,19 +44,34 @@ def spans(text: Column, kind: str) -> Column:
 
 
 def _located(text: Column, pattern: str, needed: Column) -> Column:
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
+    def bound(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once: a transform over one element."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
     def placed(values: Column) -> Column:
-        between = F.transform(F.split(text, pattern, -1), F.length)  # what lies before, between and after the matches
-        start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+        """Prefix sums of the lengths before and of the matches, in blocks: near-linear in the number of matches."""
+        n, add = F.size(values), lambda a, x: a + x
+
+        def with_gaps(gaps: Column) -> Column:
+            steps = F.transform(values, lambda v, k: F.get(gaps, k) + F.length(v))
+            return bound(steps, lambda steps: with_steps(gaps, steps))
+
+        def with_steps(gaps: Column, steps: Column) -> Column:
+            sums = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), lambda b: F.aggregate(F.slice(steps, b * BLOCK + 1, F.lit(BLOCK)), F.lit(0), add))
+            firsts = F.aggregate(sums, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out")), lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
+            return bound(firsts, lambda firsts: with_firsts(gaps, steps, firsts))
+
+        def with_firsts(gaps: Column, steps: Column, firsts: Column) -> Column:
+            def one(v: Column, k: Column) -> Column:
+                block = F.floor(k / BLOCK).cast("int")
+                start = F.get(firsts, block) + F.aggregate(F.slice(steps, block * BLOCK + 1, k % BLOCK), F.lit(0), add) + F.get(gaps, k)
+                return F.struct(start.alias("start"), (start + F.length(v)).alias("end"), v.alias("value"))
 
-        def step(acc: Column, k: Column) -> Column:
-            begin, value = acc["at"] + F.get(between, k), F.get(values, k)
-            end = begin + F.length(value)
-            return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(begin.alias("start"), end.alias("end"), value.alias("value"))).alias("out"))
+            return F.transform(values, one)
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(values) - 1), start, step, lambda acc: acc["out"])
+        return bound(F.transform(F.split(text, pattern, -1), F.length), with_gaps)
 
     # The one-element transform binds the matches, so that they are looked for once.
     return F.when(needed, F.get(F.transform(F.array(found), lambda v: F.when(F.size(v) > 0, placed(v))), F.lit(0)))
@@ -180,7 +196,7 @@ def classifier(found: DataFrame) -> dict[str, float]:
         return {"": -30.0}
     posterior, _ = reliabilities(histogram)
     odds = F.create_map(*(F.lit(x) for p, v in posterior.items() for x in (p, v)))
-    weighted = c.groupBy("votes", F.explode("features").alias("feature")).agg(F.count("*").alias("n")).withColumn("p", odds[F.col("votes")])
+    weighted = c.select("votes", F.explode("features").alias("feature")).groupBy("votes", "feature").agg(F.count("*").alias("n")).withColumn("p", odds[F.col("votes")])
     rows = weighted.groupBy("feature").agg(F.sum(F.col("n") * F.col("p")).alias("yes"), F.sum(F.col("n") * (1 - F.col("p"))).alias("no")).collect()
     yes, no = (sum(histogram[p] * (v if c else 1 - v) for p, v in posterior.items()) for c in (1, 0))
     out = {r.feature: math.log((r.yes + 0.5) / (yes + 1)) - math.log((r.no + 0.5) / (no + 1)) for r in rows}

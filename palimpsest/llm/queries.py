@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import audio, bpe, ngram_join, packing, pii, pu_quality, quality_rules, sharding, toxicity
+from palimpsest.llm import audio, bpe, lattice_lm, ngram_join, packing, pii, pu_quality, quality_rules, sharding, toxicity
 from palimpsest.llm.common import read_table
 
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_jaccard": _documents(ngram_join.near_duplicates),
     "op8_pu_quality": _labelled(pu_quality.score),
     "op9_quality_rules": _documents(quality_rules.report),
+    "op10_lattice_lm": _documents(lattice_lm.score),
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_ngram_jaccard": ngram_join.SQL, "op9_quality_rules": quality_rules.SQL}
