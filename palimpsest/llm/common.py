@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -43,6 +43,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row: a transform over one element.
+
+    Unlike a column of its own, it stays so when the optimizer moves the expression into a filter.
+    """
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def id_crc(doc_id: Column) -> Column:
     """crc32 of an id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import staged
+from palimpsest.llm.common import bound, staged
 
 #: The base patterns, written so that they scan long runs once: possessive loops, and starts inside a
 #: run only right after a match (\G), as leftmost non-overlapping matching has it. A card run is matched
@@ -46,10 +46,6 @@ def spans(text: Column, kind: str) -> Column:
 def _located(text: Column, pattern: str, needed: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def bound(value: Column, use) -> Column:
-        """``use(value)`` with the value computed once: a transform over one element."""
-        return F.get(F.transform(F.array(value), use), F.lit(0))
-
     def placed(values: Column) -> Column:
         """Prefix sums of the lengths before and of the matches, in blocks: near-linear in the number of matches."""
         n, add = F.size(values), lambda a, x: a + x
@@ -240,8 +236,8 @@ def _count(kind: int) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one, named by the first. Null texts stay null."""
     d = docs.select(F.struct(*docs.columns).alias("__row"), F.coalesce("text", F.lit("")).alias("text"))
-    weights = classifier(staged(located(d).select("candidates"), "candidates"))
-    d = decided(located(d.withColumn("__text", F.col("text")), "__row", "__text"), weights)
+    found = staged(located(d, "__row"), "located")
+    d = decided(found.withColumn("__text", F.coalesce("__row.text", F.lit(""))), classifier(found))
     names = F.array(*map(F.lit, KINDS))
     begin = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import SPACES, staged
+from palimpsest.llm.common import SPACES, bound, staged
 
 SAMPLE = 2_000  # rows on which the rules are timed
 SYMBOLS = "#*$%&|<>"
@@ -23,91 +24,91 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def lines(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+
+
+def word_chars(text: Column) -> Column:
+    return F.length(F.translate(text, SPACES, "")).cast("long")
+
+
+def n_symbols(text: Column) -> Column:
+    return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
+
+
+def n_dup_lines(text: Column) -> Column:
+    return bound(lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
+
+
 def n_repeat_words(w: Column) -> Column:
     """Words in 3-word windows that the text has twice or more; each word counts once."""
-    n = F.size(w)
-    at = F.sequence(F.lit(0), n - 3)
-    window = F.transform(at, lambda k: F.struct(F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2)).alias("h"), k.alias("k")))
-    # Sorted by hash, equal windows are neighbours; the binding keeps the sort from being repeated.
-    ranked = F.array(F.array_sort(window))
+
+    def ranked(w: Column) -> Column:
+        """Windows sorted by hash, so that equal ones are neighbours."""
+        at = F.sequence(F.lit(0), F.size(w) - 3)
+        return F.array_sort(F.transform(at, lambda k: F.struct(F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2)).alias("h"), k.alias("k"))))
 
     def covered(s: Column) -> Column:
         own = lambda k: F.get(s, k)["h"]
-        twice = F.filter(F.transform(F.sequence(F.lit(0), F.size(s) - 1), lambda k: F.when((own(k) == own(k - 1)) | (own(k) == own(k + 1)), F.get(s, k)["k"])), lambda k: k.isNotNull())
-        return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda k: F.array(k, k + 1, k + 2)))))
+        twice = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda k: (own(k) == own(k - 1)) | (own(k) == own(k + 1)))
+        return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda k: F.array(F.get(s, k)["k"], F.get(s, k)["k"] + 1, F.get(s, k)["k"] + 2)))))
 
-    return F.when(n < 4, F.lit(0)).otherwise(F.get(F.transform(ranked, covered), F.lit(0))).cast("long")
+    return bound(w, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(bound(ranked(w), covered))).cast("long")
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines (all long), under a prefix."""
-    text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    d = docs.withColumns({"m_words": words(text), "m_lines": lines})
-    return d.withColumns(
-        {
-            "m_n_words": F.size("m_words").cast("long"),
-            "m_word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-            "m_n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-            "m_n_lines": F.size("m_lines").cast("long"),
-            "m_n_dup_lines": (F.size("m_lines") - F.size(F.array_distinct("m_lines"))).cast("long"),
-            "m_n_repeat_words": n_repeat_words(F.col("m_words")),
-        }
-    ).drop("m_words", "m_lines")
-
-
-#: name -> what it rejects. The first two are the base rules.
-RULES: dict[str, Callable[[], Column]] = {
-    "few_words": lambda: F.col("m_n_words") < 50,
-    "repeated_windows": lambda: 100 * F.col("m_n_repeat_words") > 50 * F.col("m_n_words"),
-    "symbols": lambda: 100 * F.col("m_n_symbols") > 10 * F.col("m_word_chars"),
-    "repeated_lines": lambda: 100 * F.col("m_n_dup_lines") > 50 * F.col("m_n_lines"),
-    "long_words": lambda: F.col("m_word_chars") > 40 * F.col("m_n_words"),
-    "short_words": lambda: 10 * F.col("m_word_chars") < 15 * F.col("m_n_words"),
+#: name -> what it rejects, from the text and its words. The first two are the base rules.
+RULES: dict[str, Callable[[Column, Column], Column]] = {
+    "few_words": lambda text, w: F.size(w) < 50,
+    "repeated_windows": lambda text, w: 100 * n_repeat_words(w) > 50 * F.size(w),
+    "symbols": lambda text, w: 100 * n_symbols(text) > 10 * word_chars(text),
+    "repeated_lines": lambda text, w: bound(lines(text), lambda x: 100 * (F.size(x) - F.size(F.array_distinct(x))) > 50 * F.size(x)),
+    "long_words": lambda text, w: word_chars(text) > 40 * F.size(w),
+    "short_words": lambda text, w: 10 * word_chars(text) < 15 * F.size(w),
 }
 BASE = ("few_words", "repeated_windows")
 
 
+def cascade(text: Column, w: Column, order: list[str]) -> Column:
+    """The first rule that rejects, or null: CASE computes a rule only where those before it pass."""
+    out = None
+    for name in order:
+        out = (out.when if out is not None else F.when)(RULES[name](text, w), F.lit(name))
+    return out.otherwise(F.lit(None).cast("string"))
+
+
 def ordered(docs: DataFrame, sample: int = SAMPLE, seconds: Callable[[], float] = time.perf_counter) -> list[tuple[str, float, float]]:
     """(rule, seconds on the sample, share rejected), in cascade order: rejections per second, descending."""
     held = staged(docs.select("text").orderBy(F.xxhash64("text")).limit(sample), "rules-sample")
+    text = F.coalesce("text", F.lit(""))
     n = max(1, held.count())
     found = []
     for name, rule in RULES.items():
         began = seconds()
-        rejected = measures(held).agg(F.sum(rule().cast("long"))).collect()[0][0] or 0
+        rejected = held.agg(F.sum(bound(words(text), partial(rule, text)).cast("long"))).first()[0] or 0
         found.append((name, max(1e-9, seconds() - began), rejected / n))
     return sorted(found, key=lambda x: (-x[2] / x[1], x[0]))
 
 
-def cascade(order: list[str]) -> Column:
-    """The first rule that rejects, or null: CASE stops at the first true branch."""
-    out = None
-    for name in order:
-        out = F.when(RULES[name](), F.lit(name)) if out is None else out.when(RULES[name](), F.lit(name))
-    return out.otherwise(F.lit(None).cast("string"))
-
-
-def assess(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """``docs`` with the measures (prefix m_), base_failed, kept and rejected_by (null where kept).
+def keep(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` that pass all rules, with the columns they came with.
 
-    A null text has no words and fails the base rule, as an empty one does. Every row gets a verdict
-    of its own, so ties and repeated rows change nothing; columns of ``docs`` that clash with an added
-    name are replaced; an empty table gives no rows. ``order`` skips the sampling.
+    A null text has no words and is rejected, as an empty one is. Every row gets a verdict of its own,
+    so ties and repeated rows change nothing; an empty table gives no rows. ``order`` skips the sampling.
     """
     order = order or [name for name, _, _ in ordered(docs)]
-    failed = RULES[BASE[0]]() | RULES[BASE[1]]()
-    return measures(docs).withColumns({"base_failed": failed, "rejected_by": cascade(order)}).withColumn("kept", F.col("rejected_by").isNull())
-
-
-def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass all rules, with the columns they came with."""
-    return assess(docs).filter("kept").select(*docs.columns)
+    text = F.coalesce("text", F.lit(""))
+    return docs.filter(bound(words(text), lambda w: cascade(text, w, order).isNull()))
 
 
-def report(docs: DataFrame) -> DataFrame:
-    found = assess(docs)
-    return found.select("doc_id", *(F.col(f"m_{x}").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "base_failed", "kept")
+def report(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """doc_id, the base measures, base_failed and kept of every row; see keep()."""
+    order = order or [name for name, _, _ in ordered(docs)]
+    rest = [name for name in order if name not in BASE]
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("w", words(F.col("text")))
+    text, w = F.col("text"), F.col("w")
+    d = d.select("doc_id", "text", "w", F.size(w).cast("long").alias("n_words"), word_chars(text).alias("word_chars"), n_symbols(text).alias("n_symbols"), n_dup_lines(text).alias("n_dup_lines"), n_repeat_words(w).alias("n_repeat_words"))
+    d = d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    return d.withColumn("kept", ~F.col("base_failed") & cascade(text, w, rest).isNull()).drop("text", "w")
 
 
 SQL = r"""
