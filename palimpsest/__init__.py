@@ -1,0 +1 @@
+"""A versioned-record mirror engine on Spark DataFrames."""
