@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import SPACES, bound, staged
 
-SAMPLE = 2_000  # rows on which the rules are timed
+SAMPLE = 500  # rows on which the rules are timed
 SYMBOLS = "#*$%&|<>"
 
 
@@ -46,7 +46,7 @@ def n_repeat_words(w: Column) -> Column:
     def ranked(w: Column) -> Column:
         """Windows sorted by hash, so that equal ones are neighbours."""
         at = F.sequence(F.lit(0), F.size(w) - 3)
-        return F.array_sort(F.transform(at, lambda k: F.struct(F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2)).alias("h"), k.alias("k"))))
+        return F.sort_array(F.transform(at, lambda k: F.struct(F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2)).alias("h"), k.alias("k"))))
 
     def covered(s: Column) -> Column:
         own = lambda k: F.get(s, k)["h"]
@@ -104,11 +104,16 @@ def report(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     """doc_id, the base measures, base_failed and kept of every row; see keep()."""
     order = order or [name for name, _, _ in ordered(docs)]
     rest = [name for name in order if name not in BASE]
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("w", words(F.col("text")))
-    text, w = F.col("text"), F.col("w")
-    d = d.select("doc_id", "text", "w", F.size(w).cast("long").alias("n_words"), word_chars(text).alias("word_chars"), n_symbols(text).alias("n_symbols"), n_dup_lines(text).alias("n_dup_lines"), n_repeat_words(w).alias("n_repeat_words"))
-    d = d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return d.withColumn("kept", ~F.col("base_failed") & cascade(text, w, rest).isNull()).drop("text", "w")
+    text = F.coalesce("text", F.lit(""))
+
+    def judged(w: Column, repeats: Column) -> Column:
+        failed = (F.size(w) < 50) | (100 * repeats > 50 * F.size(w))
+        kept = F.when(failed, False).otherwise(cascade(text, w, rest).isNull())
+        return F.struct(F.size(w).cast("long").alias("n_words"), repeats.alias("n_repeat_words"), failed.alias("base_failed"), kept.alias("kept"))
+
+    one = bound(words(text), lambda w: bound(n_repeat_words(w), lambda repeats: judged(w, repeats)))
+    d = docs.select("doc_id", word_chars(text).alias("word_chars"), n_symbols(text).alias("n_symbols"), n_dup_lines(text).alias("n_dup_lines"), one.alias("m"))
+    return d.select("doc_id", "m.n_words", "word_chars", "n_symbols", "n_dup_lines", "m.n_repeat_words", "m.base_failed", "m.kept")
 
 
 SQL = r"""
