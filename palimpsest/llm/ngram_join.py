@@ -25,6 +25,7 @@ PERCENT = 75  # similarity of 0.75 or more, in hundredths
 HEAVY = 131_072  # frequent n-grams that come last in the order, at most; any order gives the same links
 LOCAL = 3  # documents of one batch that have an n-gram, for it to count as frequent there
 BITMAP = 1 << 26  # bits; past its size it lets more n-grams through, never fewer
+CELLS = 256  # cells of a set's profile for the suffix filter
 ROUNDS = 6  # leader rounds at most; what they leave open is joined in full
 
 #: A-Z to a-z, and each separator to a blank.
@@ -73,6 +74,12 @@ def _node(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _profile(s: np.ndarray) -> bytes | None:
+    """How many members fall in each cell of the hash space; none where one has more than a byte holds."""
+    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+    return n.astype(np.uint8).tobytes() if n.max(initial=0) < 256 else None
+
+
 def _quarters(s: np.ndarray) -> int:
     """How many members fall in each quarter of the hash space, 16 bits each; -1 where one has too many."""
     n = np.bincount((s >> np.uint64(62)).astype(np.int64), minlength=4).tolist()
@@ -89,11 +96,11 @@ def _distinct(batch: pa.RecordBatch, text: int) -> Iterator[tuple[int, np.ndarra
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """kind 0: doc_id, n, node, quarters of each row; kind 1: n-grams (as node) that many documents of a batch have, and their count n."""
-    names = ["kind", "doc_id", "n", "node", "quarters"]
+    """kind 0: doc_id, n, node, profile of each row; kind 1: n-grams (as node) that many documents of a batch have, and their count n."""
+    names = ["kind", "doc_id", "n", "node", "profile"]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, 16_000_000):
+        for batch in slices(batches, 1, 8_000_000):
             known: dict[str, tuple] = {}
             sets: dict[int, np.ndarray] = {}
             rows = []
@@ -101,15 +108,16 @@ def described(docs: DataFrame) -> DataFrame:
                 if t not in known:
                     s = shingles(t)
                     node = _node(s)
-                    known[t] = (len(s), node if len(s) else None, _quarters(s))
+                    known[t] = (len(s), node if len(s) else None, _profile(s) if len(s) else None)
                     sets[node] = s
                 rows.append((0, doc_id, *known[t]))
             gram, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
             often = n >= LOCAL
-            rows += [(1, None, int(c), int(g), 0) for g, c in zip(gram[often].view(np.int64).tolist(), n[often].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+            rows += [(1, None, int(c), int(g), None) for g, c in zip(gram[often].view(np.int64).tolist(), n[often].tolist())]
+            types = [*[pa.int64()] * 4, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(made, "kind long, doc_id long, n long, node long, quarters long")
+    return docs.select("doc_id", "text").mapInArrow(made, "kind long, doc_id long, n long, node long, profile binary")
 
 
 class Order:
@@ -131,8 +139,8 @@ class Order:
 
 
 def prefixes(docs: DataFrame, order: Order, percent: int, only: np.ndarray | None = None) -> DataFrame:
-    """gram, node, n, pos, quarters of the prefixes; without ``only``, the gram's place in the bitmap alone (bit)."""
-    bits = np.uint64(BITMAP - 1)
+    """gram, node, n, pos, quarters of the prefixes; without ``only``, 31 bits of the grams alone (bit)."""
+    bits = BITMAP - 1
     schema = "bit int" if only is None else "gram long, node long, n int, pos int, quarters long"
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,11 +154,11 @@ def prefixes(docs: DataFrame, order: Order, percent: int, only: np.ndarray | Non
                 if len(seen) < 1_000_000:
                     seen.add(node)
                 p = order.prefix(s, percent)
-                bit = (p & bits).astype(np.int32)
+                bit = (p & np.uint64((1 << 31) - 1)).astype(np.int32)
                 if only is None:
                     parts.append(bit)
                     continue
-                at = np.flatnonzero(only[bit >> 3] >> (bit & 7) & 1)
+                at = np.flatnonzero(only[(bit & bits) >> 3] >> (bit & 7) & 1)
                 if len(at):
                     parts.append((p[at].view(np.int64), np.full(len(at), node), np.full(len(at), len(s)), at, np.full(len(at), _quarters(s))))
             if not parts:
@@ -211,6 +219,26 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def profiled(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose profiles allow enough common n-grams: no cell can have more in common than its smaller count."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    own = nodes.join(ends, "node", "left_semi").select("node", "n", "profile").dropDuplicates(["node"])
+    p = pairs.join(own.withColumnsRenamed({"node": "a", "n": "an", "profile": "ap"}), "a").join(own.withColumnsRenamed({"node": "b", "n": "bn", "profile": "bp"}), "b")
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.ones(batch.num_rows, bool)
+            an, bn = (batch.column(k).to_numpy() for k in (2, 3))
+            ap, bp = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            at = [k for k in range(batch.num_rows) if ap[k] is not None and bp[k] is not None]
+            if at:
+                x, y = (np.frombuffer(b"".join(v[k] for k in at), np.uint8).reshape(-1, CELLS) for v in (ap, bp))
+                out[at] = np.minimum(x, y).sum(1, dtype=np.int64) * (100 + percent) >= percent * (an[at] + bn[at])
+            yield batch.select([0, 1]).filter(pa.array(out))
+
+    return p.select("a", "b", "an", "bn", "ap", "bp").mapInArrow(passed, "a long, b long")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
@@ -242,9 +270,9 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     found = staged(described(docs), "shingled")
     heavy = found.filter("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(HEAVY).collect()
     order = Order(np.array([r.node for r in heavy], np.int64).view(np.uint64), np.array([r.n for r in heavy], np.int64))
-    nodes = found.filter("kind = 0").select("doc_id", "n", "node")
+    nodes = found.filter("kind = 0").select("doc_id", "n", "node", "profile")
 
-    bits = prefixes(docs, order, percent).groupBy("bit").count().filter("count > 1")
+    bits = prefixes(docs, order, percent).groupBy("bit").count().filter("count > 1").select(F.col("bit").bitwiseAND(BITMAP - 1).alias("bit"))
     first = staged(prefixes(docs, order, percent, _bitmap(bits)).dropDuplicates(["gram", "node"]), "prefixes")
     several = first.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
     table = staged(first.join(several, "gram"), "shared-grams")
@@ -272,7 +300,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         pairs = pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
+        pairs = staged(profiled(pairs, nodes, percent), "pairs")
         new = staged(verified(docs, pairs, nodes, percent), "links")
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
@@ -293,7 +321,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     they link with one. Extra columns are ignored; an empty table gives no rows.
     """
     nodes, comp = link_components(docs, percent)
-    known = nodes.join(comp, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("comp"))
+    known = nodes.drop("profile").join(comp, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("comp"))
     known = staged(known, "known")
     least = known.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return known.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
