@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,38 +87,36 @@ def _quarters(s: np.ndarray) -> int:
     return -1 if max(n) >= 1 << 15 else sum(x << (15 * k) for k, x in enumerate(n))
 
 
-def _distinct(batch: pa.RecordBatch, text: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, n-grams) of the texts of a batch, each text once."""
-    seen = set()
-    for k, t in enumerate(texts_of(batch.column(text))):
-        if t not in seen:
-            seen.add(t)
-            yield k, shingles(t)
-
-
 def described(docs: DataFrame) -> DataFrame:
-    """kind 0: doc_id, n, node, profile of each row; kind 1: n-grams (as node) that many documents of a batch have, and their count n."""
-    names = ["kind", "doc_id", "n", "node", "profile"]
+    """kind 0: doc_id, n, node, profile of each row, and slot, grams where a batch meets a set first.
+
+    kind 1: n-grams (as node) that many documents of a batch have, and their count n. The texts are read here alone.
+    """
+    names = ["kind", "doc_id", "n", "node", "profile", "slot", "grams"]
+    types = [*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.binary()]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, 8_000_000):
+        slot = TaskContext.get().partitionId() << 33
+        for batch in slices(batches, 1):
             known: dict[str, tuple] = {}
             sets: dict[int, np.ndarray] = {}
             rows = []
             for doc_id, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                own = (None, None)
                 if t not in known:
                     s = shingles(t)
                     node = _node(s)
-                    known[t] = (len(s), node if len(s) else None, _profile(s) if len(s) else None)
+                    known[t] = (len(s), node, _profile(s)) if len(s) else (0, None, None)
+                    if len(s) and node not in sets:
+                        own, slot = (slot, s.tobytes()), slot + 1
                     sets[node] = s
-                rows.append((0, doc_id, *known[t]))
+                rows.append((0, doc_id, *known[t], *own))
             gram, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
             often = n >= LOCAL
-            rows += [(1, None, int(c), int(g), None) for g, c in zip(gram[often].view(np.int64).tolist(), n[often].tolist())]
-            types = [*[pa.int64()] * 4, pa.binary()]
+            rows += [(1, None, int(c), int(g), None, None, None) for g, c in zip(gram[often].view(np.int64).tolist(), n[often].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(made, "kind long, doc_id long, n long, node long, profile binary")
+    return docs.select("doc_id", "text").mapInArrow(made, "kind long, doc_id long, n long, node long, profile binary, slot long, grams binary")
 
 
 class Order:
@@ -138,19 +137,19 @@ class Order:
         return s[np.lexsort((s, weight))][:length]
 
 
-def prefixes(docs: DataFrame, order: Order, percent: int, only: np.ndarray | None = None) -> DataFrame:
+def prefixes(found: DataFrame, order: Order, percent: int, only: np.ndarray | None = None) -> DataFrame:
     """gram, node, n, pos, quarters of the prefixes; without ``only``, 31 bits of the grams alone (bit)."""
     bits = BITMAP - 1
     schema = "bit int" if only is None else "gram long, node long, n int, pos int, quarters long"
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 1):
             parts = []
-            for _, s in _distinct(batch, 0):
-                node = _node(s)
-                if node in seen or not len(s):  # copies are one node
+            for node, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if node in seen:  # copies are one node
                     continue
+                s = np.frombuffer(grams, np.uint64)
                 if len(seen) < 1_000_000:
                     seen.add(node)
                 p = order.prefix(s, percent)
@@ -170,7 +169,7 @@ def prefixes(docs: DataFrame, order: Order, percent: int, only: np.ndarray | Non
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["gram", "node", "n", "pos", "quarters"])
 
-    return docs.select("text").mapInArrow(made, schema)
+    return found.filter("slot is not null").select("node", "grams").mapInArrow(made, schema)
 
 
 def _bitmap(shared: DataFrame, size: int = BITMAP) -> np.ndarray:
@@ -239,30 +238,35 @@ def profiled(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return p.select("a", "b", "an", "bn", "ap", "bp").mapInArrow(passed, "a long, b long")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def verified(found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
+    stored = found.filter("slot is not null")
     wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
-    # One document stands for a node. A bitmap of their ids, 2^20 bits at any size, spares the join most texts.
-    rep = nodes.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    rep = staged(rep.withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)).cast("int")), "representatives")
-    bitmap = _bitmap(rep.select("bit").distinct(), 1 << 20)
+    # One stored set stands for a node. A bitmap of their slots, 2^20 bits at any size, spares the join most sets.
+    bit = F.pmod(F.xxhash64("slot"), F.lit(1 << 20)).cast("int").alias("bit")
+    chosen = stored.groupBy("node").agg(F.min("slot").alias("slot")).join(wanted, "node").select("slot", bit)
+    chosen = staged(chosen, "chosen")
+    bitmap = _bitmap(chosen.select("bit").distinct(), 1 << 20)
 
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = batch.column(2).to_numpy()
-            yield batch.filter(pa.array((bitmap[bit >> 3] >> (bit & 7) & 1).astype(bool)))
+            at = batch.column(3).to_numpy()
+            yield batch.select([0, 1, 2]).filter(pa.array((bitmap[at >> 3] >> (at & 7) & 1).astype(bool)))
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, 1_000_000):
-            sets = [shingles(t) for t in texts_of(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "grams"])
-
-    d = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)).cast("int").alias("bit")).mapInArrow(chosen, "doc_id long, text string, bit int")
-    own = d.join(rep.select("doc_id"), d.doc_id.eqNullSafe(rep.doc_id), "left_semi").select("text").mapInArrow(made, "node long, grams array<long>")
-    sets = staged(own.dropDuplicates(["node"]), "sets")
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = (x, y) if len(x) < len(y) else (y, x)
+                common = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+                out.append(common * (100 + percent) >= percent * (len(x) + len(y)))
+            yield batch.select([0, 1]).filter(pa.array(out, pa.bool_()))
+
+    own = stored.select("slot", "node", "grams", bit).mapInArrow(likely, "slot long, node long, grams binary")
+    sets = staged(own.join(chosen.select("slot"), "slot", "left_semi").select("node", "grams"), "sets")
     p = pairs.join(sets.withColumnsRenamed({"node": "a", "grams": "ga"}), "a").join(sets.withColumnsRenamed({"node": "b", "grams": "gb"}), "b")
-    common = F.size(F.array_intersect("ga", "gb"))
-    return p.filter(common * (100 + percent) >= percent * (F.size("ga") + F.size("gb"))).select("a", "b")
+    return p.select("a", "b", "ga", "gb").mapInArrow(linked, "a long, b long")
 
 
 def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -272,8 +276,8 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     order = Order(np.array([r.node for r in heavy], np.int64).view(np.uint64), np.array([r.n for r in heavy], np.int64))
     nodes = found.filter("kind = 0").select("doc_id", "n", "node", "profile")
 
-    bits = prefixes(docs, order, percent).groupBy("bit").count().filter("count > 1").select(F.col("bit").bitwiseAND(BITMAP - 1).alias("bit"))
-    first = staged(prefixes(docs, order, percent, _bitmap(bits)).dropDuplicates(["gram", "node"]), "prefixes")
+    bits = prefixes(found, order, percent).groupBy("bit").count().filter("count > 1").select(F.col("bit").bitwiseAND(BITMAP - 1).alias("bit"))
+    first = staged(prefixes(found, order, percent, _bitmap(bits)).dropDuplicates(["gram", "node"]), "prefixes")
     several = first.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
     table = staged(first.join(several, "gram"), "shared-grams")
 
@@ -301,7 +305,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(profiled(pairs, nodes, percent), "pairs")
-        new = staged(verified(docs, pairs, nodes, percent), "links")
+        new = staged(verified(found, pairs, percent), "links")
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
         comp = components(links)
