@@ -43,6 +43,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for path in {x.rpartition("/")[0] for x in df.inputFiles()}:
+            found = jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(conf).delete(found, True)
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once a row: a transform over one element.
 

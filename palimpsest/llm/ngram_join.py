@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import slices, staged, texts_of
+from palimpsest.llm.common import forget, slices, staged, texts_of
 
 WORDS = 5
 PERCENT = 75  # similarity of 0.75 or more, in hundredths
@@ -28,6 +28,7 @@ LOCAL = 3  # documents of one batch that have an n-gram, for it to count as freq
 BITMAP = 1 << 26  # bits; past its size it lets more n-grams through, never fewer
 CELLS = 256  # cells of a set's profile for the suffix filter
 ROUNDS = 6  # leader rounds at most; what they leave open is joined in full
+PROGRESS = 0.8  # a leader round that leaves more than this share of the open rows is the last one
 
 #: A-Z to a-z, and each separator to a blank.
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t\n\x0b\x0c\r", bytes(range(97, 123)) + b" " * 5)
@@ -213,8 +214,10 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("new"), F.col("comp").alias("far"))
         moved = staged(met.join(jump, "new", "left").select("node", "comp", F.least("new", F.coalesce("far", "new")).alias("new")), "labels")
         changed = moved.filter("comp <> new").limit(1).count()
+        forget(labels)
         labels = moved.select("node", F.col("new").alias("comp"))
         if not changed:
+            forget(both)
             return labels
 
 
@@ -239,7 +242,7 @@ def profiled(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def verified(found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+    """The pairs (a, b) whose whole sets link, staged; what was gathered for it is deleted."""
     stored = found.filter("slot is not null")
     wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
     # One stored set stands for a node. A bitmap of their slots, 2^20 bits at any size, spares the join most sets.
@@ -266,7 +269,9 @@ def verified(found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     own = stored.select("slot", "node", "grams", bit).mapInArrow(likely, "slot long, node long, grams binary")
     sets = staged(own.join(chosen.select("slot"), "slot", "left_semi").select("node", "grams"), "sets")
     p = pairs.join(sets.withColumnsRenamed({"node": "a", "grams": "ga"}), "a").join(sets.withColumnsRenamed({"node": "b", "grams": "gb"}), "b")
-    return p.select("a", "b", "ga", "gb").mapInArrow(linked, "a long, b long")
+    links = staged(p.select("a", "b", "ga", "gb").mapInArrow(linked, "a long, b long"), "links")
+    forget(wanted, chosen, sets)
+    return links
 
 
 def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -280,8 +285,9 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     first = staged(prefixes(found, order, percent, _bitmap(bits)).dropDuplicates(["gram", "node"]), "prefixes")
     several = first.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
     table = staged(first.join(several, "gram"), "shared-grams")
+    forget(first)
 
-    links, tried, comp = None, None, None
+    links, tried, comp, before = None, None, None, None
     for k in range(ROUNDS + 1):
         left = table.withColumn("comp", F.col("node")) if comp is None else table.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         mixed = left.groupBy("gram", "comp").agg(F.count("*").alias("c")).groupBy("gram").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
@@ -292,7 +298,8 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         if not open_pairs:
             break
         left = staged(left.join(mixed.select("gram"), "gram", "left_semi"), "open")
-        full = k == ROUNDS or (k > 0 and open_pairs <= 2 * size)
+        full = k == ROUNDS or (k > 0 and (open_pairs <= 2 * size or size > PROGRESS * before))
+        before = size
         if full:
             other = left
         else:
@@ -305,7 +312,8 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(profiled(pairs, nodes, percent), "pairs")
-        new = staged(verified(found, pairs, percent), "links")
+        forget(left)
+        new = verified(found, pairs, percent)
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
         comp = components(links)
