@@ -26,6 +26,7 @@ PERCENT = 75  # similarity of 0.75 or more, in hundredths
 HEAVY = 131_072  # frequent n-grams that come last in the order, at most; any order gives the same links
 LOCAL = 3  # documents of one batch that have an n-gram, for it to count as frequent there
 BITMAP = 1 << 26  # bits; past its size it lets more n-grams through, never fewer
+SLOTS = 1 << 23  # bits of the filter of the sets to verify; past its size it lets more through, never fewer
 CELLS = 256  # cells of a set's profile for the suffix filter
 ROUNDS = 6  # leader rounds at most; what they leave open is joined in full
 PROGRESS = 0.8  # a leader round that leaves more than this share of the open rows is the last one
@@ -71,6 +72,24 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+def _members(s: np.ndarray) -> np.ndarray:
+    """The upper 48 bits of the hashes, still in order.
+
+    Sets are stored and compared so. Two different n-grams of a pair of sets of n and m meet with probability n * m / 2^48.
+    """
+    return s >> np.uint64(16)
+
+
+def _packed(members: np.ndarray) -> bytes:
+    return members.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(data) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _node(s: np.ndarray) -> int:
     """64 bits for a set; with the set's size it names the node."""
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -78,13 +97,13 @@ def _node(s: np.ndarray) -> int:
 
 def _profile(s: np.ndarray) -> bytes | None:
     """How many members fall in each cell of the hash space; none where one has more than a byte holds."""
-    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+    n = np.bincount((s >> np.uint64(40)).astype(np.int64), minlength=CELLS)
     return n.astype(np.uint8).tobytes() if n.max(initial=0) < 256 else None
 
 
 def _quarters(s: np.ndarray) -> int:
     """How many members fall in each quarter of the hash space, 16 bits each; -1 where one has too many."""
-    n = np.bincount((s >> np.uint64(62)).astype(np.int64), minlength=4).tolist()
+    n = np.bincount((s >> np.uint64(46)).astype(np.int64), minlength=4).tolist()
     return -1 if max(n) >= 1 << 15 else sum(x << (15 * k) for k, x in enumerate(n))
 
 
@@ -106,10 +125,10 @@ def described(docs: DataFrame) -> DataFrame:
                 own = (None, None)
                 if t not in known:
                     s = shingles(t)
-                    node = _node(s)
+                    node, s = _node(s), _members(s)
                     known[t] = (len(s), node, _profile(s)) if len(s) else (0, None, None)
                     if len(s) and node not in sets:
-                        own, slot = (slot, s.tobytes()), slot + 1
+                        own, slot = (slot, _packed(s)), slot + 1
                     sets[node] = s
                 rows.append((0, doc_id, *known[t], *own))
             gram, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
@@ -150,7 +169,7 @@ def prefixes(found: DataFrame, order: Order, percent: int, only: np.ndarray | No
             for node, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if node in seen:  # copies are one node
                     continue
-                s = np.frombuffer(grams, np.uint64)
+                s = _unpacked(grams)
                 if len(seen) < 1_000_000:
                     seen.add(node)
                 p = order.prefix(s, percent)
@@ -245,30 +264,30 @@ def verified(found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link, staged; what was gathered for it is deleted."""
     stored = found.filter("slot is not null")
     wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
-    # One stored set stands for a node. A bitmap of their slots, 2^20 bits at any size, spares the join most sets.
-    bit = F.pmod(F.xxhash64("slot"), F.lit(1 << 20)).cast("int").alias("bit")
-    chosen = stored.groupBy("node").agg(F.min("slot").alias("slot")).join(wanted, "node").select("slot", bit)
-    chosen = staged(chosen, "chosen")
-    bitmap = _bitmap(chosen.select("bit").distinct(), 1 << 20)
+    # One stored set stands for a node. A bitmap of their slots, of fixed size, spares the joins most other sets.
+    bit = F.pmod(F.xxhash64("slot"), F.lit(SLOTS)).cast("int").alias("bit")
+    chosen = staged(stored.groupBy("node").agg(F.min("slot").alias("slot")).join(wanted, "node").select("node", "slot", bit), "chosen")
+    bitmap = _bitmap(chosen.select("bit").distinct(), SLOTS)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(3).to_numpy()
-            yield batch.select([0, 1, 2]).filter(pa.array((bitmap[at >> 3] >> (at & 7) & 1).astype(bool)))
+            at = batch.column(2).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array((bitmap[at >> 3] >> (at & 7) & 1).astype(bool)))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = _unpacked(x.as_buffer()), _unpacked(y.as_buffer())
                 x, y = (x, y) if len(x) < len(y) else (y, x)
                 common = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
                 out.append(common * (100 + percent) >= percent * (len(x) + len(y)))
             yield batch.select([0, 1]).filter(pa.array(out, pa.bool_()))
 
-    own = stored.select("slot", "node", "grams", bit).mapInArrow(likely, "slot long, node long, grams binary")
-    sets = staged(own.join(chosen.select("slot"), "slot", "left_semi").select("node", "grams"), "sets")
-    p = pairs.join(sets.withColumnsRenamed({"node": "a", "grams": "ga"}), "a").join(sets.withColumnsRenamed({"node": "b", "grams": "gb"}), "b")
+    sets = staged(stored.select("slot", "grams", bit).mapInArrow(likely, "slot long, grams binary"), "sets")
+    slots = chosen.select("node", "slot")
+    p = pairs.join(slots.withColumnsRenamed({"node": "a", "slot": "sa"}), "a").join(slots.withColumnsRenamed({"node": "b", "slot": "sb"}), "b")
+    p = p.join(sets.withColumnsRenamed({"slot": "sa", "grams": "ga"}), "sa").join(sets.withColumnsRenamed({"slot": "sb", "grams": "gb"}), "sb")
     links = staged(p.select("a", "b", "ga", "gb").mapInArrow(linked, "a long, b long"), "links")
     forget(wanted, chosen, sets)
     return links
