@@ -29,7 +29,9 @@ THRESHOLD = 0.7
 #: What a disguise character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "€": "e", "*": "aeiou"}
 SEPARATORS = " .-_*"
-COST = {"same": 0.0, "leet": -0.7, "gap": -0.1, "again": -0.2}
+COST = {"same": 0.0, "leet": -0.7, "gap": -0.1, "again": -0.2, "sign": -8.0, "mark": -0.5}
+#: Disguise characters that commonly stand before or after a word as they are.
+MARKS = {"before": set("*"), "after": set("!|*")}
 
 #: Symbols of the character model: 0 is anything that is no letter; a-z; Latin letters beyond ASCII share 37 symbols.
 ALPHABET = 64
@@ -46,14 +48,15 @@ def _symbols() -> np.ndarray:
 
 
 SYMBOL = _symbols()
-_SEPARATOR = np.isin(np.arange(0x250), [ord(c) for c in SEPARATORS])
-_LEET = np.isin(np.arange(0x250), [ord(c) for c in LEET if ord(c) < 0x250])
+#: 1: letters, and all code points beyond the table; 2: separators; 4: disguise characters; 8: what may stand in a spaced-out run.
+_KIND = np.array([bool(_LETTERS.match(c)) + 2 * (c in SEPARATORS) + 4 * (c in LEET) + 8 * (c.isalnum() or c in LEET) for c in map(chr, range(0x250))], np.uint8)
+_KIND[-1] = 9
 
 
 def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts (cut to the table's range), each followed by a line feed; and where each begins."""
+    """Code points of all texts, each followed by a line feed; and where each begins."""
     cp = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
-    return np.minimum(cp, 0x24F), np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return cp, np.cumsum([0, *(len(t) + 1 for t in texts)])
 
 
 def trigram_counts(docs: DataFrame) -> DataFrame:
@@ -62,7 +65,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ALPHABET**3, np.int64)
         for batch in slices(batches, 0, 2_000_000):
-            s = SYMBOL[_points(texts_of(batch.column(0)))[0]].astype(np.int32)
+            s = SYMBOL[np.minimum(_points(texts_of(batch.column(0)))[0], 0x24F)].astype(np.int32)
             total += np.bincount((s[:-2] * ALPHABET + s[1:-1]) * ALPHABET + s[2:], minlength=ALPHABET**3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["trigram", "n"])
@@ -89,18 +92,31 @@ class Restorer:
         self.decode = lru_cache(100_000)(self._decode)
 
     def _decode(self, span: str) -> str:
-        """Viterbi over the span's lattice; states are the last two symbols, 0 before and after."""
+        """The likeliest reading; signs before the first and after the last letter are read as letters, or stay."""
         span = span.lower()
-        spaced = len(span) > 6 and all(c in SEPARATORS for c in span[1::2])
-        letters = "".join(c for c in span if c.isalpha())
+        spaced = len(span) > 4 and all(c in SEPARATORS for c in span[1::2])
+        letters = [k for k, c in enumerate(span) if c.isalpha()]
+        if not letters:
+            return span
+        read = []
+        for begin in {0, letters[0]}:
+            for end in {len(span), letters[-1] + 1}:
+                found = self._path(span[begin:end], spaced)
+                if found:
+                    cost = sum(COST["mark" if set(x) <= MARKS[side] else "sign"] for side, x in (("before", span[:begin]), ("after", span[end:])) if x)
+                    read.append((found[0] + cost, span[:begin] + found[1] + span[end:]))
+        return max(read)[1] if read else span
+
+    def _path(self, span: str, spaced: bool) -> tuple[float, str] | None:
+        """Viterbi over the span's lattice; states are the last two symbols, 0 before and after."""
         best: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
         for k, c in enumerate(span):
             run = c.isalpha() and (span[max(0, k - 2) : k + 1] == c * 3 or span[max(0, k - 1) : k + 2] == c * 3 or span[k : k + 3] == c * 3)
             arcs = [(x, COST["leet"]) for x in LEET.get(c, "")]
             if c.isalpha() or (not arcs and not spaced):
                 arcs.append((c, COST["same"]))
-            if spaced and c in SEPARATORS:
-                arcs = [("", COST["gap"])]
+            if spaced and k % 2:
+                arcs.append(("", COST["gap"]))
             after: dict[tuple[int, int, str], tuple[float, str]] = {}
             for (a, b, last), (score, text) in best.items():
                 for out, cost in arcs + ([("", COST["again"])] if run and last == c else []):
@@ -113,32 +129,38 @@ class Restorer:
                         after[key] = value
             best = dict(sorted(after.items(), key=lambda x: -x[1][0])[:64])
         ended = [(score + float(self.model[(a * ALPHABET + b) * ALPHABET]), text) for (a, b, _), (score, text) in best.items()]
-        return max(ended)[1] if letters and ended else span
+        return max(ended) if ended else None
 
     def restore(self, texts: list[str]) -> list[str]:
         """The texts with every disguised span decoded, in lower case where one was found."""
-        cp, begins = _points(texts)
-        letter, sep, leet = SYMBOL[cp] > 0, _SEPARATOR[cp], _LEET[cp]
-        n = len(cp)
-        hit = np.zeros(n, bool)
-        if n > 7:
-            hit[1:-1] |= leet[1:-1] & letter[2:] & (letter[:-2] | ~sep[:-2])
-            same = letter[2:] & (cp[2:] == cp[1:-1]) & (cp[1:-1] == cp[:-2])
-            hit[1:-1] |= same
-            m = n - 6
-            spaced = letter[:m] & sep[1 : m + 1] & letter[2 : m + 2] & sep[3 : m + 3] & letter[4 : m + 4] & sep[5 : m + 5] & letter[6:]
-            hit[3 : m + 3] |= spaced & np.append([True], ~letter[: m - 1])
+        low = [t.lower() for t in texts]
+        cp, begins = _points(low)
+        cp = np.concatenate((np.full(1, 10, cp.dtype), cp, np.full(6, 10, cp.dtype)))  # so that every window is whole
+        kind = _KIND[np.minimum(cp, 0x24F)]
+        letter, sep, leet = kind & 1 > 0, kind & 2 > 0, (kind & 4 > 0) | (cp == ord("€"))
+        # Wider than SPANS: each of its matches holds a sign beside a letter, a letter three times or a spaced-out run of three.
+        hit = leet[1:-1] & (letter[2:] | letter[:-2])
+        hit |= letter[1:-1] & (cp[2:] == cp[1:-1]) & (cp[1:-1] == cp[:-2])
+        either = kind & 9 > 0
+        run = either[1:-5] & sep[2:-4] & either[3:-3] & sep[4:-2] & either[5:-1]
+        run &= (letter[1:-5] | letter[3:-3] | letter[5:-1]) & ~letter[:-6] & ~letter[6:]
+        hit[: len(run)] |= run
         out = list(texts)
-        at = np.flatnonzero(hit)
-        for k in np.unique(np.searchsorted(begins, at, "right") - 1).tolist():
-            out[k] = self._restored(texts[k])
+        for k in np.unique(np.searchsorted(begins, np.flatnonzero(hit), "right") - 1).tolist():
+            if k < len(out):
+                out[k] = self._restored(low[k])
         return out
 
-    #: Words with a disguise character before a letter, words with a letter three times in a row, and spaced-out letters.
-    SPANS = re.compile(r"(?<!\w)[^\W\d_](?:[ .\-_*][^\W\d_]){3,}(?!\w)|[^\W\d_]*(?:[0-9@$!|€*]{1,3}[^\W\d_]+)+|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+    #: Spaced-out characters, three or more; words with disguise characters before, in or after them; words with a letter three times in a row.
+    SPANS = re.compile(
+        r"(?<![^\W_])(?:[^\W_]|[@$!|€])(?:[ .\-_*](?:[^\W_]|[@$!|€])){2,}(?![^\W_])"
+        r"|(?<![^\W\d_])[^\W\d_]*+(?:[0-9@$!|€*]{1,3}[^\W\d_]++)+(?:[0-9@$!|€*]{1,3}(?![0-9@$!|€*]))?"
+        r"|(?<![^\W\d_])[^\W\d_]++[0-9@$!|€*]{1,3}(?![0-9@$!|€*])"
+        r"|(?<![^\W\d_])[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"
+    )
 
     def _restored(self, text: str) -> str:
-        return self.SPANS.sub(lambda m: self.decode(m[0]), text.lower())
+        return self.SPANS.sub(lambda m: self.decode(m[0]), text)
 
 
 def word_features(words: set[str]) -> set[str]:

@@ -135,6 +135,26 @@ def test_disguises_are_restored(spark, docs):
     assert restorer.restore(["an 1d10t", "s t u p i d", "moooron", "plain words"]) == ["an idiot", "stupid", "moron", "plain words"]
 
 
+def test_each_disguise_is_restored_alone(spark):
+    words = spark.createDataFrame([(0, "what a stupid moron and idiot you are, as all men say! " * 50)], "doc_id long, text string")
+    restorer = toxicity.Restorer(toxicity.character_model(words))
+    forms = {"you 5tupid": "you stupid", "an 1diot": "an idiot", " $tupid": " stupid", "idio7": "idiot", "m3n": "men", "m€n": "men", "€nd": "end"}
+    forms |= {"a$": "as", "m e n": "men", "1 d i o t": "idiot", "s t u p 1 d": "stupid", "(m-o-r-0-n)": "(moron)", "_a_l_l_": "_all_", "MOoOron": "moron"}
+    forms |= {"stupid!": "stupid!", "idiot 2024": "idiot 2024", "1 2 3": "1 2 3", "a": "a", "": ""}
+    for given, want in forms.items():
+        assert restorer.restore([given]) == [want]
+    assert restorer.restore(list(forms)) == list(forms.values())
+
+
+def test_no_span_escapes_the_prefilter():
+    r, restorer = random.Random(3), toxicity.Restorer(None)
+    restorer.decode = lambda span: "#"
+    for _ in range(20_000):
+        text = "".join(r.choice("aAbBéÉ²ı日٣_. -*15$!|€@\n") for _ in range(r.randint(1, 9)))
+        whole = restorer.SPANS.sub("#", text.lower())
+        assert restorer.restore([text])[0].lower() == whole or not any(c.isalpha() for m in restorer.SPANS.finditer(text.lower()) for c in m[0])
+
+
 def test_word_scores(docs):
     rows = lattice_lm.score(docs).collect()
     assert len(rows) == len(ROWS) and all(r.score < 0 and r.base_score < 0 for r in rows)
