@@ -152,20 +152,9 @@ def _decoded(found: list[tuple[int, bytes]]) -> list[np.ndarray]:
 
 
 def resampled(media: DataFrame) -> DataFrame:
-    """doc_id and pcm (16-bit little-endian at 16 kHz), for writing as a media column."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, 1_000_000):
-            out = [resample(x).tobytes() for x in _decoded([parse(m) for m in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "pcm"])
-
-    return media.select("doc_id", "media").mapInArrow(made, "doc_id long, pcm binary")
-
-
-def described(media: DataFrame) -> DataFrame:
-    """The digest of stored media: what was read back, and features of the resampled PCM."""
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    """pcm (16-bit little-endian at 16 kHz) of stored media, with format and the digest of what was read back."""
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "format", "pcm"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, 1_000_000):
@@ -174,13 +163,29 @@ def described(media: DataFrame) -> DataFrame:
             rows = []
             for m, (tag, data), pcm in zip(files, found, _decoded(found)):
                 own = samples_of(tag, data)
-                rows.append((len(own), hashlib.sha256(own).hexdigest(), zlib.crc32(own[-32:]), len(m), hashlib.sha256(m).hexdigest(), features(tag, resample(pcm))))
+                rows.append((len(own), hashlib.sha256(own).hexdigest(), zlib.crc32(own[-32:]), len(m), hashlib.sha256(m).hexdigest(), tag, resample(pcm).tobytes()))
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), types[2:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(made, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, format long, pcm binary"
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(made, schema)
+
+
+def described(pcm: DataFrame) -> DataFrame:
+    """The digest of stored media, and features of the stored PCM."""
+    kept = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256"]
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 8, 8_000_000):
+            found = zip(batch.column(7).to_pylist(), batch.column(8))
+            own = pa.array([features(tag, np.frombuffer(x.as_buffer(), "<i2")) for tag, x in found], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], own], names=[*kept, "feature"])
+
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    return pcm.select(*kept, "format", "pcm").mapInArrow(made, schema)
 
 
 def telephony(docs: DataFrame) -> DataFrame:
-    """Store every text as telephony audio, read the stored column back and describe it."""
-    return described(staged(store(docs), "media"))
+    """Store every text as telephony audio, store the PCM of what is read back, and describe both."""
+    media = staged(store(docs), "media", compression="zstd")
+    return described(staged(resampled(media), "pcm", compression="zstd"))

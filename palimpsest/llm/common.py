@@ -32,14 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: what follows survives a lost executor without running
-    the stages before it again, and several readers share one computation.
+    the stages before it again, and several readers share one computation. ``options`` go to the writer.
     """
     path = f"{shared_dir(df.sparkSession)}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -92,6 +92,20 @@ def test_audio_round_trip(docs):
     assert audio.STEPS[:10].tolist() == [7, 8, 9, 10, 11, 12, 13, 14, 16, 17] and audio.STEPS[-1] == 32767
 
 
+def test_pcm_is_stored_and_described_as_read_back(docs, monkeypatch):
+    tables, write = {}, audio.staged
+    monkeypatch.setattr(audio, "staged", lambda df, name, **options: tables.setdefault(name, write(df, name, **options)))
+    found = {(r.doc_id, r.payload_sha256): r.feature for r in audio.telephony(docs).collect()}
+    media = {(r.doc_id, hashlib.sha256(r.media).hexdigest()): r.media for r in tables["media"].collect()}
+    rows = tables["pcm"].collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        tag, data = audio.parse(bytes(media[r.doc_id, r.media_sha256]))
+        pcm = audio.decode_adpcm(audio.np.frombuffer(data, "u1").reshape(-1, audio.BLOCK)).ravel() if tag == audio.ADPCM else audio.TABLES[tag][list(data)]
+        assert r.format == tag and bytes(r.pcm) == audio.resample(pcm).tobytes()
+        assert f"crc={zlib.crc32(r.pcm)}" in found[r.doc_id, r.payload_sha256]
+
+
 def test_join_matches_brute_force(docs):
     def grams(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
