@@ -107,13 +107,13 @@ def _quarters(s: np.ndarray) -> int:
     return -1 if max(n) >= 1 << 15 else sum(x << (15 * k) for k, x in enumerate(n))
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """kind 0: doc_id, n, node, profile of each row, and slot, grams where a batch meets a set first.
+def described(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    """kind 0: doc_id, key (as given), n, node, profile of each row, and slot, grams where a batch meets a set first.
 
     kind 1: n-grams (as node) that many documents of a batch have, and their count n. The texts are read here alone.
     """
-    names = ["kind", "doc_id", "n", "node", "profile", "slot", "grams"]
-    types = [*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.binary()]
+    names = ["kind", "doc_id", "key", "n", "node", "profile", "slot", "grams"]
+    types = [*[pa.int64()] * 5, pa.binary(), pa.int64(), pa.binary()]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = TaskContext.get().partitionId() << 33
@@ -121,7 +121,7 @@ def described(docs: DataFrame) -> DataFrame:
             known: dict[str, tuple] = {}
             sets: dict[int, np.ndarray] = {}
             rows = []
-            for doc_id, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            for doc_id, t, k in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist()):
                 own = (None, None)
                 if t not in known:
                     s = shingles(t)
@@ -130,13 +130,14 @@ def described(docs: DataFrame) -> DataFrame:
                     if len(s) and node not in sets:
                         own, slot = (slot, _packed(s)), slot + 1
                     sets[node] = s
-                rows.append((0, doc_id, *known[t], *own))
+                rows.append((0, doc_id, k, *known[t], *own))
             gram, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
             often = n >= LOCAL
-            rows += [(1, None, int(c), int(g), None, None, None) for g, c in zip(gram[often].view(np.int64).tolist(), n[often].tolist())]
+            rows += [(1, None, None, int(c), int(g), None, None, None) for g, c in zip(gram[often].view(np.int64).tolist(), n[often].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(made, "kind long, doc_id long, n long, node long, profile binary, slot long, grams binary")
+    key = F.lit(None).cast("long") if key is None else key
+    return docs.select("doc_id", "text", key.alias("key")).mapInArrow(made, "kind long, doc_id long, key long, n long, node long, profile binary, slot long, grams binary")
 
 
 class Order:
@@ -293,12 +294,12 @@ def verified(found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return links
 
 
-def link_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(described documents: doc_id, n, node; components: node, comp) without the nodes that have no link."""
-    found = staged(described(docs), "shingled")
+def link_components(docs: DataFrame, percent: int = PERCENT, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(described documents: doc_id, key, n, node; components: node, comp) without the nodes that have no link."""
+    found = staged(described(docs, key), "shingled")
     heavy = found.filter("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(HEAVY).collect()
     order = Order(np.array([r.node for r in heavy], np.int64).view(np.uint64), np.array([r.n for r in heavy], np.int64))
-    nodes = found.filter("kind = 0").select("doc_id", "n", "node", "profile")
+    nodes = found.filter("kind = 0").select("doc_id", "key", "n", "node", "profile")
 
     bits = prefixes(found, order, percent).groupBy("bit").count().filter("count > 1").select(F.col("bit").bitwiseAND(BITMAP - 1).alias("bit"))
     first = staged(prefixes(found, order, percent, _bitmap(bits)).dropDuplicates(["gram", "node"]), "prefixes")
@@ -359,14 +360,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row of each group of near duplicates (that with the least doc_id), with the columns of ``docs``.
+    """One row of each group of near duplicates, with the columns of ``docs``.
 
-    Documents without words stay. Repeated rows of the document that stays are one row.
+    It is the row with the least doc_id, nulls last, and of these the one with the least text hash. Rows
+    that link with nothing stay, with or without an id or words. Rows with the same id and the same text
+    are one row. Texts of one id are told apart by 64-bit hashes.
     """
-    found = near_duplicates(docs, percent)
-    stay = found.filter("component_id = doc_id").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    return docs.join(stay, "doc_id", "left_semi").withColumn("__one", F.row_number().over(one)).filter("__one = 1").drop("__one")
+    nodes, comp = link_components(docs, percent, F.xxhash64("text"))
+    group = F.coalesce("comp", "node")  # null without words: such a row is its own group
+    alone = [F.when(group.isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "key")]
+    rows = nodes.join(comp, "node", "left").select("doc_id", "key", group.alias("group"), *alone)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("x")
+    stay = rows.groupBy("group", "alone_doc_id", "alone_key").agg(least).select(F.col("x.doc_id").alias("__id"), F.col("x.key").alias("__stay"))
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    kept = keyed.join(stay, keyed.doc_id.eqNullSafe(stay["__id"]) & (keyed["__key"] == stay["__stay"]), "left_semi")
+    one = Window.partitionBy("doc_id", "__key").orderBy("text")
+    return kept.withColumn("__one", F.row_number().over(one)).filter("__one = 1").drop("__one", "__key")
 
 
 SQL = r"""

@@ -123,6 +123,16 @@ def test_join_matches_brute_force(docs):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()) == want
 
 
+def test_keep_one_loses_no_document(spark):
+    a, b, c, d = (prose(60) for _ in range(4))
+    # No ids; one id with several texts, one of them in another's group; a group without any id; repeats; no words.
+    rows = [(None, a), (1, b), (2, b + " end"), (2, c), (2, d), (None, d + " end"), (3, d), (None, "x y"), (None, "x y"), (4, None), (4, None), (4, ""), (None, " "), (5, " ")]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in rows], "doc_id long, text string, lang string")
+    want = [(None, a), (1, b), (2, c), (2, d), (None, "x y"), (4, None), (4, ""), (None, " "), (5, " ")]
+    found = ngram_join.keep_one(docs)
+    assert found.columns == docs.columns and Counter((r.doc_id, r.text) for r in found.collect()) == Counter(want)
+
+
 def test_base_spans(docs):
     found = {r.doc_id: r for r in pii.find(docs).collect()}[7]
     assert (found.n_email, found.n_ip, found.n_card, found.n_phone) == (1, 1, 1, 1)
