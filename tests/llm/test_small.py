@@ -159,6 +159,15 @@ def test_disguises_are_restored(spark, docs):
     assert restorer.restore(["an 1d10t", "s t u p i d", "moooron", "plain words"]) == ["an idiot", "stupid", "moron", "plain words"]
 
 
+def test_toxic_documents_are_dropped(spark):
+    rows = [(k, prose(8) + (" moron " if k % 2 else " ") + prose(8)) for k in range(160)] + [(None, prose(9)), (200, None), (201, "a m0ron"), (202, "m o r o n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(160)], "doc_id long, toxic int")
+    want = Counter((k, t) for k, t in rows if not t or ("moron" not in t and k not in (201, 202)))
+    assert Counter((r.doc_id, r.text) for r in toxicity.drop_toxic(docs, labels).collect()) == want
+    assert Counter(r.doc_id for r in toxicity.score(docs, labels).collect() if not r.predicted) == Counter(k for k, _ in want.elements())
+
+
 def test_each_disguise_is_restored_alone(spark):
     words = spark.createDataFrame([(0, "what a stupid moron and idiot you are, as all men say! " * 50)], "doc_id long, text string")
     restorer = toxicity.Restorer(toxicity.character_model(words))
