@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import id_crc, slices, staged, texts_of
-from palimpsest.llm.ngram_join import _mix, _power_tables
+from palimpsest.llm.hashing import mix as _mix, powers as _power_tables
 
 HEAD = 131_072  # the most frequent words, whose counts every task gets; all others are joined exactly
 ZIPF = 2.7  # a piece of rank r weighs 1 / (r + ZIPF)

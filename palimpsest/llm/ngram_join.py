@@ -1,57 +1,44 @@
 """Self-join of documents on the Jaccard similarity of their word n-gram sets.
 
 Rare-first prefix filtering: in an order with the rare n-grams first, two sets that are similar
-enough share one within their prefixes. Prefix n-grams that only one set has are dropped by a fixed
-bitmap and an exact count; what is left is joined under a length, a positional and a suffix filter.
-Documents with equal sets are one node. In groups that share an n-gram, every node meets one leader
-per round first, so that large groups of near copies become one component before pairs between
-components, all of them, are verified; each pair is verified once, on its whole sets.
+enough share one within their prefixes. Documents with equal sets are one node. Prefix n-grams that
+a single set has are dropped by a bitmap of fixed size; the rest is joined under a length, a
+positional and a suffix filter. Nodes that share an n-gram first meet one leader each, so that a
+large group of near copies becomes one component before the pairs between components, all of them,
+are met; each pair is verified once, on its whole sets. Sets are made from the texts where they are
+needed and kept only for the pairs of a round.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import forget, slices, staged, texts_of
+from palimpsest.llm.common import bit_set, forget, slices, staged, texts_of
+from palimpsest.llm.hashing import mix, span_hashes
 
 WORDS = 5
 PERCENT = 75  # similarity of 0.75 or more, in hundredths
 HEAVY = 131_072  # frequent n-grams that come last in the order, at most; any order gives the same links
-LOCAL = 3  # documents of one batch that have an n-gram, for it to count as frequent there
-BITMAP = 1 << 26  # bits; past its size it lets more n-grams through, never fewer
-SLOTS = 1 << 23  # bits of the filter of the sets to verify; past its size it lets more through, never fewer
+LOCAL = 3  # documents of one task that have an n-gram, for it to count as frequent there
+HELD = 4_000_000  # n-grams that a task counts at a time
+BITMAP = 1 << 26  # bits of the filter of shared n-grams; past its size it lets more through, never fewer
+SLOTS = 1 << 23  # bits of the filter of the texts whose sets are wanted; past its size it lets more through, never fewer
 CELLS = 256  # cells of a set's profile for the suffix filter
-ROUNDS = 6  # leader rounds at most; what they leave open is joined in full
-PROGRESS = 0.8  # a leader round that leaves more than this share of the open rows is the last one
+PARITY = ("p0", "p1", "p2", "p3")
+SMALL = 32  # nodes with a common n-gram whose pairs are all met in one round
+ROUNDS = 2  # leader rounds; then all pairs of the larger groups are met, in bands of set size
 
 #: A-Z to a-z, and each separator to a blank.
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t\n\x0b\x0c\r", bytes(range(97, 123)) + b" " * 5)
 _BYTES = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64."""
-    if not _powers or len(_powers["up"]) < n:
-        n = max(1 << 18, 2 * n)
-        up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _powers.update(up=np.cumprod(up), down=np.cumprod(down))
-    return _powers["up"], _powers["down"]
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -62,82 +49,89 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     begin, end = edge[0::2], edge[1::2]
     if not len(begin):
         return np.empty(0, np.uint64)
-    up, down = _power_tables(len(b) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[b] * up[: len(b)])))
-    word = _mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+    word = span_hashes(_BYTES[b], begin, end)
     size = min(words, len(word))
     out = np.zeros(len(word) - size + 1, np.uint64)
     for k in range(size):
-        out = _mix(out * np.uint64(0xD6E8FEB86659FD93) + word[k : len(word) - size + 1 + k])
+        out = mix(out * np.uint64(0xD6E8FEB86659FD93) + word[k : len(word) - size + 1 + k])
     return np.unique(out)
 
 
-def _members(s: np.ndarray) -> np.ndarray:
-    """The upper 48 bits of the hashes, still in order.
-
-    Sets are stored and compared so. Two different n-grams of a pair of sets of n and m meet with probability n * m / 2^48.
-    """
-    return s >> np.uint64(16)
+def _name(s: np.ndarray) -> tuple[int, int]:
+    """128 bits for a set."""
+    h = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+    return int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
 
 
-def _packed(members: np.ndarray) -> bytes:
-    return members.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _profile(s: np.ndarray) -> bytes | None:
+    """How many members fall in each cell of the hash space; none where one has more than a byte holds."""
+    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+    return n.astype(np.uint8).tobytes() if n.max(initial=0) < 256 else None
 
 
-def _unpacked(data) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+def _parity(s: np.ndarray) -> list[int]:
+    """Whether each of 256 cells has an odd number of members, in four words: sets differ in at least as many members as these bits do."""
+    odd = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
 
 
-def _node(s: np.ndarray) -> int:
-    """64 bits for a set; with the set's size it names the node."""
-    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+class Frequent:
+    """Counts n-grams over a task in bounded memory: what a full block has once is let go."""
 
+    def __init__(self):
+        self.parts, self.held = [], 0
+        self.grams, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
 
-def _profile(s: np.ndarray) -> bytes | None:
-    """How many members fall in each cell of the hash space; none where one has more than a byte holds."""
-    n = np.bincount((s >> np.uint64(40)).astype(np.int64), minlength=CELLS)
-    return n.astype(np.uint8).tobytes() if n.max(initial=0) < 256 else None
+    def add(self, s: np.ndarray) -> None:
+        self.parts.append(s)
+        self.held += len(s)
+        if self.held >= HELD:
+            self._fold()
 
+    def _fold(self) -> None:
+        new, n = np.unique(np.concatenate([np.empty(0, np.uint64), *self.parts]), return_counts=True)
+        both, back = np.unique(np.concatenate((self.grams, new)), return_inverse=True)
+        total = np.bincount(back, np.concatenate((self.counts, n)), len(both)).astype(np.int64)
+        often = total > 1
+        self.grams, self.counts, self.parts, self.held = both[often], total[often], [], 0
 
-def _quarters(s: np.ndarray) -> int:
-    """How many members fall in each quarter of the hash space, 16 bits each; -1 where one has too many."""
-    n = np.bincount((s >> np.uint64(46)).astype(np.int64), minlength=4).tolist()
-    return -1 if max(n) >= 1 << 15 else sum(x << (15 * k) for k, x in enumerate(n))
+    def often(self) -> tuple[np.ndarray, np.ndarray]:
+        self._fold()
+        kept = self.counts >= LOCAL
+        return self.grams[kept], self.counts[kept]
 
 
 def described(docs: DataFrame, key: Column | None = None) -> DataFrame:
-    """kind 0: doc_id, key (as given), n, node, profile of each row, and slot, grams where a batch meets a set first.
+    """kind 0: doc_id, key (as given), n, h1, h2 (names of the set), seen (hash of the text), profile and parity of each row.
 
-    kind 1: n-grams (as node) that many documents of a batch have, and their count n. The texts are read here alone.
+    kind 1: n-grams (as h1) that many documents of a task have, and their count n.
     """
-    names = ["kind", "doc_id", "key", "n", "node", "profile", "slot", "grams"]
-    types = [*[pa.int64()] * 5, pa.binary(), pa.int64(), pa.binary()]
+    names = ["kind", "doc_id", "key", "n", "h1", "h2", "seen", "profile", *PARITY]
+    types = [*[pa.int64()] * 7, pa.binary(), *[pa.int64()] * 4]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot = TaskContext.get().partitionId() << 33
+        frequent = Frequent()
         for batch in slices(batches, 1):
             known: dict[str, tuple] = {}
-            sets: dict[int, np.ndarray] = {}
             rows = []
-            for doc_id, t, k in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist()):
-                own = (None, None)
+            for doc_id, t, k, seen in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if t not in known:
                     s = shingles(t)
-                    node, s = _node(s), _members(s)
-                    known[t] = (len(s), node, _profile(s)) if len(s) else (0, None, None)
-                    if len(s) and node not in sets:
-                        own, slot = (slot, _packed(s)), slot + 1
-                    sets[node] = s
-                rows.append((0, doc_id, k, *known[t], *own))
-            gram, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-            often = n >= LOCAL
-            rows += [(1, None, None, int(c), int(g), None, None, None) for g, c in zip(gram[often].view(np.int64).tolist(), n[often].tolist())]
+                    known[t] = (len(s), *_name(s), seen, _profile(s), *_parity(s)) if len(s) else (0, None, None, seen, *[None] * 5)
+                    frequent.add(s)
+                rows.append((0, doc_id, k, *known[t]))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        gram, n = frequent.often()
+        none = [pa.nulls(len(gram), t) for t in types]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(gram), np.int64)), *none[1:3], pa.array(n), pa.array(gram.view(np.int64)), *none[5:]], names=names)
 
     key = F.lit(None).cast("long") if key is None else key
-    return docs.select("doc_id", "text", key.alias("key")).mapInArrow(made, "kind long, doc_id long, key long, n long, node long, profile binary, slot long, grams binary")
+    given = docs.select("doc_id", "text", key.alias("key"), _seen())
+    return given.mapInArrow(made, "kind long, doc_id long, key long, n long, h1 long, h2 long, seen long, profile binary, " + ", ".join(f"{c} long" for c in PARITY))
+
+
+def _seen() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("seen")
 
 
 class Order:
@@ -158,49 +152,67 @@ class Order:
         return s[np.lexsort((s, weight))][:length]
 
 
-def prefixes(found: DataFrame, order: Order, percent: int, only: np.ndarray | None = None) -> DataFrame:
-    """gram, node, n, pos, quarters of the prefixes; without ``only``, 31 bits of the grams alone (bit)."""
-    bits = BITMAP - 1
-    schema = "bit int" if only is None else "gram long, node long, n int, pos int, quarters long"
+def prefixes(docs: DataFrame, order: Order, percent: int) -> DataFrame:
+    """h1, n and prefix (n-grams in order, 64 bits each) of each set, once a task."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in slices(batches, 1):
-            parts = []
-            for node, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if node in seen:  # copies are one node
-                    continue
-                s = _unpacked(grams)
-                if len(seen) < 1_000_000:
-                    seen.add(node)
-                p = order.prefix(s, percent)
-                bit = (p & np.uint64((1 << 31) - 1)).astype(np.int32)
-                if only is None:
-                    parts.append(bit)
-                    continue
-                at = np.flatnonzero(only[(bit & bits) >> 3] >> (bit & 7) & 1)
-                if len(at):
-                    parts.append((p[at].view(np.int64), np.full(len(at), node), np.full(len(at), len(s)), at, np.full(len(at), _quarters(s))))
-            if not parts:
-                continue
-            if only is None:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts))], names=["bit"])
-            else:
-                columns = [np.concatenate(c) for c in zip(*parts)]
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["gram", "node", "n", "pos", "quarters"])
-
-    return found.filter("slot is not null").select("node", "grams").mapInArrow(made, schema)
-
-
-def _bitmap(shared: DataFrame, size: int = BITMAP) -> np.ndarray:
-    """The bits of ``shared`` (column bit, from 0) as ``size`` / 8 bytes, whatever the input's size."""
-    v = F.col("bit") + 1  # the bitmap functions count from 1: 32768 bits a bucket, buckets from 1
-    rows = shared.groupBy(F.bitmap_bucket_number(v).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(v)).alias("bits")).collect()
-    out = np.zeros(size // 8, np.uint8)
-    for r in rows:
-        out[(r.bucket - 1) * 4096 : r.bucket * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
-    return out
+        for batch in slices(batches, 0):
+            names, sizes, found = [], [], []
+            for t in dict.fromkeys(texts_of(batch.column(0))):
+                s = shingles(t)
+                h1 = _name(s)[0]
+                if len(s) and h1 not in seen:
+                    if len(seen) < 200_000:  # copies beyond are merged later
+                        seen.add(h1)
+                    names.append(h1)
+                    sizes.append(len(s))
+                    found.append(order.prefix(s, percent).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())], names=["h1", "n", "prefix"])
+
+    return docs.select("text").mapInArrow(made, "h1 long, n long, prefix binary")
+
+
+def _bits(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64((1 << 31) - 1)).astype(np.int32)
+
+
+def prefix_bits(found: DataFrame) -> DataFrame:
+    """31 bits (bit) of every prefix n-gram."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_bits(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)))], names=["bit"])
+
+    return found.select("prefix").mapInArrow(made, "bit int")
+
+
+def postings(found: DataFrame, only: np.ndarray) -> DataFrame:
+    """gram, h1, pos and rest of the prefix n-grams whose bit is set in ``only``.
+
+    What the bitmap drops no other set has, so it counts in no overlap: ``pos`` is the number of kept
+    n-grams before this one in the prefix, ``rest`` of those that may be common after it, to the set's end.
+    """
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = batch.column(2).to_pylist()
+            grams = np.frombuffer(b"".join(each), np.uint64)
+            n = np.array([len(x) // 8 for x in each], np.int64)
+            owner = np.repeat(np.arange(len(n)), n)
+            kept = _test(only, _bits(grams) & (BITMAP - 1))
+            at, owner = np.flatnonzero(kept), owner[kept]
+            many = np.bincount(owner, minlength=len(n))
+            pos = np.arange(len(at)) - (np.cumsum(many) - many)[owner]
+            size = batch.column(1).to_numpy() - n + many  # without those dropped
+            columns = [grams[at].view(np.int64), batch.column(0).to_numpy()[owner], pos.astype(np.int32), (size[owner] - pos - 1).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "h1", "pos", "rest"])
+
+    return found.select("h1", "n", "prefix").mapInArrow(made, "gram long, h1 long, pos int, rest int")
+
+
+def _test(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
 def _overlap_needed(n: Column, m: Column, percent: int) -> Column:
@@ -208,20 +220,38 @@ def _overlap_needed(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent))
 
 
-def _quarter_bound(a: Column, b: Column) -> Column:
-    """No more can be common than in each quarter of the hash space the smaller set has."""
-    part = lambda q, k: F.shiftright(q, 15 * k).bitwiseAND((1 << 15) - 1)
-    each = [F.least(part(a, k), part(b, k)) for k in range(4)]
-    return F.when((a < 0) | (b < 0), F.lit(1 << 62)).otherwise(each[0] + each[1] + each[2] + each[3])
-
-
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Length, positional and suffix filter for two sets that share the n-gram at a.pos and b.pos."""
-    an, bn, ap, bp = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos"))
-    need = _overlap_needed(an, bn, percent)
+    """Length and positional filter for two sets that share the n-gram at a.pos and b.pos."""
+    an, bn = F.col(f"{a}.n"), F.col(f"{b}.n")
     length = (100 * F.least(an, bn)) >= (percent * F.greatest(an, bn))
-    position = F.least(ap, bp) + 1 + F.least(an - ap - 1, bn - bp - 1) >= need
-    return length & position & (_quarter_bound(F.col(f"{a}.quarters"), F.col(f"{b}.quarters")) >= need)
+    position = F.least(f"{a}.pos", f"{b}.pos") + 1 + F.least(f"{a}.rest", f"{b}.rest") >= _overlap_needed(an, bn, percent)
+    return length & position & (F.col(f"{a}.comp") != F.col(f"{b}.comp"))
+
+
+def led(table: DataFrame, percent: int, seed: int) -> DataFrame:
+    """(a, b): each node with the leader of every group that it is in, if they may link.
+
+    The first leader is the node with the fewest n-grams of its own, since that is in the middle of a group of near copies.
+    """
+    rank = F.xxhash64("node", F.lit(seed))
+    if seed == 0:
+        rank = (F.col("n") - F.col("pos") - F.col("rest")).cast("long") * (1 << 32) + F.pmod(rank, F.lit(1 << 32))
+    chief = table.groupBy("gram").agg(*(F.min_by(c, rank).alias(c) for c in ("node", "n", "pos", "rest", "comp"))).alias("a")
+    pairs = table.alias("b").join(chief, F.col("a.gram") == F.col("b.gram")).filter((F.col("a.node") != F.col("b.node")) & _may_link("a", "b", percent))
+    return pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+
+
+def met(table: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs that share an n-gram and may link; joined on the size of the sets too, which splits groups, with the parities as a filter."""
+    table = table.join(nodes.select("node", *PARITY), "node")
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
+    a = table.withColumn("band", band).alias("a")
+    b = table.withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("b")
+    apart = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in PARITY), F.lit(0))
+    near = apart <= F.col("a.n") + F.col("b.n") - 2 * _overlap_needed(F.col("a.n"), F.col("b.n"), percent)
+    on = [F.col("a.gram") == F.col("b.gram"), F.col("a.band") == F.col("b.band"), F.col("a.node") < F.col("b.node")]
+    found = a.join(b, [*on, _may_link("a", "b", percent), near])
+    return found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -230,9 +260,9 @@ def components(links: DataFrame) -> DataFrame:
     labels = staged(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
-        met = labels.join(near, labels.node == near.a).select("node", "comp", F.least("comp", "near").alias("new"))
+        joined = labels.join(near, labels.node == near.a).select("node", "comp", F.least("comp", "near").alias("new"))
         jump = labels.select(F.col("node").alias("new"), F.col("comp").alias("far"))
-        moved = staged(met.join(jump, "new", "left").select("node", "comp", F.least("new", F.coalesce("far", "new")).alias("new")), "labels")
+        moved = staged(joined.join(jump, "new", "left").select("node", "comp", F.least("new", F.coalesce("far", "new")).alias("new")), "labels")
         changed = moved.filter("comp <> new").limit(1).count()
         forget(labels)
         labels = moved.select("node", F.col("new").alias("comp"))
@@ -241,10 +271,24 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_up(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``comp`` (node, comp) after more links: the links between components make components of components."""
+    if comp is None:
+        return components(links)
+    ends = links
+    for c in ("a", "b"):
+        own = comp.select(F.col("node").alias(c), F.col("comp").alias("c"))
+        ends = ends.join(own, c, "left").withColumn(c, F.coalesce("c", c)).drop("c")
+    new = components(ends.filter("a <> b"))
+    moved = comp.join(new.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    out = staged(moved.union(new.join(comp, "node", "left_anti").select("node", "comp")), "components")
+    forget(comp, new)
+    return out
+
+
 def profiled(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose profiles allow enough common n-grams: no cell can have more in common than its smaller count."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    own = nodes.join(ends, "node", "left_semi").select("node", "n", "profile").dropDuplicates(["node"])
+    """The suffix filter: pairs whose profiles allow enough common n-grams. No cell can have more in common than its smaller count."""
+    own = nodes.select("node", "n", "profile")
     p = pairs.join(own.withColumnsRenamed({"node": "a", "n": "an", "profile": "ap"}), "a").join(own.withColumnsRenamed({"node": "b", "n": "bn", "profile": "bp"}), "b")
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,87 +305,98 @@ def profiled(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return p.select("a", "b", "an", "bn", "ap", "bp").mapInArrow(passed, "a long, b long")
 
 
-def verified(found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link, staged; what was gathered for it is deleted."""
-    stored = found.filter("slot is not null")
-    wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
-    # One stored set stands for a node. A bitmap of their slots, of fixed size, spares the joins most other sets.
-    bit = F.pmod(F.xxhash64("slot"), F.lit(SLOTS)).cast("int").alias("bit")
-    chosen = staged(stored.groupBy("node").agg(F.min("slot").alias("slot")).join(wanted, "node").select("node", "slot", bit), "chosen")
-    bitmap = _bitmap(chosen.select("bit").distinct(), SLOTS)
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """slot, h1, h2 and grams of the texts that ``wanted`` (seen) names, once a task; a bitmap of fixed size picks the texts."""
+    only = bit_set(wanted.select(F.pmod("seen", F.lit(SLOTS)).alias("bit")), SLOTS)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, known = TaskContext.get().partitionId() << 33, set()
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            yield batch.select([0, 1]).filter(pa.array((bitmap[at >> 3] >> (at & 7) & 1).astype(bool)))
+            picked = batch.filter(pa.array(_test(only, batch.column(1).to_numpy() % SLOTS)))
+            for part in slices(iter([picked]), 0):
+                rows = []
+                for t, seen in zip(texts_of(part.column(0)), part.column(1).to_pylist()):
+                    if seen not in known:
+                        if len(known) < 200_000:
+                            known.add(seen)
+                        s = shingles(t)
+                        rows.append((slot, *_name(s), s.tobytes()))
+                        slot += 1
+                columns = zip(*rows) if rows else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [*[pa.int64()] * 3, pa.binary()])], names=["slot", "h1", "h2", "grams"])
+
+    return docs.select("text", _seen()).mapInArrow(made, "slot long, h1 long, h2 long, grams binary")
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link, staged; what was gathered for it is deleted."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = staged(nodes.select("node", "h1", "h2", "seen").join(ends, "node", "left_semi"), "wanted")
+    sets = staged(sets_of(docs, wanted), "sets", batch_rows=2_000)
+    # One stored set stands for a node.
+    slots = staged(sets.select("h1", "h2", "slot").join(wanted, ["h1", "h2"]).groupBy("node").agg(F.min("slot").alias("slot")), "slots")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = _unpacked(x.as_buffer()), _unpacked(y.as_buffer())
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 x, y = (x, y) if len(x) < len(y) else (y, x)
                 common = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
                 out.append(common * (100 + percent) >= percent * (len(x) + len(y)))
             yield batch.select([0, 1]).filter(pa.array(out, pa.bool_()))
 
-    sets = staged(stored.select("slot", "grams", bit).mapInArrow(likely, "slot long, grams binary"), "sets")
-    slots = chosen.select("node", "slot")
-    p = pairs.join(slots.withColumnsRenamed({"node": "a", "slot": "sa"}), "a").join(slots.withColumnsRenamed({"node": "b", "slot": "sb"}), "b")
-    p = p.join(sets.withColumnsRenamed({"slot": "sa", "grams": "ga"}), "sa").join(sets.withColumnsRenamed({"slot": "sb", "grams": "gb"}), "sb")
-    links = staged(p.select("a", "b", "ga", "gb").mapInArrow(linked, "a long, b long"), "links")
-    forget(wanted, chosen, sets)
+    p = pairs
+    for end in ("a", "b"):
+        p = p.join(slots.withColumnsRenamed({"node": end, "slot": f"slot_{end}"}), end)
+    for end in ("a", "b"):
+        p = p.join(sets.select(F.col("slot").alias(f"slot_{end}"), F.col("grams").alias(f"grams_{end}")), f"slot_{end}")
+    links = staged(p.select("a", "b", "grams_a", "grams_b").mapInArrow(linked, "a long, b long"), "links", batch_rows=1_000)
+    forget(wanted, sets, slots)
     return links
 
 
 def link_components(docs: DataFrame, percent: int = PERCENT, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(described documents: doc_id, key, n, node; components: node, comp) without the nodes that have no link."""
-    found = staged(described(docs, key), "shingled")
-    heavy = found.filter("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(HEAVY).collect()
-    order = Order(np.array([r.node for r in heavy], np.int64).view(np.uint64), np.array([r.n for r in heavy], np.int64))
-    nodes = found.filter("kind = 0").select("doc_id", "key", "n", "node", "profile")
-
-    bits = prefixes(found, order, percent).groupBy("bit").count().filter("count > 1").select(F.col("bit").bitwiseAND(BITMAP - 1).alias("bit"))
-    first = staged(prefixes(found, order, percent, _bitmap(bits)).dropDuplicates(["gram", "node"]), "prefixes")
-    several = first.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
-    table = staged(first.join(several, "gram"), "shared-grams")
-    forget(first)
-
-    links, tried, comp, before = None, None, None, None
+    """(rows: doc_id, key, n, node; components: node, comp) without the nodes that have no link, both staged."""
+    found = staged(described(docs, key), "described")
+    heavy = found.filter("kind = 1").groupBy("h1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h1").limit(HEAVY).toArrow()  # bounded
+    order = Order(heavy.column(0).to_numpy().view(np.uint64), heavy.column(1).to_numpy())
+    rows = found.filter("kind = 0").select("doc_id", "key", "n", "h1", "h2")
+    # A node is a set by its 128 bits; its number is given once, when the table is written.
+    nodes = found.filter("kind = 0 and n > 0").groupBy("h1", "h2", "n").agg(F.min("seen").alias("seen"), *(F.any_value(c).alias(c) for c in ("profile", *PARITY)))
+    nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+    prefix = staged(prefixes(docs, order, percent), "prefixes")
+    shared = prefix_bits(prefix).groupBy("bit").count().filter("count > 1").select(F.col("bit").bitwiseAND(BITMAP - 1).alias("bit"))
+    own = postings(prefix, bit_set(shared, BITMAP)).join(nodes.select("h1", "node", F.col("n").cast("int").alias("n")), "h1")
+    table = staged(own.groupBy("gram", "node", "n").agg(F.min("pos").alias("pos"), F.max("rest").alias("rest")), "postings")
+    forget(prefix)
+
+    comp = tried = None
     for k in range(ROUNDS + 1):
-        left = table.withColumn("comp", F.col("node")) if comp is None else table.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = left.groupBy("gram", "comp").agg(F.count("*").alias("c")).groupBy("gram").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
-        mixed = mixed.filter("all * all > same")
-        if k:  # a gram with two members is settled by the first round
-            mixed = mixed.filter("all > 2")
-        open_pairs, size = mixed.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.sum("all")).first()
-        if not open_pairs:
-            break
-        left = staged(left.join(mixed.select("gram"), "gram", "left_semi"), "open")
-        full = k == ROUNDS or (k > 0 and (open_pairs <= 2 * size or size > PROGRESS * before))
-        before = size
-        if full:
-            other = left
+        if comp is None:
+            pairs = led(table.withColumn("comp", F.col("node")), percent, 0)
         else:
-            rank = F.xxhash64("node", F.lit(k))
-            other = left.groupBy("gram").agg(F.min_by(F.struct("node", "n", "pos", "quarters", "comp"), rank).alias("x")).select("gram", "x.*")
-        a, b = other.alias("a"), left.alias("b")
-        different = (F.col("a.node") < F.col("b.node")) if full else (F.col("a.node") != F.col("b.node"))
-        pairs = a.join(b, (F.col("a.gram") == F.col("b.gram")) & different & (F.col("a.comp") != F.col("b.comp")) & _may_link("a", "b", percent))
-        pairs = pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
-        if tried is not None:
+            left = table.join(comp, "node", "left").select("gram", "node", "n", "pos", "rest", F.coalesce("comp", "node").alias("comp"))
+            groups = left.groupBy("gram").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            groups = groups.filter("lo <> hi and members > 2")  # a group of two is settled by the first round
+            left = staged(left.join(groups.select("gram", "members"), "gram"), "open")
+            forget(table)
+            last = F.col("members") <= SMALL if k < ROUNDS else F.lit(True)
+            small, table = left.filter(last), left.filter(~last)
+            pairs = met(small, nodes, percent).union(led(table, percent, k)).distinct()
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            table = table.select("gram", "node", "n", "pos", "rest")
         pairs = staged(profiled(pairs, nodes, percent), "pairs")
-        forget(left)
-        new = verified(found, pairs, percent)
+        links = verified(docs, nodes, pairs, percent)
         tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        comp = components(links)
-        if full:
+        comp = joined_up(comp, links)
+        forget(links)
+        if k and not table.limit(1).count():
             break
-    if comp is None:
-        comp = nodes.filter("false").select("node", F.col("node").alias("comp"))
-    return nodes, comp
+    forget(table)
+    rows = rows.join(nodes.select("h1", "h2", "node"), ["h1", "h2"], "left").select("doc_id", "key", "n", "node")
+    return rows, comp
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -350,11 +405,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Two documents link when 100 * |common| >= percent * |union| of their n-gram sets. Fewer than WORDS
     words are one n-gram; null, empty and blank texts have none, link with nothing and are their own
     component. Equal texts link; repeated rows are rows. Rows without an id keep a null component unless
-    they link with one. Extra columns are ignored; an empty table gives no rows.
+    they link with one. Extra columns are ignored; an empty table gives no rows. N-grams count as equal
+    by 64 bits of hash, sets by 128.
     """
-    nodes, comp = link_components(docs, percent)
-    known = nodes.drop("profile").join(comp, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("comp"))
-    known = staged(known, "known")
+    rows, comp = link_components(docs, percent)
+    known = staged(rows.join(comp, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("comp")), "known")
     least = known.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return known.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
@@ -364,18 +419,18 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     It is the row with the least doc_id, nulls last, and of these the one with the least text hash. Rows
     that link with nothing stay, with or without an id or words. Rows with the same id and the same text
-    are one row. Texts of one id are told apart by 64-bit hashes.
+    are one row; which of them stays is open where other columns differ. Texts of one id are told apart
+    by 64-bit hashes.
     """
-    nodes, comp = link_components(docs, percent, F.xxhash64("text"))
+    rows, comp = link_components(docs, percent, F.xxhash64("text"))
     group = F.coalesce("comp", "node")  # null without words: such a row is its own group
     alone = [F.when(group.isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "key")]
-    rows = nodes.join(comp, "node", "left").select("doc_id", "key", group.alias("group"), *alone)
+    rows = rows.join(comp, "node", "left").select("doc_id", "key", group.alias("group"), *alone)
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("x")
     stay = rows.groupBy("group", "alone_doc_id", "alone_key").agg(least).select(F.col("x.doc_id").alias("__id"), F.col("x.key").alias("__stay"))
     keyed = docs.withColumn("__key", F.xxhash64("text"))
     kept = keyed.join(stay, keyed.doc_id.eqNullSafe(stay["__id"]) & (keyed["__key"] == stay["__stay"]), "left_semi")
-    one = Window.partitionBy("doc_id", "__key").orderBy("text")
-    return kept.withColumn("__one", F.row_number().over(one)).filter("__one = 1").drop("__one", "__key")
+    return kept.dropDuplicates(["doc_id", "__key"]).drop("__key")
 
 
 SQL = r"""
