@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import id_crc, slices, texts_of
+from palimpsest.llm.common import id_crc, one_text, slices, texts_of
 
 POSITIVES = 8_000  # labelled good documents that are fitted on at most, the first by hash
 UNLABELLED = 8_000  # unlabelled documents that are fitted on at most, the first by hash
@@ -120,12 +120,13 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int) -> tuple[DataFrame, DataFrame]:
-    """Texts of trusted positives and of unlabelled documents, both outside the held-out fold and bounded."""
+    """Texts of trusted positives and of unlabelled documents, both outside the held-out fold and bounded; one text an id."""
     fold = F.col("doc_id").isNotNull() & (id_crc(F.col("doc_id")) % 5 != 0)
     good = labels.filter(fold & (F.col("quality") == 1)).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives)
     other = docs.filter(fold).select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(unlabelled)
     d = docs.select("doc_id", "text")
-    return d.join(F.broadcast(good), "doc_id", "left_semi"), d.join(F.broadcast(other), "doc_id", "left_semi")
+    pick = lambda ids: one_text(d.join(F.broadcast(ids), "doc_id", "left_semi"))
+    return pick(good), pick(other)
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[Network | None, float]:
@@ -142,7 +143,8 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, posi
 
     Labels of the held-out fold (crc32 of the id modulo 5 is 0) are never read, and lang, source and
     ids are no inputs. Null texts are scored as empty, equal texts equally; with too few rows to learn
-    from, every score is the prior 0.5. Extra columns are ignored.
+    from, every score is the prior 0.5. Repeated rows are rows, extra columns are ignored, an empty
+    table gives no rows.
     """
     net, prior = train(docs, labels, positives, unlabelled)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import id_crc, slices, staged, texts_of
+from palimpsest.llm.common import id_crc, one_text, slices, staged, texts_of
 
 TRAIN_ROWS = 20_000  # labelled documents that the lexicon is fitted on at most, the first by hash
 LEXICON = 50_000  # entries at most
@@ -109,7 +109,8 @@ class Restorer:
 
     def _path(self, span: str, spaced: bool) -> tuple[float, str] | None:
         """Viterbi over the span's lattice; states are the last two symbols, 0 before and after."""
-        best: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
+        # A path is linked back to its beginning, so that long spans aren't copied; no state is ever cut.
+        best: dict[tuple[int, int, str], tuple[float, tuple | None]] = {(0, 0, ""): (0.0, None)}
         for k, c in enumerate(span):
             run = c.isalpha() and (span[max(0, k - 2) : k + 1] == c * 3 or span[max(0, k - 1) : k + 2] == c * 3 or span[k : k + 3] == c * 3)
             arcs = [(x, COST["leet"]) for x in LEET.get(c, "")]
@@ -117,19 +118,25 @@ class Restorer:
                 arcs.append((c, COST["same"]))
             if spaced and k % 2:
                 arcs.append(("", COST["gap"]))
-            after: dict[tuple[int, int, str], tuple[float, str]] = {}
-            for (a, b, last), (score, text) in best.items():
+            after: dict[tuple[int, int, str], tuple[float, tuple | None]] = {}
+            for (a, b, last), (score, path) in best.items():
                 for out, cost in arcs + ([("", COST["again"])] if run and last == c else []):
                     if out:
                         s = int(SYMBOL[min(ord(out), 0x24F)])
-                        key, value = (b, s, out), (score + cost + float(self.model[(a * ALPHABET + b) * ALPHABET + s]), text + out)
+                        key, total = (b, s, out), score + cost + float(self.model[(a * ALPHABET + b) * ALPHABET + s])
                     else:
-                        key, value = (a, b, last), (score + cost, text)
-                    if key not in after or value > after[key]:
-                        after[key] = value
-            best = dict(sorted(after.items(), key=lambda x: -x[1][0])[:64])
-        ended = [(score + float(self.model[(a * ALPHABET + b) * ALPHABET]), text) for (a, b, _), (score, text) in best.items()]
-        return max(ended) if ended else None
+                        key, total = (a, b, last), score + cost
+                    if key not in after or total > after[key][0]:
+                        after[key] = (total, (path, out) if out else path)
+            best = after
+        if not best:
+            return None
+        score, path = max(((score + float(self.model[(a * ALPHABET + b) * ALPHABET]), path) for (a, b, _), (score, path) in best.items()), key=lambda x: x[0])
+        letters = []
+        while path:
+            path, out = path
+            letters.append(out)
+        return score, "".join(reversed(letters))
 
     def restore(self, texts: list[str]) -> list[str]:
         """The texts with every disguised span decoded, in lower case where one was found."""
@@ -172,10 +179,11 @@ def word_features(words: set[str]) -> set[str]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """text and toxic of labelled documents outside the held-out fold; ``rows`` at most."""
+    """text, toxic and doc_id of labelled documents outside the held-out fold, one text an id; ``rows`` at most, the first by hash."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (id_crc(F.col("doc_id")) % 3 != 1))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # bounded by ``rows``
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # bounded by ``rows``
+    return one_text(found, F.first("toxic").alias("toxic"))
 
 
 def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, rows: int = TRAIN_ROWS) -> tuple[dict[str, float], float]:
@@ -219,7 +227,8 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows
 
     Labels of the held-out fold (crc32 of the id modulo 3 is 1) are never read, and lang, source and ids
     are no inputs. Null texts are scored as empty; equal texts get equal scores; without labels of
-    both classes every score is the rate that is known. Extra columns are ignored.
+    both classes every score is the rate that is known. Repeated rows are rows, extra columns are
+    ignored, an empty table gives no rows.
     """
     model = character_model(docs)
     weights, rest = lexicon(docs, labels, model, rows)
@@ -243,7 +252,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` below the threshold, with their columns."""
+    """The rows of ``docs`` below the threshold, with their columns; see score(). Null and empty texts stay, repeats are judged alike."""
     model = character_model(docs)
     weights, rest = lexicon(docs, labels, model)
     beginnings = {k: {w[:-1] for w in weights if w.endswith("~") and len(w) == k + 1} for k in (4, 5, 6)}
