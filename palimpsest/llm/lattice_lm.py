@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import id_crc, slices, staged, texts_of
-from palimpsest.llm.hashing import mix as _mix, powers as _power_tables
+from palimpsest.llm.hashing import mix, powers, span_hashes
 
 HEAD = 131_072  # the most frequent words, whose counts every task gets; all others are joined exactly
 ZIPF = 2.7  # a piece of rank r weighs 1 / (r + ZIPF)
 BYTES = 0.01  # mass of the 256 byte pieces, which any character without a piece falls back on
 MARK = 0x2581  # begins a word
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+SLICE = 2_000_000  # bytes of text that a task has in arrays at once, unless one text is longer
 WIDTHS = (*range(2, 14), 17, 25, 33, 49, 65)  # word lengths (with the mark) are padded to these, longer ones to powers of two
 
 
@@ -36,7 +37,7 @@ def default_vocabulary() -> str:
 
 
 def _hash(points: np.ndarray) -> np.ndarray:
-    return _mix((points.astype(np.uint64) + np.uint64(1)) * _ODD)
+    return mix((points.astype(np.uint64) + np.uint64(1)) * _ODD)
 
 
 class Words:
@@ -50,9 +51,7 @@ class Words:
         edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
         self.begin, end = edge[0::2], edge[1::2]
         self.length = end - self.begin
-        up, down = _power_tables(len(self.points) + 1)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_hash(self.points) * up[: len(self.points)])))
-        self.hash = _mix((total[end] - total[self.begin]) * down[self.begin] + self.length.astype(np.uint64))
+        self.hash = span_hashes(_hash(self.points), self.begin, end)
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
         self.text = np.searchsorted(begins, self.begin, "right") - 1
 
@@ -72,15 +71,15 @@ class Lattice:
         logp = np.log(weight / weight.sum() * (1 - BYTES))
         pieces = [np.array([*map(ord, model.id_to_piece(k))], np.uint64) for k in own]
         self.most = max(map(len, pieces))
-        up, _ = _power_tables(1 << 12)
-        keys = np.array([_mix((_hash(p) * up[: len(p)]).sum(keepdims=True) + np.uint64(len(p)))[0] for p in pieces])
+        up, _ = powers(self.most)
+        keys = np.array([mix((_hash(p) * up[: len(p)]).sum(keepdims=True) + np.uint64(len(p)))[0] for p in pieces])
         by = np.argsort(keys)
         self.keys, self.logp = keys[by], logp[by]
 
     def forward(self, points: np.ndarray) -> np.ndarray:
         """alpha[j] of each row: log probability of its first j characters, over all segmentations."""
         n, width = points.shape
-        up, down = _power_tables(width + 1)
+        up, down = powers(width + 1)
         total = np.concatenate((np.zeros((n, 1), np.uint64), np.cumsum(_hash(points) * up[:width], axis=1)), axis=1).T
         spelled = (1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)).T * math.log(BYTES / 256)
         alpha = np.full((width + 1, n), -np.inf)
@@ -88,7 +87,7 @@ class Lattice:
         for j in range(1, width + 1):
             paths = np.empty((min(self.most, j), n))
             for k in range(1, len(paths) + 1):
-                key = _mix((total[j] - total[j - k]) * down[j - k] + np.uint64(k))
+                key = mix((total[j] - total[j - k]) * down[j - k] + np.uint64(k))
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 p = np.where(self.keys[at] == key, self.logp[at], -np.inf)
                 paths[k - 1] = alpha[j - k] + (np.where(np.isinf(p), spelled[j - 1], p) if k == 1 else p)
@@ -103,7 +102,7 @@ class Lattice:
         width = widths[np.searchsorted(widths, length)]
         for size in np.unique(width).tolist():
             members = np.flatnonzero(width == size)
-            step = max(1, 400_000 // size)
+            step = max(1, 200_000 // size)
             for own in (members[k : k + step] for k in range(0, len(members), step)):
                 place = w.begin[at[own]][:, None] + np.arange(size - 1)
                 inside = np.arange(size - 1) < w.length[at[own]][:, None]
@@ -126,7 +125,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): exact counts of all words by 64-bit hash; each batch adds up its own first."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, 8_000_000):
+        for batch in slices(batches, 0, SLICE):
             word, n = np.unique(Words(texts_of(batch.column(0))).hash, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
 
@@ -159,7 +158,7 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def evaluated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, row = load(path), TaskContext.get().partitionId() << 33
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             texts = texts_of(batch.column(1))
             w, n = Words(texts), len(texts)
             word, first, back = np.unique(w.hash, return_index=True, return_inverse=True)

@@ -1,8 +1,10 @@
 """The operators on a fixture with nulls, empty and blank texts, repeated rows, copies, and columns with other names' values."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -194,6 +196,52 @@ def test_word_scores(docs):
     assert {r.n_tokens for r in rows if r.doc_id in (0, 1, 2)} == {1}
 
 
+def test_word_scores_match_brute_force(docs):
+    words = {k: re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or "")) for k, t in enumerate(t for _, t in ROWS)}
+    held = [zlib.crc32(("" if k is None else str(k)).encode()) % 5 == 1 for k, _ in ROWS]
+    counts = Counter(w for k, ws in words.items() if not held[k] for w in [*ws, None])
+    total, distinct = sum(counts.values()), len(counts)
+
+    def base(ws):
+        return sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in [*ws, None])
+
+    want = Counter((ROWS[k][0], held[k], len(ws) + 1, sum(counts[w] > 0 for w in [*ws, None]), total, round(base(ws), 4)) for k, ws in words.items())
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in lattice_lm.score(docs).collect()) == want
+
+
+def test_lattice_sums_over_all_segmentations():
+    lattice = lattice_lm.load(lattice_lm.default_vocabulary())
+    known = dict(zip(lattice.keys.tolist(), lattice.logp.tolist()))
+
+    def piece(chars):
+        points = lattice_lm.np.array([*map(ord, chars)], "u8")
+        up, _ = lattice_lm.powers(len(points))
+        return known.get(int(lattice_lm.mix((lattice_lm._hash(points) * up[: len(points)]).sum(keepdims=True) + lattice_lm.np.uint64(len(points)))[0]))
+
+    def total(chars):
+        if not chars:
+            return 1.0
+        out = 0.0
+        for k in range(1, min(lattice.most, len(chars)) + 1):
+            p = piece(chars[:k])
+            if p is None and k == 1:
+                p = len(chars[:k].encode()) * math.log(lattice_lm.BYTES / 256)
+            out += math.exp(p) * total(chars[k:]) if p is not None else 0.0
+        return out
+
+    w = lattice_lm.Words(["the reading of zq€x"])
+    got = lattice.words(w, lattice_lm.np.arange(len(w.begin)))
+    assert [round(x, 6) for x in got] == [round(math.log(total("\u2581" + x)), 6) for x in "the reading of zq€x".split()]
+
+
+def test_long_texts_take_linear_time(spark):
+    started = time.perf_counter()
+    restorer = toxicity.Restorer(toxicity.character_model(spark.createDataFrame([("a plain text " * 50,)], "text string")))
+    for text in ("a" * 200_000, "ab" * 200_000, "s t u p 1 d " * 20_000, "1d10t " * 50_000, "x1" * 50_000):
+        restorer.restore([text])
+    assert time.perf_counter() - started < 60
+
+
 @pytest.mark.parametrize("operator", [packing.pack, bpe.encode_decode, sharding.shard, audio.telephony, pii.find, ngram_join.near_duplicates, lattice_lm.score, quality_rules.keep])
 def test_empty_tables(docs, operator):
     assert operator(docs.filter("false")).count() == 0
