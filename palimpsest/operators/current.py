@@ -18,10 +18,20 @@ def unlisted(mirror: DataFrame, listed: DataFrame, pair: list[str], seq: str = "
 
 
 def ambiguous(versions: DataFrame, pair: list[str], claim: str = "current", received: str = "received", seq: str = "seq") -> DataFrame:
-    """Pairs with several claims: their number and the claims as seq@date in order."""
-    own = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(received).cast("string").alias("d"))))
-    found = versions.filter(claim).groupBy(*pair).agg(F.count("*").alias("claims"), own.alias("x")).filter("claims > 1")
-    return found.withColumn("listed", F.array_join(F.transform("x", lambda c: F.concat(c["s"].cast("string"), F.lit("@"), F.coalesce(c["d"], F.lit("")))), ",")).drop("x")
+    """Pairs with several claims: their number, the claims as seq@date in order, and the sequence that wins."""
+    own = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.coalesce(F.col(received).cast("string"), F.lit("(none)")).alias("d"))))
+    wins = F.max_by(seq, F.struct(F.col(received).isNotNull(), received, seq)).alias("winner")
+    found = versions.filter(claim).groupBy(*pair).agg(F.count("*").alias("claims"), own.alias("x"), wins).filter("claims > 1")
+    return found.withColumn("listed", F.array_join(F.transform("x", lambda c: F.concat(c["s"].cast("string"), F.lit("@"), c["d"])), ",")).drop("x")
+
+
+def apply_authority(mirror: DataFrame, listed: DataFrame, pair: list[str], seq: str = "seq") -> DataFrame:
+    """Live mirror versions whose flag changes: what the list's authority says, and false where a mentioned pair's list lacks them."""
+    key = [*pair, seq]
+    ruled = authority(listed, pair).select(*key, F.col("is_current").alias("ruled"))
+    gone = unlisted(mirror, listed, pair).select(*key, F.lit(False).alias("ruled"))
+    live = mirror.filter("not is_deleted").join(ruled.unionByName(gone), key)
+    return live.filter(~F.col("current").eqNullSafe(F.col("ruled"))).select(*key, F.col("ruled").alias("current"))
 
 
 def without_current(versions: DataFrame, entity: str, claim: str = "current") -> DataFrame:

@@ -11,12 +11,19 @@ def fold(events: DataFrame, keys: list[str], kind: str, order: str) -> DataFrame
     return events.groupBy(*keys, kind).agg(F.max_by(F.struct(*[c for c in events.columns if c not in (*keys, kind)]), order).alias("e")).select(*keys, kind, "e.*")
 
 
+def new_attempts(status: DataFrame, attempts: DataFrame, recorded: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """The attempts to append, each with a verdict: written, already recorded, or orphaned (no status row)."""
+    known = status.select(*keys).distinct().withColumn("known", F.lit(True))
+    there = recorded.select(*keys, number).distinct().withColumn("there", F.lit(True))
+    d = attempts.join(known, keys, "left").join(there, [*keys, number], "left")
+    verdict = F.when(F.col("known").isNull(), "orphaned").when(F.col("there"), "already_recorded").otherwise("written")
+    return d.withColumn("verdict", verdict).drop("known", "there")
+
+
 def append_attempts(status: DataFrame, attempts: DataFrame, recorded: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """One row: attempts written (their status row exists, the grain is new), already recorded, and orphaned."""
-    known = attempts.join(status.select(*keys).distinct(), keys, "left_semi")
-    new = known.join(recorded.select(*keys, number), [*keys, number], "left_anti")
-    n = attempts.agg(F.count("*").alias("all"))
-    return n.crossJoin(known.agg(F.count("*").alias("known"))).crossJoin(new.agg(F.count("*").alias("written"))).select("written", (F.col("known") - F.col("written")).alias("already_recorded"), (F.col("all") - F.col("known")).alias("orphaned"))
+    """One row: attempts written, already recorded and orphaned, in one aggregation."""
+    n = lambda v: F.coalesce(F.sum((F.col("verdict") == v).cast("long")), F.lit(0)).alias(v)
+    return new_attempts(status, attempts, recorded, keys, number).agg(n("written"), n("already_recorded"), n("orphaned"))
 
 
 def stranded(status: DataFrame, runs: DataFrame, run: str) -> DataFrame:
@@ -54,3 +61,70 @@ def watermark_audit(requests: DataFrame, feed: str, order: str, at: str, today,
     before = F.max(ok).over(Window.partitionBy(feed, "segment").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
     verdict = F.when(F.col("future"), "future").when(~F.col(rewind) & (F.col(at) < before), "rewind").otherwise("accepted")
     return r.withColumn("verdict", verdict).drop("future", "segment")
+
+
+def enumerate_plan(status: DataFrame, elements: DataFrame, keys: list[str], location: str = "location") -> DataFrame:
+    """Each enumerated element with its action: insert as Pending, revive (reset to Pending), correct the location, or noop.
+
+    A live row keeps its progress: only its location is ever corrected.
+    """
+    t, e = status.alias("t"), elements.alias("e")
+    moved = ~F.col(f"t.{location}").eqNullSafe(F.col(f"e.{location}"))
+    action = F.when(F.col("t.is_deleted").isNull(), "insert").when(F.col("t.is_deleted"), "revive").when(moved, "correct").otherwise("noop")
+    fresh = F.col("t.is_deleted").isNull() | F.col("t.is_deleted")
+    joined = e.join(t, [F.col(f"t.{k}") == F.col(f"e.{k}") for k in keys], "left")
+    return joined.select(
+        *(F.col(f"e.{k}") for k in keys),
+        F.col(f"e.{location}"),
+        F.when(fresh, "Pending").otherwise(F.col("t.status")).alias("status"),
+        F.when(~fresh, F.col("t.outcome")).alias("outcome"),
+        F.when(fresh, 0).otherwise(F.col("t.attempts")).alias("attempts"),
+        action.alias("action"),
+    )
+
+
+CAP_MS = 2_147_483_647  # of a derived duration
+
+
+def progress(status: DataFrame, elements: DataFrame, keys: list[str], mode: str, now) -> DataFrame:
+    """The live status rows that ``elements`` name after mode Attempt, Fail or Skip; Succeeded rows stay (written is false).
+
+    Attempt sets the count, so that a repeat can't inflate it, and clears what the attempt before left;
+    Fail derives the duration since the attempt began, if one did.
+    """
+    t, e = status.filter("not is_deleted").alias("t"), elements.alias("e")
+    d = t.join(e, [F.col(f"t.{k}") == F.col(f"e.{k}") for k in keys])
+    open_ = F.col("t.status") != "Succeeded"
+    since = F.least(F.expr("timestampdiff(MILLISECOND, t.attempt_started, __now)"), F.lit(CAP_MS)).cast("long")
+    d = d.withColumn("__now", now)
+    new = {
+        "Attempt": {"status": F.lit("InProgress"), "attempts": F.col("e.attempt"), "http": F.lit(None).cast("int"), "outcome": F.col("t.outcome"), "duration": F.col("t.duration")},
+        "Fail": {"status": F.lit("Failed"), "attempts": F.col("t.attempts"), "http": F.col("e.http"), "outcome": F.lit(None).cast("string"), "duration": F.when(F.col("t.attempt_started").isNotNull(), since)},
+        "Skip": {"status": F.lit("Skipped"), "attempts": F.col("t.attempts"), "http": F.col("t.http"), "outcome": F.lit(None).cast("string"), "duration": F.col("t.duration")},
+    }[mode]
+    return d.select(*(F.col(f"t.{k}") for k in keys), *(F.when(open_, v).otherwise(F.col(f"t.{c}")).alias(c) for c, v in new.items()), open_.alias("written"))
+
+
+def progress_counts(elements: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: elements, written, skipped_succeeded, not_found."""
+    both = elements.select(F.lit(None).cast("boolean").alias("written")).unionByName(after.select("written"))
+    n = lambda c, name: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(name)
+    found = both.agg(n(F.col("written").isNull(), "elements"), n(F.col("written"), "written"), n(~F.col("written"), "skipped_succeeded"))
+    return found.withColumn("not_found", F.col("elements") - F.col("written") - F.col("skipped_succeeded"))
+
+
+#: Marks of a path that may carry more than a path.
+UNSAFE_PATH = r"^[^/]|\?|#|://|@|/auth/"
+NOTICE, WIDTH_NOTICE = "(withheld)", "(withheld: too long)"
+
+
+def withheld(attempts: DataFrame) -> DataFrame:
+    """``attempts`` with unsafe or over-wide paths and messages replaced by a notice, over-wide codes and ids nulled, and their number."""
+    path, long = F.col("path"), lambda c, n: F.length(F.rtrim(F.col(c))) > n
+    unsafe = path.rlike(UNSAFE_PATH)
+    too_long = F.concat(F.lit("(withheld: "), F.length(F.rtrim(path)).cast("string"), F.lit(" characters)"))
+    text = {c: F.when(F.col(c).contains("/auth/") | F.col(c).contains("/api/v1/auth"), NOTICE).when(long(c, 4000), WIDTH_NOTICE).otherwise(F.col(c)) for c in ("message", "failure")}
+    code = {c: F.when(~long(c, n), F.col(c)) for c, n in (("error_code", 100), ("error_id", 50))}
+    new = {"path": F.when(unsafe, NOTICE).when(long("path", 400), too_long).otherwise(path)} | text | code
+    changed = sum((~F.col(c).eqNullSafe(v)).cast("int") for c, v in new.items())
+    return attempts.select(*(c for c in attempts.columns if c not in new), changed.alias("withheld"), *(v.alias(c) for c, v in new.items()))

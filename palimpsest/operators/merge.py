@@ -93,3 +93,57 @@ def converged(before: DataFrame, after: DataFrame) -> DataFrame:
     """(side, n): rows that only one of two snapshots has; no rows where a second run changed nothing."""
     one = lambda a, b, name: a.exceptAll(b).agg(F.count("*").alias("n")).select(F.lit(name).alias("side"), "n")
     return one(before, after, "lost").unionByName(one(after, before, "gained")).filter("n > 0")
+
+
+def raw_plan(target: DataFrame, batch: DataFrame, keys: list[str], digest: str = "payload_sha256") -> DataFrame:
+    """Actions on the raw store: insert, or update where the text's hash differs or the row is deleted, else noop."""
+    t, b = target.alias("t"), batch.alias("b")
+    changed = F.col("t.is_deleted") | ~F.col(f"t.{digest}").eqNullSafe(F.col(f"b.{digest}"))
+    action = F.when(F.col("t.is_deleted").isNull(), "insert").when(changed, "update").otherwise("noop")
+    return b.join(t, [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys], "left").select(*(F.col(f"b.{k}") for k in keys), action.alias("action"))
+
+
+def grandchild_merge(target: DataFrame, batch: DataFrame, sent: DataFrame, children: DataFrame, parent: list[str], ordinals: list[str], columns: list[str]) -> DataFrame:
+    """child_merge() one level down: only rows under children that are live after their own merge take part."""
+    own = [*parent, ordinals[0]]
+    live = children.filter("action <> 'retire' and not gone").select(*own)
+    return child_merge(target.join(live, own, "left_semi"), batch.join(live, own, "left_semi"), sent, own, columns, ordinals[1])
+
+
+def missing_parents(elements: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
+    """Elements for which no live parent is there after the merge: none, or the batch is refused."""
+    return elements.join(parents.filter("not is_deleted").select(*keys), keys, "left_anti")
+
+
+def nested_code_plan(target: DataFrame, batch: DataFrame, owners: DataFrame, owner: str, ordinal: str, columns: list[str], full: bool) -> DataFrame:
+    """Upsert of a list nested in code-list elements; ``full`` retires ordinals that a live owner of the payload lacks, and all rows of retired owners."""
+    plan = merge_plan(target, batch, [owner, ordinal], columns).select(owner, ordinal, "action")
+    if not full:
+        return plan
+    live = target.filter("not is_deleted").join(batch, [owner, ordinal], "left_anti")
+    gone = live.join(owners.select(owner, "retired"), owner).select(owner, ordinal, F.when(F.col("retired"), "cascade").otherwise("retire").alias("action"))
+    return plan.unionByName(gone)
+
+
+def deleted_status(status: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
+    """Status rows of deleted versions that change: Succeeded with outcome SoftDeleted."""
+    hit = status.join(doomed.select(*keys).distinct(), keys, "left_semi")
+    differs = ~(F.col("status").eqNullSafe(F.lit("Succeeded")) & F.col("outcome").eqNullSafe(F.lit("SoftDeleted")))
+    return hit.filter(differs).withColumns({"status": F.lit("Succeeded"), "outcome": F.lit("SoftDeleted")})
+
+
+def side_rows_to_retire(side: DataFrame, versions: DataFrame, doomed: DataFrame, keys: list[str], entity: str) -> DataFrame:
+    """Live rows of a table kept per entity, for entities whose last live version is deleted."""
+    touched = doomed.select(entity).distinct()
+    left = versions.filter("not is_deleted").join(doomed.select(*keys), keys, "left_anti").select(entity).distinct()
+    return side.filter("not is_deleted").join(touched.join(left, entity, "left_anti"), entity, "left_semi")
+
+
+def stamped(table: DataFrame, doomed: DataFrame, keys: list[str], at: str, reason: str) -> DataFrame:
+    """``table`` with its live rows of the doomed versions deleted: one stamp, and a reason of ten characters at least."""
+    if len(reason.strip()) < 10:
+        raise ValueError("a deletion needs a reason of ten characters")
+    hit = table.join(doomed.select(*keys).distinct().withColumn("__hit", F.lit(True)), keys, "left")
+    now = F.coalesce("__hit", F.lit(False)) & ~F.col("is_deleted")
+    at_ = F.when(now, F.lit(at).cast("timestamp"))
+    return hit.withColumns({"deleted_at": at_, "deleted_reason": F.when(now, F.lit(reason)), "is_deleted": F.col("is_deleted") | now}).drop("__hit")

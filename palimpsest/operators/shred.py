@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.fieldmap import FieldMap
@@ -29,13 +29,28 @@ def presence(df: DataFrame, keys: list[str], path: str) -> DataFrame:
 
 
 def walk(df: DataFrame, keys: list[str], body: str = "body", depth: int = 8) -> DataFrame:
-    """(keys, path, key, depth, value) of every property of any document, to ``depth``; array steps read []."""
-    spark, out = df.sparkSession, None
-    level = df.select(*keys, F.lit("$").alias("path"), F.try_parse_json(body).alias("value"))
-    listed = ", ".join(keys)
-    for k in range(1, depth + 1):
-        level.createOrReplaceTempView("__level")
-        level = spark.sql(f"SELECT {', '.join(f'l.{x}' for x in keys)}, concat(l.path, coalesce(concat('.', e.key), '[]')) AS path, e.key AS key, e.value AS value FROM __level l, LATERAL variant_explode(l.value) e")
-        named = level.filter("key is not null").select(*keys, "path", "key", F.lit(k).alias("depth"), "value")
-        out = named if out is None else out.unionByName(named)
-    return out
+    """(keys, path, key, depth, value) of every property of any document, to ``depth``; array steps read [].
+
+    A document is parsed once and its levels are made one from the other inside its row.
+    """
+    node = "array<struct<path:string,key:string,depth:int,value:variant>>"
+    none = F.expr(f"cast(array() as {node})")
+
+    def inside(n: Column, k: Column) -> Column:
+        child = lambda path, key, value: F.struct(path.alias("path"), key.alias("key"), k.alias("depth"), value.alias("value"))
+        named = F.map_entries(F.try_variant_get(n["value"], "$", "map<string,variant>"))
+        listed = F.try_variant_get(n["value"], "$", "array<variant>")
+        return F.concat(
+            F.coalesce(F.transform(named, lambda e: child(F.concat(n["path"], F.lit("."), e["key"]), e["key"], e["value"])), none),
+            F.coalesce(F.transform(listed, lambda e: child(F.concat(n["path"], F.lit("[]")), F.lit(None).cast("string"), e)), none),
+        )
+
+    def step(acc: Column, k: Column) -> Column:
+        below = F.flatten(F.transform(acc["level"], lambda n: inside(n, k)))
+        # The one-element transform binds the new level, so that it is made once.
+        return F.get(F.transform(F.array(below), lambda x: F.struct(x.alias("level"), F.concat(acc["found"], x).alias("found"))), F.lit(0))
+
+    root = F.array(F.struct(F.lit("$").alias("path"), F.lit(None).cast("string").alias("key"), F.lit(0).alias("depth"), F.try_parse_json(body).alias("value")))
+    begin = F.struct(root.cast(node).alias("level"), none.alias("found"))
+    levels = F.array(*(F.lit(k) for k in range(1, depth + 1)))
+    return df.select(*keys, F.inline(F.aggregate(levels, begin, step, lambda acc: acc["found"]))).filter("key is not null")

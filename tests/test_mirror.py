@@ -34,9 +34,9 @@ def test_duplicates_refuse_the_batch(spark):
 
 def test_id_shaped_terms_are_prefixes_of_ids_only(spark):
     d = spark.createDataFrame([("MD1A", "md1 works", ""), ("XX", "md1a", "")], "i string, n string, p string")
-    assert [r.i for r in reads.search(d, "md1", "i", "n", "p").collect()] == ["MD1A"]
+    assert [r.i for r in reads.search(d, "md1", "i", "n", "p", "i").collect()] == ["MD1A"]
     with pytest.raises(ValueError):
-        reads.search(d, " x ", "i", "n", "p")
+        reads.search(d, " x ", "i", "n", "p", "i")
 
 
 def test_snapshots_are_whole(spark, tmp_path):
