@@ -95,7 +95,7 @@ def progress(status: DataFrame, elements: DataFrame, keys: list[str], mode: str,
     t, e = status.filter("not is_deleted").alias("t"), elements.alias("e")
     d = t.join(e, [F.col(f"t.{k}") == F.col(f"e.{k}") for k in keys])
     open_ = F.col("t.status") != "Succeeded"
-    since = F.least(F.expr("timestampdiff(MILLISECOND, t.attempt_started, __now)"), F.lit(CAP_MS)).cast("long")
+    since = F.least(F.unix_millis("__now") - F.unix_millis("t.attempt_started"), F.lit(CAP_MS)).cast("long")
     d = d.withColumn("__now", now)
     new = {
         "Attempt": {"status": F.lit("InProgress"), "attempts": F.col("e.attempt"), "http": F.lit(None).cast("int"), "outcome": F.col("t.outcome"), "duration": F.col("t.duration")},

@@ -147,3 +147,8 @@ def stamped(table: DataFrame, doomed: DataFrame, keys: list[str], at: str, reaso
     now = F.coalesce("__hit", F.lit(False)) & ~F.col("is_deleted")
     at_ = F.when(now, F.lit(at).cast("timestamp"))
     return hit.withColumns({"deleted_at": at_, "deleted_reason": F.when(now, F.lit(reason)), "is_deleted": F.col("is_deleted") | now}).drop("__hit")
+
+
+def outcome_rows(plan: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per version that the merge inserted or updated; an unchanged one has none."""
+    return plan.filter("action <> 'noop'").select(*keys, F.when(F.col("action") == "insert", "Inserted").otherwise("Updated").alias("outcome"))

@@ -106,7 +106,7 @@ def summary(runs: DataFrame, status: DataFrame, attempts: DataFrame, observation
         F.count("*").alias("observation_rows"), *named("severity", "observation", ("Error", "Warning", "Info")), F.count_distinct("type").alias("observation_types")
     )
     d = runs.join(s, run, "left").join(a, run, "left").join(o, run, "left")
-    d = d.fillna(0, [c for x in (s, a, o) for c, kind in x.dtypes if kind == "bigint" and c != run and not c.endswith("_max")])
+    d = d.fillna(0, [c for x in (s, a, o) for c, kind in x.dtypes if kind == "bigint" and c != run and c not in ("first_seen", "last_completed") and not c.endswith("_max")])
     pairs = {"failed": "status_failed", "skipped": "status_skipped", "inserted": "outcome_inserted", "updated": "outcome_updated", "unchanged": "outcome_unchanged", "soft_deleted": "outcome_softdeleted"}
     differs = reduce(Column.__or__, (F.col(own) != F.col(seen) for own, seen in pairs.items()))
     return d.withColumn("drift", F.when(F.col("run_status") != "Running", F.coalesce(differs, F.lit(False)))).drop(*pairs)

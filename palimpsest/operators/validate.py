@@ -57,3 +57,24 @@ def foreign_windows(df: DataFrame, window: str, location: str, scope: str) -> Da
     """Windows with any element of another location (blank passes): they are refused whole."""
     c = F.upper(F.trim(F.coalesce(location, F.lit(""))))
     return df.groupBy(window).agg(F.sum(((c != "") & (c != scope)).cast("long")).alias("foreign")).filter("foreign > 0")
+
+
+def foreign_entities(df: DataFrame, asked: str, named: str) -> DataFrame:
+    """Requests whose reply names another entity: refused for that entity alone."""
+    return df.groupBy(asked).agg(F.sum((F.col(named) != F.col(asked)).cast("long")).alias("foreign_rows")).filter("foreign_rows > 0")
+
+
+def unexpected(walked: DataFrame, known: list[str]) -> DataFrame:
+    """Property names at any depth that the known ones, whatever their case, don't include; reported, never fatal."""
+    return walked.filter(~F.lower("key").isin(*(k.lower() for k in known))).groupBy("key").agg(F.count("*").alias("n"))
+
+
+def unreadable(df: DataFrame, read: dict[str, Column]) -> DataFrame:
+    """(column, value, n) of values that a lenient reading can't make out; never taken for false."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), v.isNull().alias("bad")) for c, v in read.items()]
+    return df.select(F.explode(F.array(*cells)).alias("x")).filter("x.bad").groupBy("x.column", "x.value").agg(F.count("*").alias("n"))
+
+
+def missing_nested_codes(elements: DataFrame, key: str, nested: str) -> DataFrame:
+    """(key, pos) of nested elements without a code."""
+    return elements.select(key, F.posexplode(nested).alias("pos", "element")).filter("element.code is null or trim(element.code) = ''").select(key, "pos")

@@ -7,7 +7,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from palimpsest.plans.queries import ORACLE_SQL, QUERIES
+from palimpsest.plans import load_queries, queries
+
+QUERIES, ORACLE_SQL = queries.QUERIES | load_queries.QUERIES, queries.ORACLE_SQL | load_queries.ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 
