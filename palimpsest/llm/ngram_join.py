@@ -221,10 +221,14 @@ def _overlap_needed(n: Column, m: Column, percent: int) -> Column:
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Length and positional filter for two sets that share the n-gram at a.pos and b.pos."""
+    """Length and positional filter for two sets that share the n-gram at a.pos and b.pos.
+
+    The first n-gram in the order that two sets share has all others after it in both. So a pair that
+    links passes at its first common n-gram; at later ones it need not.
+    """
     an, bn = F.col(f"{a}.n"), F.col(f"{b}.n")
     length = (100 * F.least(an, bn)) >= (percent * F.greatest(an, bn))
-    position = F.least(f"{a}.pos", f"{b}.pos") + 1 + F.least(f"{a}.rest", f"{b}.rest") >= _overlap_needed(an, bn, percent)
+    position = F.least(f"{a}.rest", f"{b}.rest") + 1 >= _overlap_needed(an, bn, percent)
     return length & position & (F.col(f"{a}.comp") != F.col(f"{b}.comp"))
 
 
