@@ -10,6 +10,7 @@ Native expressions only; what reaches the driver is bounded by the number of vot
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 CONTEXT = 24  # characters before a span that a labeler or the classifier looks at
 ACCEPT = 0.5
 BLOCK = 64  # matches that are summed together when positions are computed
+CUT = 256  # characters of a block of the text; a substring is taken from its blocks, never by a scan from the start
 
 #: Fixed values of the labelers: words that announce a secret, and openings of keys.
 ANNOUNCE = r"(?i)(?:passwor[dt]|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)"
@@ -105,6 +107,29 @@ def _spans_of_kind(text: Column, kind: str) -> Column:
     return F.coalesce(made, F.expr("cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)"))
 
 
+def _upto(spans_of_kind: Column, field: str, x: Column) -> Column:
+    """How many spans have ``field`` <= x, by bisection; the spans of one kind ascend in start and end alike."""
+
+    def halved(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        right = F.get(spans_of_kind, mid)[field] <= x
+        return F.when(acc["lo"] >= acc["hi"], acc).when(right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+
+    n = F.size(spans_of_kind)
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(n))), F.struct(F.lit(0).alias("lo"), n.alias("hi")), halved, lambda acc: acc["lo"])
+
+
+def _cut(text: Column) -> Column:
+    """The text in blocks of CUT code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+
+def _part(cut: Column, start: Column, end: Column) -> Column:
+    """Code points start (from 0) to end of the text whose blocks are ``cut``; its cost goes by the part's length."""
+    first, last = F.floor(start / CUT).cast("int"), F.floor((end - 1) / CUT).cast("int")
+    return F.when(end <= start, "").otherwise(F.substring(F.array_join(F.slice(cut, first + 1, last - first + 1), ""), start % CUT + 1, end - start))
+
+
 def _votes(value: Column, before: Column, is_base: Column) -> dict[str, Column]:
     """Each labeler says 1 (personal or secret), 0 (harmless) or nothing (2)."""
     vote = lambda yes, no: F.when(yes, 1).when(no, 0).otherwise(2)
@@ -140,21 +165,29 @@ def located(docs: DataFrame, *keep: str) -> DataFrame:
     for kind in PATTERNS:
         d = d.withColumn(f"k_{kind}", _spans_of_kind(F.col("text"), kind))
     d = d.withColumn("base", F.array_sort(F.concat(*(F.col(f"k_{k}") for k in PATTERNS))))
-    d = d.withColumn("tokens", _located(F.col("text"), CANDIDATE, F.col("text").rlike("[0-9]")))
-    # Base spans stand beside the tokens, so that the labelers are judged on both.
-    both = F.concat(
-        F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.lit(True).alias("is_base"))),
-        F.transform(F.coalesce("tokens", F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.lit(False).alias("is_base"))),
-    )
-    free = F.filter(both, lambda s: s["is_base"] | ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+    d = d.withColumn("tokens", _located(F.col("text"), CANDIDATE, F.col("text").rlike("[0-9]"))).withColumn("cut", _cut(F.col("text")))
+
+    def covered(s: Column) -> Column:
+        """A base span meets ``s``: of each kind, only the first that ends behind its start can."""
+        out = F.lit(False)
+        for kind in PATTERNS:
+            own = F.col(f"k_{kind}")
+            out = out | ((F.size(own) > 0) & F.coalesce(F.get(own, _upto(own, "end", s["start"]))["start"] < s["end"], F.lit(False)))
+        return out
 
-    def judged(s: Column) -> Column:
-        before = F.substring(F.col("text"), F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-        votes = _votes(s["value"], before, s["is_base"])
-        pattern = sum((votes[k] * 3**j for j, k in enumerate(LABELERS)), F.lit(0))
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["is_base"].alias("is_base"), pattern.alias("votes"), F.array(*_features(s["value"], before)).alias("features"))
+    def judged(is_base: bool) -> Callable[[Column], Column]:
+        def one(s: Column) -> Column:
+            before = _part(F.col("cut"), F.greatest(s["start"] - CONTEXT, F.lit(0)), s["start"])
+            votes = _votes(s["value"], before, F.lit(is_base))
+            pattern = sum((votes[k] * 3**j for j, k in enumerate(LABELERS)), F.lit(0))
+            return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(is_base).alias("is_base"), pattern.alias("votes"), F.array(*_features(s["value"], before)).alias("features"))
 
-    return d.select(*keep, F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).alias("base"), F.transform(free, judged).alias("candidates"))
+        return one
+
+    # Base spans stand beside the tokens, so that the labelers are judged on both.
+    free = F.filter(F.coalesce("tokens", F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")), lambda s: ~covered(s))
+    candidates = F.concat(F.transform("base", judged(True)), F.transform(free, judged(False)))
+    return d.select(*keep, F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).alias("base"), candidates.alias("candidates"))
 
 
 def reliabilities(histogram: dict[int, int], rounds: int = 50) -> tuple[dict[int, float], dict[str, tuple[float, float]]]:
@@ -218,7 +251,7 @@ def _listed(spans_column: str) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every row of ``docs``.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_secret of every row of ``docs``.
 
     Positions count code points, ends are exclusive. Null and empty texts have no spans; repeated
     rows and null ids are rows like any others; extra columns are ignored; an empty table gives no rows.
@@ -226,28 +259,42 @@ def find(docs: DataFrame) -> DataFrame:
     found = staged(located(docs, "doc_id"), "spans")
     counts = [_count(k).cast("long").alias(f"n_{kind}") for k, kind in enumerate(PATTERNS)]
     listed = F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"), _listed("all_spans").alias("spans")
-    return decided(found, classifier(found)).select("doc_id", *counts, *listed)
+    return decided(found, classifier(found)).select("doc_id", *counts, *listed, F.size(_of_kind("all_spans", len(PATTERNS))).cast("long").alias("n_secret"))
+
+
+def _of_kind(column: str, kind: int) -> Column:
+    return F.filter(column, lambda s: s["kind"] == kind)
 
 
 def _count(kind: int) -> Column:
-    return F.size(F.filter("base", lambda s: s["kind"] == kind))
+    return F.size(_of_kind("base", kind))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one, named by the first. Null texts stay null."""
-    d = docs.select(F.struct(*docs.columns).alias("__row"), F.coalesce("text", F.lit("")).alias("text"))
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    d = docs.select(F.struct(*columns).alias("__row"), F.coalesce("text", F.lit("")).alias("text"))
     found = staged(located(d, "__row"), "located")
-    d = decided(found.withColumn("__text", F.coalesce("__row.text", F.lit(""))), classifier(found))
+    d = decided(found, classifier(found)).withColumn("cut", _cut(F.coalesce("__row.text", F.lit(""))))
+    for kind in range(len(KINDS)):
+        d = d.withColumn(f"k{kind}", _of_kind("all_spans", kind))
     names = F.array(*map(F.lit, KINDS))
-    begin = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        start = F.greatest(s["start"], acc["at"])
-        before = F.substring(F.col("__text"), acc["at"] + 1, start - acc["at"])
-        mark = F.when(s["start"] >= acc["at"], F.concat(F.lit("["), F.upper(F.get(names, s["kind"])), F.lit("]"))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.array_append(acc["out"], F.concat(before, mark)).alias("out"))
-
-    end = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("__text"), acc["at"] + 1, F.length("__text")))
-    clean = F.when(F.size("all_spans") > 0, F.aggregate("all_spans", begin, step, end)).otherwise(F.col("__row.text"))
-    d = d.withColumn("clean", clean)
-    return d.select(*(F.col("clean").alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns))
+
+    def reached(s: Column) -> Column:
+        """The end of all spans that stand before ``s`` in the list."""
+        ends = []
+        for kind in range(len(KINDS)):
+            own = F.col(f"k{kind}")
+            before = F.when(F.lit(kind) < s["kind"], s["start"]).otherwise(s["start"] - 1)
+            ends.append(F.coalesce(F.get(own, _upto(own, "start", before) - 1)["end"], F.lit(0)))
+        return F.greatest(*ends)
+
+    def one(s: Column, at: Column) -> Column:
+        mark = F.when(s["start"] >= at, F.concat(F.lit("["), F.upper(F.get(names, s["kind"])), F.lit("]"))).otherwise(F.lit(""))
+        return F.concat(_part(F.col("cut"), at, s["start"]), mark)
+
+    parts = F.array_join(F.transform("all_spans", lambda s: bound(reached(s), lambda at: one(s, at))), "")
+    rest = _part(F.col("cut"), F.array_max(F.transform("all_spans", lambda s: s["end"])), F.length("__row.text"))
+    d = d.withColumn("clean", F.when(F.size("all_spans") > 0, F.concat(parts, rest)).otherwise(F.col("__row.text")))
+    quoted = {c: F.col("__row.`" + c.replace("`", "``") + "`") for c in docs.columns}
+    return d.select(*(F.col("clean").alias(c) if c == "text" else v.alias(c) for c, v in quoted.items()))

@@ -142,6 +142,66 @@ def test_base_spans(docs):
     assert "[EMAIL]" in redacted[7] and "a.b@c.de" not in redacted[7] and redacted[0] is None and redacted[5] == LONG
 
 
+def luhn(digits):
+    return sum(int(c) if k % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for k, c in enumerate(reversed(digits))) % 10 == 0
+
+
+BASE = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v: all(int(x) <= 255 for x in v.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", lambda v: 12 <= len(d := re.sub("[^0-9]", "", v)) <= 19 and luhn(d)),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda v: 9 <= len(re.sub("[^0-9]", "", v)) <= 15),
+}
+
+
+def base_spans(text):
+    found = [(m.start(), k, m.end()) for k, (pattern, good) in enumerate(BASE.values()) for m in re.finditer(pattern, text or "") if good(m[0])]
+    return sorted(found)
+
+
+def personal_texts():
+    parts = ["a.b@c.de", "1.2.3.4", "1.2.3.4.5@x.org", "256.1.1.1", "4111 1111 1111 1111", "4111111111111112", "+1 (555) 123-4567", "+4111111111111111", "+12 34", "key=ghp_a1B2c3D4e5F6g7H8i9J0"]
+    parts += ["token: 9f86d081884c7d659a2feaa0c55ad015", "v2", "😀é", "x@y", "a@b.c@d.e", "1.1.1.1.1.1.1.1", "on 3 May", "\n", "-", "+49 30 1.2.3.4 567"]
+    out = ["".join(R.choice(parts) + R.choice([" ", "", "\n", ", "]) for _ in range(R.randint(1, 25))) for _ in range(120)]
+    return [None, "", " ", *out, *out[:3], "😀" * 700 + " ".join(out[:20])]
+
+
+def test_found_spans_match_brute_force(spark):
+    texts = personal_texts()
+    docs = spark.createDataFrame([(k, t, 1, "x") for k, t in enumerate(texts)], "doc_id long, text string, base int, `k.email` string")
+    rows = pii.find(docs).collect()
+    assert len(rows) == len(texts)
+    spans = {}
+    for r in rows:
+        want, text = base_spans(texts[r.doc_id]), texts[r.doc_id] or ""
+        listed = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in want)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == j for _, k, _ in want) for j in range(4)]
+        every = [(int(a), pii.KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)]
+        added = [s for s in every if s[1] == 4]
+        assert every == sorted(every) and [s for s in every if s[1] < 4] == want and r.n_secret == len(added)
+        for a, _, b in added:  # whole words with a digit that no base span meets
+            assert re.fullmatch(r"[^\x20\x09-\x0D]+", text[a:b]) and re.search("[0-9]", text[a:b]) and not any(x < b and a < y for x, _, y in want)
+        spans[r.doc_id] = every
+    assert any(s[1] == 4 for x in spans.values() for s in x)
+    for r in pii.redact(docs).collect():
+        text, out, at = texts[r.doc_id], "", 0
+        for a, k, b in spans[r.doc_id]:
+            out, at = out + (text[at:a] + f"[{pii.KINDS[k].upper()}]" if a >= at else ""), max(at, b)
+        assert r.text == (out + text[at:] if spans[r.doc_id] else text) and r["k.email"] == "x"
+
+
+def test_many_matches_take_near_linear_time(spark):
+    line = "mail a.b@c.de from 10.0.0.1 with key ghp_a1B2c3D4e5F6g7H8 and more words\n"
+    docs = spark.createDataFrame([(1, line * 20_000), (2, line)], "doc_id long, text string")
+    started = time.perf_counter()
+    found = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert found[1].n_email == found[1].n_ip == 20_000 and found[2].n_email == 1
+    cleaned = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert cleaned[1] == cleaned[2] * 20_000 and "[EMAIL]" in cleaned[2]
+    assert time.perf_counter() - started < 120
+
+
 def test_rules_agree_with_each_other(docs):
     order = list(quality_rules.RULES)
     kept = Counter(r.doc_id for r in quality_rules.report(docs, order).collect() if r.kept)
