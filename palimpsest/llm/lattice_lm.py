@@ -3,8 +3,9 @@
 An existing vocabulary's scores weight every segmentation of a word into pieces; a forward
 recursion in log space sums over all of them, so a text's score is its marginal probability and not
 that of one segmentation. Pieces never cross words, so a word's lattice is evaluated once per batch
-and for many words at a time. How often a text ends is learned from the training fold. Beside it
-stands a smoothed word unigram model with exact counts over the whole training fold.
+and for many words at a time. The piece scores are estimated again by expectation-maximisation over
+the distinct words of the training fold with their counts; how often a text ends is learned from it
+as well. Beside it stands a smoothed word unigram model with exact counts over the whole fold.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from palimpsest.llm.hashing import mix, powers, span_hashes
 
 HEAD = 131_072  # the most frequent words, whose counts every task gets; all others are joined exactly
 ZIPF = 2.7  # a piece of rank r weighs 1 / (r + ZIPF)
+ITERATIONS = 3  # of expectation-maximisation over the training fold
+PRIOR = 10_000.0  # pieces that the vocabulary's own weights count for beside the expected counts
 BYTES = 0.01  # mass of the 256 byte pieces, which any character without a piece falls back on
 MARK = 0x2581  # begins a word
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -75,6 +78,12 @@ class Lattice:
         keys = np.array([mix((_hash(p) * up[: len(p)]).sum(keepdims=True) + np.uint64(len(p)))[0] for p in pieces])
         by = np.argsort(keys)
         self.keys, self.logp = keys[by], logp[by]
+        self.own = self.logp
+
+    def learned(self, mass: np.ndarray) -> np.ndarray:
+        """Log weights from expected counts, smoothed by the vocabulary's own weights."""
+        weight = mass + PRIOR * np.exp(self.own)
+        return np.log(weight / weight.sum() * (1 - BYTES))
 
     def forward(self, points: np.ndarray) -> np.ndarray:
         """alpha[j] of each row: log probability of its first j characters, over all segmentations."""
@@ -95,8 +104,33 @@ class Lattice:
             alpha[j] = top + np.log(np.exp(paths - top).sum(0))
         return alpha
 
-    def words(self, w: Words, at: np.ndarray) -> np.ndarray:
-        """Log probability of the words numbered ``at``."""
+    def expect(self, points: np.ndarray, alpha: np.ndarray, length: np.ndarray, times: np.ndarray, mass: np.ndarray) -> None:
+        """Add to ``mass`` how often each piece is expected in the rows, whose first ``length`` characters count ``times`` times."""
+        n, width = points.shape
+        up, down = powers(width + 1)
+        total = np.concatenate((np.zeros((n, 1), np.uint64), np.cumsum(_hash(points) * up[:width], axis=1)), axis=1).T
+        spelled = (1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)).T * math.log(BYTES / 256)
+        beta = np.full((width + 1, n), -np.inf)
+        beta[length, np.arange(n)] = 0
+        whole = alpha[length, np.arange(n)]
+        for i in range(width - 1, -1, -1):
+            k = np.arange(1, min(self.most, width - i) + 1)[:, None]
+            key = mix((total[i + 1 : i + len(k) + 1] - total[i]) * down[i] + k.astype(np.uint64))
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            is_piece = self.keys[at] == key
+            p = np.where(is_piece, self.logp[at], -np.inf)
+            p[0] = np.where(is_piece[0], p[0], spelled[i])
+            paths = p + beta[i + 1 : i + len(k) + 1]
+            inside = i < length
+            if not inside.any():
+                continue
+            top = np.where(inside, paths.max(0), 0.0)
+            beta[i] = np.where(inside, top + np.log(np.maximum(np.exp(paths - top).sum(0), 1e-300)), beta[i])
+            share = np.exp(paths + np.where(inside, alpha[i] - whole, -np.inf)) * times
+            mass += np.bincount(at[is_piece], share[is_piece], len(mass))
+
+    def words(self, w: Words, at: np.ndarray, times: np.ndarray | None = None, mass: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of the words numbered ``at``; with ``mass``, their expected pieces are added to it."""
         out, length = np.empty(len(at)), w.length[at] + 1
         widths = np.array([*WIDTHS, *(1 << k for k in range(7, 40))])
         width = widths[np.searchsorted(widths, length)]
@@ -107,8 +141,11 @@ class Lattice:
                 place = w.begin[at[own]][:, None] + np.arange(size - 1)
                 inside = np.arange(size - 1) < w.length[at[own]][:, None]
                 points = np.where(inside, w.points[np.minimum(place, len(w.points) - 1)], 0)
-                alpha = self.forward(np.concatenate((np.full((len(own), 1), MARK, points.dtype), points), axis=1))
+                points = np.concatenate((np.full((len(own), 1), MARK, points.dtype), points), axis=1)
+                alpha = self.forward(points)
                 out[own] = alpha[length[own], np.arange(len(own))]
+                if mass is not None:
+                    self.expect(points, alpha, length[own], times[own], mass)
         return out
 
 
@@ -122,14 +159,42 @@ def load(path: str) -> Lattice:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): exact counts of all words by 64-bit hash; each batch adds up its own first."""
+    """(word, spelled, n): exact counts of all words with their 64-bit hashes; each batch adds up its own first."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0, SLICE):
-            word, n = np.unique(Words(texts_of(batch.column(0))).hash, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
+            w = Words(texts_of(batch.column(0)))
+            word, first, n = np.unique(w.hash, return_index=True, return_counts=True)
+            spelled = [w.points[b : b + m].tobytes().decode("utf-32-le") for b, m in zip(w.begin[first].tolist(), w.length[first].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(spelled, pa.string()), pa.array(n)], names=["word", "spelled", "n"])
+
+    return docs.select("text").mapInArrow(counted, "word long, spelled string, n long").groupBy("word", "spelled").agg(F.sum("n").alias("n"))
+
+
+def estimate(counts: DataFrame, path: str, iterations: int = ITERATIONS) -> np.ndarray:
+    """Log weights of the pieces after ``iterations`` of expectation-maximisation over ``counts`` (spelled, n).
+
+    Every distinct word counts, as often as it occurs. A task adds up its own words' expected pieces, so at
+    most one row per task and piece is shuffled, and one per piece of the vocabulary comes to the driver.
+    Without words the vocabulary's own weights are returned.
+    """
+    logp = load(path).own
+
+    def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = load(path)
+        lattice.logp, mass = logp, np.zeros(len(logp))
+        for batch in slices(batches, 0, SLICE // 8):
+            w = Words(batch.column(0).to_pylist())
+            lattice.words(w, np.arange(len(w.begin)), batch.column(1).to_numpy(zero_copy_only=False), mass)
+        piece = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(mass[piece])], names=["piece", "mass"])
 
-    return docs.select("text").mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    for _ in range(iterations):
+        found = counts.select("spelled", "n").mapInArrow(expected, "piece int, mass double").groupBy("piece").agg(F.sum("mass").alias("mass")).collect()
+        mass = np.zeros(len(logp))
+        mass[[r.piece for r in found]] = [r.mass for r in found]
+        logp = load(path).learned(mass)
+    return logp
 
 
 def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -143,6 +208,7 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     d = docs.select("doc_id", "text", (id_crc(F.col("doc_id")) % 5 == 1).alias("held_out"))
     train = d.filter(~F.col("held_out"))
     counts = staged(word_counts(train), "word-counts")
+    logp = estimate(counts, path)
     ends = train.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + ends, distinct + bool(ends)
@@ -158,6 +224,7 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def evaluated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, row = load(path), TaskContext.get().partitionId() << 33
+        lattice.logp = logp
         for batch in slices(batches, 1, SLICE):
             texts = texts_of(batch.column(1))
             w, n = Words(texts), len(texts)
@@ -184,7 +251,7 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             row += n
 
     found = staged(d.select("doc_id", "text", "held_out").mapInArrow(evaluated, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, lm double, word long, times int"), "evaluated")
-    rare = found.filter("times is not null").select("row", "word", "times").join(counts, "word", "left")
+    rare = found.filter("times is not null").select("row", "word", "times").join(counts.select("word", "n"), "word", "left")
     n = F.coalesce("n", F.lit(0))
     rare = rare.groupBy("row").agg(F.sum(F.col("times") * F.log10((n + 0.5) / unit)).alias("rare_base"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"))
     return (

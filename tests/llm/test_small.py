@@ -294,6 +294,49 @@ def test_lattice_sums_over_all_segmentations():
     assert [round(x, 6) for x in got] == [round(math.log(total("\u2581" + x)), 6) for x in "the reading of zq€x".split()]
 
 
+def test_expected_pieces_are_those_of_all_segmentations():
+    lattice = lattice_lm.Lattice(lattice_lm.default_vocabulary())
+    place, np = dict(zip(lattice.keys.tolist(), range(len(lattice.keys)))), lattice_lm.np
+    up, _ = lattice_lm.powers(lattice.most)
+
+    def segmentations(chars):
+        """(log probability, pieces) of each."""
+        if not chars:
+            yield 0.0, []
+        for k in range(1, min(lattice.most, len(chars)) + 1):
+            points = np.array([*map(ord, chars[:k])], "u8")
+            at = place.get(int(lattice_lm.mix((lattice_lm._hash(points) * up[:k]).sum(keepdims=True) + np.uint64(k))[0]))
+            if at is not None or k == 1:
+                p = lattice.logp[at] if at is not None else len(chars[0].encode()) * math.log(lattice_lm.BYTES / 256)
+                for q, rest in segmentations(chars[k:]):
+                    yield p + q, [*([at] if at is not None else []), *rest]
+
+    texts, times = ["reading", "of", "zq\u20acx", "the"], np.array([3, 1, 2, 5])
+    want = np.zeros(len(lattice.keys))
+    for text, n in zip(texts, times):
+        every = list(segmentations("\u2581" + text))
+        whole = sum(math.exp(p) for p, _ in every)
+        for p, pieces in every:
+            for at in pieces:
+                want[at] += n * math.exp(p) / whole
+    mass = np.zeros(len(lattice.keys))
+    lattice.words(lattice_lm.Words(texts), np.arange(4), times, mass)
+    assert np.allclose(mass, want, rtol=1e-9, atol=1e-12)
+
+
+def test_piece_scores_learn_from_every_word(spark):
+    path, np = lattice_lm.default_vocabulary(), lattice_lm.np
+    counts = spark.createDataFrame([(0, "zebra", 40_000), (1, "quilt", 20_000)], "word long, spelled string, n long")
+    own = lattice_lm.Lattice(path)
+    likely = []
+    for rounds in (0, 1, 3):
+        own.logp = lattice_lm.estimate(counts, path, rounds)
+        assert abs(np.exp(own.logp).sum() - (1 - lattice_lm.BYTES)) < 1e-9
+        likely.append(own.words(lattice_lm.Words(["zebra", "quilt"]), np.arange(2)) @ [2, 1])
+    assert likely[0] < likely[1] < likely[2]
+    assert np.allclose(lattice_lm.estimate(counts.limit(0), path, 1), own.own)
+
+
 def test_long_texts_take_linear_time(spark):
     started = time.perf_counter()
     restorer = toxicity.Restorer(toxicity.character_model(spark.createDataFrame([("a plain text " * 50,)], "text string")))
