@@ -24,7 +24,7 @@ from palimpsest.llm.hashing import mix, powers, span_hashes
 
 HEAD = 131_072  # the most frequent words, whose counts every task gets; all others are joined exactly
 ZIPF = 2.7  # a piece of rank r weighs 1 / (r + ZIPF)
-ITERATIONS = 3  # of expectation-maximisation over the training fold
+ITERATIONS = 2  # of expectation-maximisation over the training fold
 PRIOR = 10_000.0  # pieces that the vocabulary's own weights count for beside the expected counts
 BYTES = 0.01  # mass of the 256 byte pieces, which any character without a piece falls back on
 MARK = 0x2581  # begins a word
@@ -79,6 +79,17 @@ class Lattice:
         by = np.argsort(keys)
         self.keys, self.logp = keys[by], logp[by]
         self.own = self.logp
+        self.seen = np.zeros(1 << 20, bool)  # the keys' first 20 bits: most strings are ruled out by them
+        self.seen[self.keys >> np.uint64(44)] = True
+
+    def found(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where in the raveled ``key`` a piece stands, which piece)."""
+        flat = key.ravel()
+        where = np.flatnonzero(self.seen[flat >> np.uint64(44)])
+        hit = flat[where]
+        at = np.minimum(np.searchsorted(self.keys, hit), len(self.keys) - 1)
+        is_piece = self.keys[at] == hit
+        return where[is_piece], at[is_piece]
 
     def learned(self, mass: np.ndarray) -> np.ndarray:
         """Log weights from expected counts, smoothed by the vocabulary's own weights."""
@@ -94,12 +105,12 @@ class Lattice:
         alpha = np.full((width + 1, n), -np.inf)
         alpha[0] = 0
         for j in range(1, width + 1):
-            paths = np.empty((min(self.most, j), n))
-            for k in range(1, len(paths) + 1):
-                key = mix((total[j] - total[j - k]) * down[j - k] + np.uint64(k))
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                p = np.where(self.keys[at] == key, self.logp[at], -np.inf)
-                paths[k - 1] = alpha[j - k] + (np.where(np.isinf(p), spelled[j - 1], p) if k == 1 else p)
+            k = np.arange(1, min(self.most, j) + 1)[:, None]
+            where, at = self.found(mix((total[j] - total[j - k[:, 0]]) * down[j - k] + k.astype(np.uint64)))
+            paths = np.full((len(k), n), -np.inf)
+            paths[0] = spelled[j - 1]
+            paths.ravel()[where] = self.logp[at]
+            paths += alpha[j - k[:, 0]]
             top = paths.max(0)
             alpha[j] = top + np.log(np.exp(paths - top).sum(0))
         return alpha
@@ -115,19 +126,17 @@ class Lattice:
         whole = alpha[length, np.arange(n)]
         for i in range(width - 1, -1, -1):
             k = np.arange(1, min(self.most, width - i) + 1)[:, None]
-            key = mix((total[i + 1 : i + len(k) + 1] - total[i]) * down[i] + k.astype(np.uint64))
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            is_piece = self.keys[at] == key
-            p = np.where(is_piece, self.logp[at], -np.inf)
-            p[0] = np.where(is_piece[0], p[0], spelled[i])
-            paths = p + beta[i + 1 : i + len(k) + 1]
             inside = i < length
-            if not inside.any():
-                continue
+            where, at = self.found(mix((total[i + 1 : i + len(k) + 1] - total[i]) * down[i] + k.astype(np.uint64)))
+            paths = np.full((len(k), n), -np.inf)
+            paths[0] = spelled[i]
+            paths.ravel()[where] = self.logp[at]
+            paths += beta[i + 1 : i + len(k) + 1]
             top = np.where(inside, paths.max(0), 0.0)
             beta[i] = np.where(inside, top + np.log(np.maximum(np.exp(paths - top).sum(0), 1e-300)), beta[i])
-            share = np.exp(paths + np.where(inside, alpha[i] - whole, -np.inf)) * times
-            mass += np.bincount(at[is_piece], share[is_piece], len(mass))
+            row = where % n
+            share = np.exp(paths.ravel()[where] + np.where(inside, alpha[i] - whole, -np.inf)[row]) * times[row]
+            mass += np.bincount(at, share, len(mass))
 
     def words(self, w: Words, at: np.ndarray, times: np.ndarray | None = None, mass: np.ndarray | None = None) -> np.ndarray:
         """Log probability of the words numbered ``at``; with ``mass``, their expected pieces are added to it."""
