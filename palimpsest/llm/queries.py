@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import audio, bpe, lattice_lm, ngram_join, packing, pii, pu_quality, quality_rules, sharding, toxicity
+from palimpsest.llm import audio, bpe, divergence, hard_negatives, lattice_lm, mixing, ngram_join, packing, pii, pu_quality, quality_rules, sharding, toxicity
 from palimpsest.llm.common import read_table
 
 
@@ -29,6 +29,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pu_quality": _labelled(pu_quality.score),
     "op9_quality_rules": _documents(quality_rules.report),
     "op10_lattice_lm": _documents(lattice_lm.score),
+    "op11_source_mix": _documents(mixing.report),
+    "op12_hard_negatives": lambda spark, sf_dir: hard_negatives.mine(read_table(spark, sf_dir, "embeddings")),
+    "op13_source_divergence": _documents(divergence.audit),
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_ngram_jaccard": ngram_join.SQL, "op9_quality_rules": quality_rules.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op7_ngram_jaccard": ngram_join.SQL,
+    "op9_quality_rules": quality_rules.SQL,
+    "op11_source_mix": mixing.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_source_divergence": divergence.SQL,
+}
