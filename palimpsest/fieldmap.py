@@ -1,7 +1,8 @@
-"""Declared columns: one field map drives shredding, width checks, change tests and re-projection."""
+"""Declared columns: one field map drives shredding, width checks, change tests, cascades and re-projection."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 
@@ -16,14 +17,48 @@ class Field:
     required: bool = False
 
 
+@dataclass(frozen=True)
+class Collection:
+    """A child table: the array that fills it, the columns of an element (paths from the element), and its own collections.
+
+    ``ordinal`` is the column of an element's zero-based place. The path of a field of a bare array is ``$``.
+    """
+
+    name: str
+    path: str
+    fields: tuple[Field, ...] = ()
+    children: tuple[Collection, ...] = ()
+    ordinal: str = "pos"
+
+    @property
+    def payload(self) -> list[str]:
+        return [f.column for f in self.fields]
+
+
 @dataclass(frozen=True)
 class FieldMap:
-    """The columns of a record table, its natural key, and its child collections by (name, JSON path)."""
+    """The columns of a record table, its natural key, and the tree of its child collections."""
 
     keys: tuple[str, ...]
     fields: tuple[Field, ...]
-    collections: tuple[tuple[str, str], ...] = ()
+    collections: tuple[Collection, ...] = ()
+    name: str = "record"
 
     @property
     def payload(self) -> list[str]:
         return [f.column for f in self.fields if f.column not in self.keys]
+
+    @property
+    def widths(self) -> dict[str, int]:
+        return {f.column: f.width for f in self.fields if f.width}
+
+    def walk(self) -> Iterator[tuple[Collection, Collection | None, list[str]]]:
+        """Every collection with the one above it (None: the record) and the key of its rows, parents first."""
+
+        def below(found: tuple[Collection, ...], above: Collection | None, keys: list[str]) -> Iterator[tuple[Collection, Collection | None, list[str]]]:
+            for c in found:
+                own = [*keys, c.ordinal]
+                yield c, above, own
+                yield from below(c.children, c, own)
+
+        yield from below(self.collections, None, list(self.keys))

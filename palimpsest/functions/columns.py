@@ -13,11 +13,6 @@ def differs(a: str, b: str, columns: list[str]) -> Column:
     return reduce(Column.__or__, (~F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns), F.lit(False))
 
 
-def key_text(c: Column) -> Column:
-    """Keys compare without case and trailing blanks."""
-    return F.lower(F.rtrim(c))
-
-
 def payload_hash(text: Column) -> Column:
     """Upper-case SHA-256 of the text in UTF-16LE, as a hash over two-byte text has it."""
     return F.upper(F.sha2(F.encode(text, "UTF-16LE"), 256))

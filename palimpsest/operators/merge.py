@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.columns import differs
+from palimpsest.functions.keys import anti, grouped, joined, same, semi
 
 
 def merge_plan(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str], deleted: str = "is_deleted") -> DataFrame:
@@ -17,15 +18,18 @@ def merge_plan(target: DataFrame, batch: DataFrame, keys: list[str], columns: li
     the same batch twice gives noop throughout.
     """
     t, b = target.alias("t"), batch.alias("b")
-    on = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys]
+    on = same(target, batch, keys)
     action = F.when(F.col(f"t.{deleted}").isNull(), "insert").when(F.col(f"t.{deleted}"), "revive").when(differs("t", "b", columns), "update").otherwise("noop")
     return b.join(t, on, "left").select(*(F.col(f"b.{c}") for c in [*keys, *columns]), action.alias("action"))
 
 
 def apply_plan(target: DataFrame, plan: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """The target after the plan: planned rows that act replace stored ones, all others stay."""
+    """The target after the plan: planned rows that act replace stored ones, all others stay.
+
+    It rewrites the whole target: buckets.merge() rewrites only what an increment touches.
+    """
     acting = plan.filter("action <> 'noop'").select(*keys, *columns, F.lit(False).alias("is_deleted"))
-    return target.join(acting.select(*keys), keys, "left_anti").select(*keys, *columns, "is_deleted").unionByName(acting)
+    return anti(target, acting, keys).select(*keys, *columns, "is_deleted").unionByName(acting)
 
 
 def merge_counters(plan: DataFrame) -> DataFrame:
@@ -33,26 +37,53 @@ def merge_counters(plan: DataFrame) -> DataFrame:
     return plan.agg(count("insert"), count("update"), count("revive"), count("noop"), F.count("*").alias("total"))
 
 
-def child_merge(target: DataFrame, batch: DataFrame, sent: DataFrame, parent: list[str], columns: list[str], ordinal: str = "pos") -> DataFrame:
-    """Actions for the children of the batch's parents.
+def upsert_rows(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """merge_plan() as the rows after it (keys, columns, is_deleted) with their action; a stored key keeps its spelling."""
+    t, b = target.alias("t"), batch.alias("b")
+    action = F.when(F.col("t.is_deleted").isNull(), "insert").when(F.col("t.is_deleted"), "revive").when(differs("t", "b", columns), "update").otherwise("noop")
+    joined_ = b.join(t, same(target, batch, keys), "left")
+    return joined_.select(*(F.coalesce(f"t.{k}", f"b.{k}").alias(k) for k in keys), *(F.col(f"b.{c}") for c in columns), F.lit(False).alias("is_deleted"), action.alias("action"))
+
+
+def raw_rows(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str], digest: str = "payload_sha256") -> DataFrame:
+    """raw_plan() as the rows after it: only the hash (or a deletion) makes a text change."""
+    t, b = target.alias("t"), batch.alias("b")
+    changed = F.col("t.is_deleted") | ~F.col(f"t.{digest}").eqNullSafe(F.col(f"b.{digest}"))
+    action = F.when(F.col("t.is_deleted").isNull(), "insert").when(changed, "update").otherwise("noop")
+    joined_ = b.join(t, same(target, batch, keys), "left")
+    return joined_.select(*(F.coalesce(f"t.{k}", f"b.{k}").alias(k) for k in keys), *(F.col(f"b.{c}") for c in columns), F.lit(False).alias("is_deleted"), action.alias("action"))
+
+
+def child_rows(target: DataFrame, batch: DataFrame, sent: DataFrame, parent: list[str], columns: list[str], ordinal: str = "pos") -> DataFrame:
+    """The children of the batch's parents after the merge: keys, columns, is_deleted and action.
 
     Rows that the batch lacks are retired only where the parent's collection was sent; absent is not
     empty. Rows already retired stay untouched. ``sent`` has the parent key and a boolean ``sent``.
     """
     keys = [*parent, ordinal]
-    t = target.join(sent.select(*parent, "sent"), parent).alias("t")
-    b = batch.alias("b")
-    on = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys]
+    own = joined(target, sent.select(*parent, "sent"), parent)
+    t, b = own.alias("t"), batch.alias("b")
     here, there = F.col(f"b.{ordinal}").isNotNull(), F.col(f"t.{ordinal}").isNotNull()
+    retired = F.col("t.sent") & ~F.col("t.is_deleted")
     action = (
         F.when(~there, "insert")
         .when(here & F.col("t.is_deleted"), "revive")
         .when(here & differs("t", "b", columns), "update")
         .when(here, "noop")
-        .when(F.col("t.sent") & ~F.col("t.is_deleted"), "retire")
+        .when(retired, "retire")
         .otherwise("noop")
     )
-    return t.join(b, on, "full_outer").select(*(F.coalesce(f"b.{k}", f"t.{k}").alias(k) for k in keys), action.alias("action"))
+    return t.join(b, same(own, batch, keys), "full_outer").select(
+        *(F.coalesce(f"t.{k}", f"b.{k}").alias(k) for k in keys),
+        *(F.when(here, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in columns),
+        F.when(here, False).otherwise(F.col("t.is_deleted") | F.coalesce(retired, F.lit(False))).alias("is_deleted"),
+        action.alias("action"),
+    )
+
+
+def child_merge(target: DataFrame, batch: DataFrame, sent: DataFrame, parent: list[str], columns: list[str], ordinal: str = "pos") -> DataFrame:
+    """Actions of child_rows()."""
+    return child_rows(target, batch, sent, parent, columns, ordinal).select(*parent, ordinal, "action")
 
 
 def code_list_plan(target: DataFrame, batch: DataFrame, scope: str, code: str, columns: list[str], full: bool) -> DataFrame:
@@ -60,7 +91,7 @@ def code_list_plan(target: DataFrame, batch: DataFrame, scope: str, code: str, c
     plan = merge_plan(target, batch, [scope, code], columns).select(scope, code, "action")
     if not full:
         return plan
-    gone = target.filter("not is_deleted").join(batch.select(scope).distinct(), scope, "left_semi").join(batch, [scope, code], "left_anti")
+    gone = anti(semi(target.filter("not is_deleted"), batch, [scope]), batch, [scope, code])
     return plan.unionByName(gone.select(scope, code, F.lit("retire").alias("action")))
 
 
@@ -73,7 +104,7 @@ def retirement_guard(plan: DataFrame) -> DataFrame:
 
 def soft_delete_cascade(doomed: DataFrame, keys: list[str], tables: dict[str, DataFrame]) -> DataFrame:
     """(table, rows) that a deletion of the versions ``doomed`` stamps: live rows of every table that carry the key."""
-    hit = [t.filter("not is_deleted").join(doomed.select(*keys).distinct(), keys, "left_semi").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows") for name, t in tables.items()]
+    hit = [semi(t.filter("not is_deleted"), doomed, keys).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows") for name, t in tables.items()]
     return reduce(DataFrame.unionByName, hit)
 
 
@@ -81,12 +112,12 @@ def status_closeout(status: DataFrame, outcome: DataFrame, keys: list[str]) -> D
     """Status rows of the batch as Succeeded with the merge's outcome; a version without an action is Unchanged."""
     o = outcome.filter("action <> 'noop'").select(*keys, "action")
     named = F.when(F.col("action") == "insert", "Inserted").when(F.col("action").isNull(), "Unchanged").otherwise("Updated")
-    return status.join(o, keys, "left").select(*keys, F.lit("Succeeded").alias("status"), named.alias("outcome"))
+    return joined(status, o, keys, "left").select(*keys, F.lit("Succeeded").alias("status"), named.alias("outcome"))
 
 
 def orphan_children(parents: DataFrame, children: DataFrame, keys: list[str]) -> DataFrame:
     """Live children of deleted parents: none after a complete cascade."""
-    return children.filter("not is_deleted").join(parents.filter("is_deleted").select(*keys), keys, "left_semi")
+    return semi(children.filter("not is_deleted"), parents.filter("is_deleted"), keys)
 
 
 def converged(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -100,50 +131,57 @@ def raw_plan(target: DataFrame, batch: DataFrame, keys: list[str], digest: str =
     t, b = target.alias("t"), batch.alias("b")
     changed = F.col("t.is_deleted") | ~F.col(f"t.{digest}").eqNullSafe(F.col(f"b.{digest}"))
     action = F.when(F.col("t.is_deleted").isNull(), "insert").when(changed, "update").otherwise("noop")
-    return b.join(t, [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys], "left").select(*(F.col(f"b.{k}") for k in keys), action.alias("action"))
+    return b.join(t, same(target, batch, keys), "left").select(*(F.col(f"b.{k}") for k in keys), action.alias("action"))
 
 
 def grandchild_merge(target: DataFrame, batch: DataFrame, sent: DataFrame, children: DataFrame, parent: list[str], ordinals: list[str], columns: list[str]) -> DataFrame:
     """child_merge() one level down: only rows under children that are live after their own merge take part."""
     own = [*parent, ordinals[0]]
     live = children.filter("action <> 'retire' and not gone").select(*own)
-    return child_merge(target.join(live, own, "left_semi"), batch.join(live, own, "left_semi"), sent, own, columns, ordinals[1])
+    return child_merge(semi(target, live, own), semi(batch, live, own), sent, own, columns, ordinals[1])
 
 
 def missing_parents(elements: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
     """Elements for which no live parent is there after the merge: none, or the batch is refused."""
-    return elements.join(parents.filter("not is_deleted").select(*keys), keys, "left_anti")
+    return anti(elements, parents.filter("not is_deleted"), keys)
+
 
+def nested_code_plan(target: DataFrame, batch: DataFrame, owners: DataFrame, owner: list[str], ordinal: str, columns: list[str], full: bool) -> DataFrame:
+    """The list nested in code-list elements: owner, ordinal and action.
 
-def nested_code_plan(target: DataFrame, batch: DataFrame, owners: DataFrame, owner: str, ordinal: str, columns: list[str], full: bool) -> DataFrame:
-    """Upsert of a list nested in code-list elements; ``full`` retires ordinals that a live owner of the payload lacks, and all rows of retired owners."""
-    plan = merge_plan(target, batch, [owner, ordinal], columns).select(owner, ordinal, "action")
+    ``owners`` has every stored owner after its own merge (is_deleted, and whether this payload has it: ``sent``).
+    Rows of the payload are upserted under live owners. ``full`` retires the ordinals that a live owner of the payload
+    no longer sends. Whatever the mode, and whether or not it was sent, a retired owner keeps no live row: they cascade.
+    """
+    keys, live = [*owner, ordinal], owners.filter("not is_deleted")
+    plan = merge_plan(target, semi(batch, live, owner), keys, columns).select(*keys, "action")
+    there = target.filter("not is_deleted")
+    cascade = semi(there, owners.filter("is_deleted"), owner).select(*keys, F.lit("cascade").alias("action"))
+    out = plan.unionByName(cascade)
     if not full:
-        return plan
-    live = target.filter("not is_deleted").join(batch, [owner, ordinal], "left_anti")
-    gone = live.join(owners.select(owner, "retired"), owner).select(owner, ordinal, F.when(F.col("retired"), "cascade").otherwise("retire").alias("action"))
-    return plan.unionByName(gone)
+        return out
+    gone = anti(semi(there, live.filter("sent"), owner), batch, keys)
+    return out.unionByName(gone.select(*keys, F.lit("retire").alias("action")))
 
 
 def deleted_status(status: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
     """Status rows of deleted versions that change: Succeeded with outcome SoftDeleted."""
-    hit = status.join(doomed.select(*keys).distinct(), keys, "left_semi")
+    hit = semi(status, doomed, keys)
     differs = ~(F.col("status").eqNullSafe(F.lit("Succeeded")) & F.col("outcome").eqNullSafe(F.lit("SoftDeleted")))
     return hit.filter(differs).withColumns({"status": F.lit("Succeeded"), "outcome": F.lit("SoftDeleted")})
 
 
 def side_rows_to_retire(side: DataFrame, versions: DataFrame, doomed: DataFrame, keys: list[str], entity: str) -> DataFrame:
     """Live rows of a table kept per entity, for entities whose last live version is deleted."""
-    touched = doomed.select(entity).distinct()
-    left = versions.filter("not is_deleted").join(doomed.select(*keys), keys, "left_anti").select(entity).distinct()
-    return side.filter("not is_deleted").join(touched.join(left, entity, "left_anti"), entity, "left_semi")
+    left = anti(versions.filter("not is_deleted"), doomed, keys)
+    return semi(side.filter("not is_deleted"), anti(doomed, left, [entity]), [entity])
 
 
 def stamped(table: DataFrame, doomed: DataFrame, keys: list[str], at: str, reason: str) -> DataFrame:
     """``table`` with its live rows of the doomed versions deleted: one stamp, and a reason of ten characters at least."""
     if len(reason.strip()) < 10:
         raise ValueError("a deletion needs a reason of ten characters")
-    hit = table.join(doomed.select(*keys).distinct().withColumn("__hit", F.lit(True)), keys, "left")
+    hit = joined(table, grouped(doomed, keys, F.lit(True).alias("__hit")), keys, "left")
     now = F.coalesce("__hit", F.lit(False)) & ~F.col("is_deleted")
     at_ = F.when(now, F.lit(at).cast("timestamp"))
     return hit.withColumns({"deleted_at": at_, "deleted_reason": F.when(now, F.lit(reason)), "is_deleted": F.col("is_deleted") | now}).drop("__hit")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.functions.keys import semi
+
 
 def history_view(records: DataFrame) -> DataFrame:
     return records.filter("not is_deleted")
@@ -63,7 +65,7 @@ def history_page(rows: DataFrame, entity: str, value, kind: str | None = None, s
 
 def detail(records: DataFrame, ids: DataFrame, keys: list[str]) -> DataFrame:
     """The whole rows of the asked versions; unknown and deleted ones are simply absent."""
-    return history_view(records).join(ids.select(*keys).distinct(), keys, "left_semi")
+    return semi(history_view(records), ids, keys)
 
 
 def matches(rows: DataFrame, term: str, ident: str, name: str, place: str) -> DataFrame:

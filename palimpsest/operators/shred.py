@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.fieldmap import FieldMap
+from palimpsest.fieldmap import Collection, Field, FieldMap
+from palimpsest.functions.columns import lenient_boolean, lenient_date, lenient_timestamp
 
 
 def parsed(df: DataFrame, body: str = "body") -> DataFrame:
@@ -13,9 +14,55 @@ def parsed(df: DataFrame, body: str = "body") -> DataFrame:
     return df.withColumn("v", F.try_parse_json(body))
 
 
-def parents(df: DataFrame, fields: FieldMap) -> DataFrame:
-    """The declared columns of each parsed record; a missing or unreadable value is null."""
-    return df.select(*(F.try_variant_get("v", f.path, f.type).alias(f.column) for f in fields.fields))
+LENIENT = {"boolean": lenient_boolean, "date": lenient_date, "timestamp": lenient_timestamp}
+
+
+def value(v: Column, f: Field) -> Column:
+    """What the path of ``f`` holds in the variant ``v``; a missing or unreadable value is null."""
+    return LENIENT[f.type](F.try_variant_get(v, f.path, "string")) if f.type in LENIENT else F.try_variant_get(v, f.path, f.type)
+
+
+def parents(df: DataFrame, fields: FieldMap, *more: str) -> DataFrame:
+    """The declared columns of each parsed record, and the columns ``more`` of ``df``."""
+    return df.select(*(value(F.col("v"), f).alias(f.column) for f in fields.fields), *more)
+
+
+def _items(v: Column, path: str) -> Column:
+    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.expr("cast(array() as array<variant>)"))
+
+
+def elements(df: DataFrame, fields: FieldMap) -> DataFrame:
+    """keys, collection, ordinals and element of every child and grandchild of all declared collections, in one pass.
+
+    Each body is parsed and read once, whatever the number of collections; see rows_of() for the columns of one of them.
+    """
+
+    def own(c: Collection, found: Column, at: Column) -> list[Column]:
+        place = lambda i: F.concat(at, F.array(i))
+        here = F.transform(found, lambda e, i: F.struct(F.lit(c.name).alias("collection"), place(i).alias("ordinals"), e.alias("element")))
+        under = lambda g: lambda e, i: F.concat(*own(g, _items(e, g.path), place(i)))
+        return [here, *(F.flatten(F.transform(found, under(g))) for g in c.children)]
+
+    none = F.expr("cast(array() as array<int>)")
+    found = [x for c in fields.collections for x in own(c, _items(F.col("v"), c.path), none)]
+    return df.select(*fields.keys, F.inline(F.concat(*found)))
+
+
+def sent_collections(df: DataFrame, fields: FieldMap) -> DataFrame:
+    """keys, collection, ordinals (of the owner; none for the record) and sent, for every collection of every record and child."""
+
+    def own(c: Collection, v: Column, at: Column) -> list[Column]:
+        there = F.struct(F.lit(c.name).alias("collection"), at.alias("ordinals"), F.try_variant_get(v, c.path, "variant").isNotNull().alias("sent"))
+        under = lambda g: lambda e, i: F.concat(*own(g, e, F.concat(at, F.array(i))))
+        return [F.array(there), *(F.flatten(F.transform(_items(v, c.path), under(g))) for g in c.children)]
+
+    none = F.expr("cast(array() as array<int>)")
+    return df.select(*fields.keys, F.inline(F.concat(*(x for c in fields.collections for x in own(c, F.col("v"), none)))))
+
+
+def rows_of(found: DataFrame, keys: list[str], c: Collection, ordinals: list[str]) -> DataFrame:
+    """The declared columns of one collection of elements(): keys, its ``ordinals`` and its fields."""
+    return found.filter(F.col("collection") == c.name).select(*keys, *(F.get("ordinals", F.lit(k)).alias(o) for k, o in enumerate(ordinals)), *(value(F.col("element"), f).alias(f.column) for f in c.fields))
 
 
 def children(df: DataFrame, keys: list[str], path: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.functions.keys import grouped
+
 
 class BatchRefused(ValueError):
     """A whole batch is refused, naming the first offender."""
@@ -31,7 +33,7 @@ def too_wide(df: DataFrame, keys: list[str], widths: dict[str, int]) -> DataFram
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once; a batch with any is refused, never deduplicated."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    return grouped(df, keys, F.count("*").alias("n")).filter("n > 1")
 
 
 def refuse_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

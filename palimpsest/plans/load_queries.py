@@ -336,16 +336,6 @@ def d5_missing_parents(s, d):
     return merge.missing_parents(batch(s, d), target(s, d), KEY).select(*KEY)
 
 
-@query("SELECT action, count(*) AS n FROM (SELECT CASE WHEN p_size > 45 THEN 'insert' WHEN p_type = 'ECONOMY' THEN 'revive' WHEN p_retailprice > 950 THEN 'update' ELSE 'noop' END AS action FROM part WHERE p_name NOT LIKE 'red%' UNION ALL SELECT CASE WHEN p_brand = 'Brand#7' THEN 'cascade' ELSE 'retire' END FROM part WHERE p_name LIKE 'red%' AND p_size <= 45 AND p_type <> 'ECONOMY') GROUP BY 1")
-def d12_nested_codes(s, d):
-    """Parts as the nested list of their brands: red ones are no longer sent, one brand is retired."""
-    p = table(s, d, "part").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("pos"), "p_name", "p_size", "p_type", "p_retailprice")
-    t = p.filter("p_size <= 45").select("brand", "pos", F.when(F.col("p_retailprice") > 950, F.lit("old")).otherwise(F.col("p_name")).alias("code"), (F.col("p_type") == "ECONOMY").alias("is_deleted"))
-    owners = p.select("brand").distinct().withColumn("retired", F.col("brand") == "Brand#7")
-    b = p.filter("p_name not like 'red%'").select("brand", "pos", F.col("p_name").alias("code"))
-    return merge.nested_code_plan(t, b, owners, "brand", "pos", ["code"], True).groupBy("action").agg(F.count("*").alias("n"))
-
-
 @query(f"WITH {L}, {TL} SELECT is_deleted OR order_id IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '3-MEDIUM' OR o_orderstatus = 'F') AS is_deleted, NOT is_deleted AND order_id IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '3-MEDIUM' OR o_orderstatus = 'F') AS stamped, count(*) AS n FROM tl GROUP BY 1, 2")
 def d13_stamps(s, d):
     after = merge.stamped(target_lines(s, d), doomed_orders(s, d), ["order_id"], NOW, "withdrawn by the source")

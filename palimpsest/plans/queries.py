@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.fieldmap import Field, FieldMap
+from palimpsest.fieldmap import Collection, Field, FieldMap
 from palimpsest.functions.columns import lenient_date, shape_mask
 from palimpsest.operators import current, journal, merge, quality, reads, shred, validate
 from palimpsest.plans import load_plan
@@ -24,7 +24,7 @@ ORDER_MAP = FieldMap(
         Field("current", "$.handler.current", "boolean"),
         Field("received", "$.handler.received", "string"),
     ),
-    (("lines", "$.handler.lines"),),
+    (Collection("lines", "$.handler.lines"),),
 )
 
 
@@ -242,18 +242,6 @@ def _stranded(spark, d):
     return journal.stranded(status(spark, d), r, "run").groupBy("run", "run_status").agg(F.count("*").alias("n"))
 
 
-def _overlap(spark, d):
-    e = table(spark, d, "events")
-    r = e.select("event_id", "event_type", F.unix_seconds(F.col("ts").cast("timestamp")).alias("start"), (F.unix_seconds(F.col("ts").cast("timestamp")) + F.floor(F.col("value")).cast("long") * 60).alias("end"))
-    return journal.overlapping_runs(r, "event_type", "event_id", "start", "end").select("event_id", "busy_until")
-
-
-def _watermarks(spark, d):
-    e = table(spark, d, "events")
-    r = e.select("event_id", F.col("user_id").alias("feed"), F.floor(F.col("value")).cast("long").alias("at"), (F.col("event_type") == "signup").alias("rewind"))
-    return journal.watermark_audit(r, "feed", "event_id", "at", F.lit(100), "rewind").select("event_id", "verdict")
-
-
 def _page(spark, d):
     v = current.authority(versions(spark, d), PAIR).filter("is_current")
     allowed = ("entity", "kind", "seq", "received", "amount", "priority")
@@ -330,8 +318,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d21_journal_fold": _folded,
     "d22_attempt_append": _attempts,
     "d24_stranded": _stranded,
-    "d26_overlapping_runs": _overlap,
-    "d28_watermark_audit": _watermarks,
     "e2_current_view": lambda s, d: reads.current_view(current.authority(target(s, d), PAIR)).select(*KEY),
     "e3_page": _page,
     "e4_history_page": lambda s, d: reads.history_page(versions(s, d), "entity", 7).select(*KEY, "total_rows"),
@@ -389,10 +375,6 @@ ORACLE_SQL: dict[str, str] = {
     "d21_journal_fold": f"WITH {S} SELECT entity, status, arg_max(run, event_id) AS run, max(event_id) AS event_id FROM s GROUP BY 1, 2",
     "d22_attempt_append": f"WITH {S}, a AS (SELECT DISTINCT entity, run AS attempt FROM s), k AS (SELECT * FROM a WHERE entity IN (SELECT entity FROM s WHERE status = 'Pending' AND run < 15)) SELECT (SELECT count(*) FROM k WHERE (entity, attempt) NOT IN (SELECT (entity, run) FROM s WHERE status = 'Failed')) AS written, (SELECT count(*) FROM k WHERE (entity, attempt) IN (SELECT (entity, run) FROM s WHERE status = 'Failed')) AS already_recorded, (SELECT count(*) FROM a) - (SELECT count(*) FROM k) AS orphaned",
     "d24_stranded": f"WITH {RUNS}, q AS (SELECT run, CASE WHEN run % 4 = 0 THEN 'Running' WHEN failed > succeeded THEN 'Failed' ELSE 'Succeeded' END AS run_status FROM r) SELECT run, run_status, count(*) AS n FROM s JOIN q USING (run) WHERE status IN ('Pending', 'InProgress') AND run_status <> 'Running' GROUP BY 1, 2",
-    "d26_overlapping_runs": "WITH r AS (SELECT event_id, event_type, floor(epoch(ts))::BIGINT AS a, floor(epoch(ts))::BIGINT + floor(value)::BIGINT * 60 AS z FROM events), m AS (SELECT *, max(z) OVER (PARTITION BY event_type ORDER BY a, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS busy_until FROM r) SELECT event_id, busy_until FROM m WHERE a < busy_until",
-    "d28_watermark_audit": """WITH r AS (SELECT event_id, user_id AS feed, floor(value)::BIGINT AS mark, event_type = 'signup' AS rw FROM events), s AS (SELECT *, sum((rw AND mark <= 100)::INT) OVER (PARTITION BY feed ORDER BY event_id) AS seg FROM r),
-      m AS (SELECT *, max(CASE WHEN mark <= 100 THEN mark END) OVER (PARTITION BY feed, seg ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM s)
-      SELECT event_id, CASE WHEN mark > 100 THEN 'future' WHEN NOT rw AND mark < prev THEN 'rewind' ELSE 'accepted' END AS verdict FROM m""",
     "e2_current_view": f"WITH {V}, {T}, a AS (SELECT *, {AUTHORITY} FROM t) SELECT entity, kind, seq FROM a WHERE NOT is_deleted AND is_current",
     "e3_page": f"WITH {V}, a AS (SELECT *, {AUTHORITY} FROM v) SELECT entity, kind, seq, amount, count(*) OVER () AS total_rows FROM a WHERE is_current AND kind = 'O' AND received BETWEEN '1996-01-01' AND '2000-12-31' ORDER BY amount DESC NULLS LAST, entity, kind, seq LIMIT 50 OFFSET 10",
     "e4_history_page": f"WITH {V} SELECT entity, kind, seq, count(*) OVER () AS total_rows FROM v WHERE entity = 7 ORDER BY received DESC NULLS LAST, kind, seq LIMIT 50",

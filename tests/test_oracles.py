@@ -7,9 +7,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from palimpsest.plans import load_queries, queries
+from palimpsest.plans import apply_queries, load_queries, queries
 
-QUERIES, ORACLE_SQL = queries.QUERIES | load_queries.QUERIES, queries.ORACLE_SQL | load_queries.ORACLE_SQL
+QUERIES = queries.QUERIES | load_queries.QUERIES | apply_queries.QUERIES
+ORACLE_SQL = queries.ORACLE_SQL | load_queries.ORACLE_SQL | apply_queries.ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 
