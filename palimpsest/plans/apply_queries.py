@@ -227,12 +227,12 @@ def _envelopes(s: SparkSession, d: str, again: bool) -> DataFrame:
       count(*) FILTER (live.flag = 'N') AS flagged FROM o LEFT JOIN live ON live.order_id = o.k GROUP BY ALL"""
 )
 def a6_landed_load(s, d):
-    """Bodies that land as files, a month each, in two loads, the second in micro-batches of 60 files: records with their live lines and flags."""
+    """Bodies that land as files, a month each, in two loads: records with their live lines and flags."""
     root = workspace.new_folder(s, "mirror")
     ingest.create(s, root, ORDER, 16)
     for again in (False, True):
         _envelopes(s, d, again).write.mode("append").partitionBy("month").text(f"{root}/landed")
-        ingest.land(s, f"{root}/landed", root, ORDER, f"{root}/checkpoint", 60 if again else 1_000).awaitTermination()
+        ingest.land(s, f"{root}/landed", root, ORDER, f"{root}/checkpoint").awaitTermination()
     live = lambda name: buckets.read(s, root, name).filter("not is_deleted").drop("is_deleted")
     first = live("line_flag").filter("place = 0").select("order_id", "pos", "flag")
     own = live("line").join(first, ["order_id", "pos"], "left")

@@ -24,8 +24,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     """``df`` written and read back: what follows survives a lost executor without computing it again, and in the same order of parts."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete written() tables that nothing reads any more."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for path in df.inputFiles():
+            folder = jvm.org.apache.hadoop.fs.Path(path).getParent()
+            while "=" in folder.getName():
+                folder = folder.getParent()
+            if folder.getFileSystem(conf).delete(folder, True):
+                break
