@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.fieldmap import FieldMap
 from palimpsest.functions.columns import differs
 from palimpsest.functions.keys import anti, grouped, joined, same, semi
 
@@ -115,6 +116,44 @@ def status_closeout(status: DataFrame, outcome: DataFrame, keys: list[str]) -> D
     return joined(status, o, keys, "left").select(*keys, F.lit("Succeeded").alias("status"), named.alias("outcome"))
 
 
+def closeout(status: DataFrame, batch: DataFrame, plan: DataFrame, raw: DataFrame, keys: list[str], now: Column) -> DataFrame:
+    """The live status rows of a merged batch as they are after it: Succeeded, the outcome, the stored text's hash and ``completed``.
+
+    No row is inserted: a version that was never enumerated has none, and is part of the shortfall.
+    """
+    outcome = F.when(F.col("action") == "insert", "Inserted").when(F.col("action").isin("revive", "update"), "Updated").otherwise("Unchanged")
+    own = joined(plan.select(*keys, outcome.alias("outcome")), raw.select(*keys, "payload_sha256"), keys, "left")
+    found = semi(status.filter("not is_deleted"), batch, keys).drop("outcome", "payload_sha256", "status", "completed")
+    return joined(found, own, keys).withColumns({"status": F.lit("Succeeded"), "completed": now})
+
+
+def failed_closeout(status: DataFrame, batch: DataFrame, keys: list[str], now: Column) -> DataFrame:
+    """The live status rows of a batch whose merge failed: Failed, and no outcome, for nothing was applied."""
+    return semi(status.filter("not is_deleted"), batch, keys).withColumns({"status": F.lit("Failed"), "outcome": F.lit(None).cast("string"), "completed": now})
+
+
+def merge_report(plans: dict[str, DataFrame], sent: DataFrame, fields: FieldMap, status: DataFrame | None = None) -> DataFrame:
+    """One row of all a merge's counters, from its plans (by table) and what was ``sent`` (collection, sent).
+
+    elements, inserted, updated (revived ones too), unchanged; raw_rows written; child_rows written on all levels and
+    those of them retired; absent_collections, that no element of the batch sent; and with ``status`` the rows closed
+    out and ``shortfall``, the elements without one.
+    """
+    keys = list(fields.keys)
+    own, raw = plans[fields.name], plans[f"{fields.name}_raw"]
+    n = lambda c, name: F.count_if(c).alias(name)
+    acting = F.col("action") != "noop"
+    count = own.agg(F.count("*").alias("elements"), n(F.col("action") == "insert", "inserted"), n(F.col("action").isin("update", "revive"), "updated"), n(~acting, "unchanged"))
+    children = reduce(DataFrame.unionByName, (plans[c.name].select("action") for c, *_ in fields.walk()))
+    absent = sent.groupBy("collection").agg(F.max("sent").alias("sent"))
+    parts = [raw.agg(n(acting, "raw_rows")), children.agg(n(acting, "child_rows"), n(F.col("action") == "retire", "child_retired")), absent.agg(n(~F.col("sent"), "absent_collections"))]
+    if status is not None:
+        parts.append(semi(status.filter("not is_deleted"), own, keys).agg(F.count("*").alias("status_rows")))
+    one = [x.withColumn("__one", F.lit(1)) for x in (count, *parts)]  # a row each
+    out = reduce(lambda a, b: a.join(b, "__one"), one).drop("__one")
+    return out.withColumn("shortfall", F.col("elements") - F.col("status_rows")) if status is not None else out
+
+
 def orphan_children(parents: DataFrame, children: DataFrame, keys: list[str]) -> DataFrame:
     """Live children of deleted parents: none after a complete cascade."""
     return semi(children.filter("not is_deleted"), parents.filter("is_deleted"), keys)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.fieldmap import FieldMap
 from palimpsest.functions.keys import grouped
 
 
@@ -31,6 +34,13 @@ def too_wide(df: DataFrame, keys: list[str], widths: dict[str, int]) -> DataFram
     return df.select(*keys, F.explode(F.array(*cells)).alias("x")).filter("x.length > x.width").select(*keys, "x.*")
 
 
+def declared_widths(tables: dict[str, DataFrame], fields: FieldMap) -> DataFrame:
+    """too_wide() for every table of a field map: table, column, n, longest and width of the columns that have longer values."""
+    widths = {fields.name: fields.widths} | {c.name: {f.column: f.width for f in c.fields if f.width} for c, *_ in fields.walk()}
+    found = [too_wide(tables[name], [], own).select(F.lit(name).alias("table"), "*") for name, own in widths.items() if own]
+    return reduce(DataFrame.unionByName, found).groupBy("table", "column", "width").agg(F.count("*").alias("n"), F.max("length").alias("longest"))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once; a batch with any is refused, never deduplicated."""
     return grouped(df, keys, F.count("*").alias("n")).filter("n > 1")

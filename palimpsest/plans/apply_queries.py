@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.fieldmap import Collection, Field, FieldMap
-from palimpsest.operators import current, journal, merge, reads, validate
+from palimpsest.operators import cascade, current, journal, merge, reads, shred, validate
 from palimpsest.plans.queries import KEY, L, PAIR, TL, V, lines, table, target_lines, versions
 from palimpsest.plans.queries import sent as lines_sent
+from palimpsest.record_map import BIT, COLLECTIONS, DATE, DECLARED, FLOAT, RECORD, Shape, leaves
 from palimpsest.sources import buckets, workspace
 from palimpsest.streaming import ingest
 
@@ -196,7 +197,7 @@ ORDER = FieldMap(
         Field("amount", "$.amount", "double"),
         Field("received", "$.received", "date"),
     ),
-    (Collection("line", "$.waste.lines", (Field("part", "$.part", "bigint"), Field("quantity", "$.quantity", "double")), (Collection("line_flag", "$.flags", (Field("flag", "$"),), (), "place"),)),),
+    (Collection("line", "$.waste.lines", (Field("part", "$.part", "bigint"), Field("quantity", "$.quantity", "double")), (Collection("line_flag", "$.flags", (Field("flag", "$"),), (), "place"),)), Collection("note", "$.notes", (Field("note", "$"),))),
     "orders",
 )
 
@@ -241,6 +242,45 @@ def a6_landed_load(s, d):
     return live("orders").join(sums, "order_id", "left").select("order_id", "kind", "amount", "received", zero("lines"), zero("quantity", "double"), zero("places"), zero("flagged"))
 
 
+@query(
+    f"""WITH {L}, u AS (SELECT o_orderkey AS order_id, o_orderstatus AS kind FROM orders WHERE o_orderpriority = '1-URGENT'),
+    old AS (SELECT l.* FROM l JOIN u USING (order_id) WHERE u.kind <> 'O'),
+    new AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY pos) - 1 AS newpos FROM old WHERE flag <> 'R'),
+    x AS (SELECT old.pos, new.newpos, old.part <> new.part OR old.quantity <> new.quantity AS moved, (old.flag <> new.flag)::INT + (old.state <> new.state)::INT AS flags
+      FROM old LEFT JOIN new ON new.order_id = old.order_id AND new.newpos = old.pos)
+    SELECT (SELECT count(*) FROM u) AS elements, 0 AS inserted, (SELECT count(*) FROM u) AS updated, 0 AS unchanged, (SELECT count(*) FROM u) AS raw_rows,
+      (SELECT count(*) FILTER (newpos IS NULL OR moved) + coalesce(sum(flags), 0) FROM x)::BIGINT AS child_rows, (SELECT count(*) FILTER (newpos IS NULL) FROM x) AS child_retired,
+      1 AS absent_collections, (SELECT count(*) FROM u WHERE kind <> 'P') AS status_rows, (SELECT count(*) FROM u WHERE kind = 'P') AS shortfall"""
+)
+def d7_merge_report(s, d):
+    """All counters of one merge: the urgent orders sent anew, of which those of status P were never enumerated."""
+    root = workspace.new_folder(s, "mirror")
+    ingest.create(s, root, ORDER, 16)
+    given = [_envelopes(s, d, again).select(F.col("month").alias("path"), F.col("value").alias("body")) for again in (False, True)]
+    ingest.apply(given[0], root, ORDER)
+    done = ingest.apply(given[1], root, ORDER)
+    status = table(s, d, "orders").filter("o_orderstatus <> 'P'").select(F.concat(F.lit("OD"), F.col("o_orderkey").cast("string")).alias("order_id"), F.lit(False).alias("is_deleted"))
+    return merge.merge_report(done.plans, done.sent, ORDER, status)
+
+
+@query(
+    f"""WITH {V}, {NAMED}, {NT}, {NB}, s AS (SELECT entity, kind, seq, priority = '4-NOT SPECIFIED' AS is_deleted FROM n WHERE priority <> '3-MEDIUM'),
+    p AS (SELECT b.*, CASE WHEN t.is_deleted IS NULL THEN 'Inserted' WHEN t.is_deleted OR t.received IS DISTINCT FROM b.received OR t.current IS DISTINCT FROM b.current OR t.amount IS DISTINCT FROM b.amount THEN 'Updated' ELSE 'Unchanged' END AS outcome
+      FROM b LEFT JOIN t ON {ON})
+    SELECT 'merged' AS form, 'Succeeded' AS status, outcome, count(*) AS n, count(*) FILTER (p.received >= '1998-01-01') AS hashed FROM s JOIN p ON lower(s.entity) = lower(rtrim(p.entity)) AND lower(s.kind) = p.kind AND s.seq = p.seq WHERE NOT s.is_deleted GROUP BY 3
+    UNION ALL SELECT 'failed', 'Failed', NULL, count(*), 0 FROM s JOIN p ON lower(s.entity) = lower(rtrim(p.entity)) AND lower(s.kind) = p.kind AND s.seq = p.seq WHERE NOT s.is_deleted"""
+)
+def d8_closeout_forms(s, d):
+    """Status rows after a merge, and after one that failed; a third of the versions was never enumerated or is deleted."""
+    own = named(s, d).filter("priority <> '3-MEDIUM'").select(*KEY, F.lit("Pending").alias("status"), F.lit("x").alias("outcome"), (F.col("priority") == "4-NOT SPECIFIED").alias("is_deleted"))
+    b, now = batch(s, d), F.lit("2024-03-01").cast("timestamp")
+    raw = b.filter("received >= '1998-01-01'").select(*KEY, F.lit("AB").alias("payload_sha256"))
+    merged = merge.closeout(own, b, merge.upsert_rows(stored(s, d), b, KEY, VALUES), raw, KEY, now)
+    failed = merge.failed_closeout(own, b, KEY, now).withColumn("payload_sha256", F.lit(None).cast("string"))
+    both = [x.groupBy(F.lit(form).alias("form"), "status", "outcome").agg(F.count("*").alias("n"), F.count("payload_sha256").alias("hashed")) for form, x in (("merged", merged), ("failed", failed))]
+    return both[0].unionByName(both[1])
+
+
 # ---- the journal: what is stored of customers, and the events of users ----
 
 STATUS = """s AS (SELECT 'U' || c_custkey AS id, CASE c_mktsegment WHEN 'BUILDING' THEN 'Succeeded' WHEN 'AUTOMOBILE' THEN 'Failed' WHEN 'MACHINERY' THEN 'InProgress' ELSE 'Pending' END AS status,
@@ -417,3 +457,148 @@ def d28_watermark_audit(s, d):
     status = F.when(n("error") > n("purchase") + 5, "Failed").when(n("view") > n("purchase"), "Running").otherwise("Succeeded")
     runs = e.groupBy(day.alias("run")).agg(status.alias("run_status")).withColumn("is_deleted", F.lit(False))
     return journal.watermark_audit(q, runs, ["feed", "place"], "n", F.lit(110)).select("n", "before", "verdict")
+
+
+# ---- the tree: customers as records, their orders and, inside those, the orders' lines ----
+
+TREE = FieldMap(("id",), (Field("id", "$.id"),), (Collection("orders", "$.orders", (), (Collection("lines", "$.lines", (), (), "pos"),), "place"),), "customers")
+TREES = f"""{L}, {TL}, r AS (SELECT 'C' || c_custkey AS id, c_custkey AS k, c_mktsegment = 'BUILDING' AS is_deleted, c_nationkey < 5 AS doomed FROM customer),
+  o AS (SELECT 'c' || o_custkey AS id, o_custkey AS k, o_orderkey AS place, o_orderpriority = '5-LOW' AS is_deleted FROM orders),
+  x AS (SELECT o.id, o.k, o.place, tl.pos, tl.is_deleted FROM tl JOIN o ON o.place = tl.order_id)"""
+
+
+def _tree(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    no = {"deleted_at": F.lit(None).cast("timestamp"), "deleted_reason": F.lit(None).cast("string")}
+    name = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string")).alias("id")
+    r = table(s, d, "customer").select(name("C", "c_custkey"), (F.col("c_mktsegment") == "BUILDING").alias("is_deleted"))
+    o = table(s, d, "orders").select(name("c", "o_custkey"), F.col("o_orderkey").alias("place"), (F.col("o_orderpriority") == "5-LOW").alias("is_deleted"))
+    x = target_lines(s, d).join(o.select("id", F.col("place").alias("order_id")), "order_id").select("id", F.col("order_id").alias("place"), "pos", "is_deleted")
+    return {name: t.withColumns(no) for name, t in (("customers", r), ("orders", o), ("lines", x))}
+
+
+def _doomed(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "customer").filter("c_nationkey < 5").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit(" ")).alias("id"))
+
+
+@query(
+    f"""WITH {TREES}, d AS (SELECT k FROM r WHERE doomed)
+    SELECT * FROM (SELECT 'customers' AS "table", count(*) AS rows, 0 AS again FROM r WHERE NOT is_deleted AND k IN (FROM d)
+      UNION ALL SELECT 'orders', count(*), 0 FROM o WHERE NOT is_deleted AND k IN (FROM d) UNION ALL SELECT 'lines', count(*), 0 FROM x WHERE NOT is_deleted AND k IN (FROM d))"""
+)
+def d13_cascade_tree(s, d):
+    """Rows that a deletion stamps on three levels, and that the same deletion stamps again: none."""
+    before = _tree(s, d)
+    after = cascade.deleted(before, TREE, _doomed(s, d), "2024-03-01", "no longer in scope")
+    again = cascade.deleted(after, TREE, _doomed(s, d), "2024-04-01", "no longer in scope")
+    return cascade.counts(before, after).join(cascade.counts(after, again).withColumnRenamed("rows", "again"), "table")
+
+
+@query(
+    f"""WITH {TREES} SELECT 'orders' AS "table", count(*) AS orphans FROM o WHERE NOT is_deleted AND k NOT IN (SELECT k FROM r WHERE NOT is_deleted)
+    UNION ALL SELECT 'lines', count(*) FROM x WHERE NOT is_deleted AND place NOT IN (SELECT place FROM o WHERE NOT is_deleted)"""
+)
+def i9_orphan_tree(s, d):
+    return cascade.orphans(_tree(s, d), TREE)
+
+
+@query(
+    f"""WITH {TREES}, b AS (SELECT k, 'orders' AS "table", is_deleted FROM o UNION ALL SELECT k, 'lines', is_deleted FROM x)
+    SELECT 'c' || k AS id, "table", count(*) AS rows, count(*) FILTER (NOT is_deleted) AS live FROM b GROUP BY 1, 2"""
+)
+def i5_census(s, d):
+    return cascade.census(_tree(s, d), TREE)
+
+
+# ---- the declared record: a part each, every property filled by its place in the shape, some left out ----
+
+
+def _leaf(kind: int | str, i: int, k: Column) -> Column:
+    """What property number ``i`` of element ``k`` holds; every seventh is absent."""
+    at = k + i
+    made = {BIT: at % 2 == 0, DATE: F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), (at % 1000).cast("int")), "yyyy-MM-dd"), FLOAT: at + 0.5}
+    text = lambda w: F.left(F.concat(F.lit(f"{i}-"), k.cast("string")), F.lit(w))
+    value = text(kind + (i % 13 == 5)) if isinstance(kind, int) else made.get(kind, at)
+    return F.when(at % 7 != 3, value)
+
+
+def _leaf_sql(kind: int | str, i: int) -> str:
+    made = {BIT: f"((k + {i}) % 2 = 0)", DATE: f"DATE '2000-01-01' + ((k + {i}) % 1000)::INT", FLOAT: f"k + {i} + 0.5"}
+    value = f"left('{i}-' || k, {kind + (i % 13 == 5)})" if isinstance(kind, int) else made.get(kind, f"k + {i}")
+    return f"CASE WHEN (k + {i}) % 7 <> 3 THEN {value} END"
+
+
+def _shaped(shape: Shape, k: Column, count: list[int], fixed: dict[str, Column], arrays: dict[str, Column], above: str = "") -> Column:
+    """The struct of a shape; ``count`` numbers its leaves, ``arrays`` are the collections by path."""
+    out = []
+    for name, kind in shape.items():
+        path = above + name
+        if isinstance(kind, dict):
+            out.append(_shaped(kind, k, count, fixed, arrays, f"{path}.").alias(name))
+        else:
+            out.append(fixed.get(path, _leaf(kind, count[0], k)).alias(name))
+            count[0] += 1
+    out += [c.alias(p[len(above) :]) for p, c in arrays.items() if p.startswith(above) and "." not in p[len(above) :]]
+    return F.struct(*out)
+
+
+def _arrays(found: dict, k: Column) -> dict[str, Column]:
+    """Collection number c has (k + c) % 3 elements."""
+
+    def one(c: int, shape: Shape | tuple[str, int], inside: dict) -> Column:
+        element = lambda j: _shaped(shape, j, [0], {}, _arrays(inside, j)) if isinstance(shape, dict) else _leaf(shape[1], 0, j)
+        n = (k + c) % 3
+        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda j: element(k + j))).otherwise(F.array().cast("array<string>") if not isinstance(shape, dict) else None)
+
+    return {path: one(c, shape, inside) for c, (path, (shape, inside)) in enumerate(found.items())}
+
+
+def _whole_bodies(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    fixed = {"handlerId": F.concat(F.lit("H"), k.cast("string")), "type.code": F.lit("A"), "sequence": F.lit(1)}
+    made = table(s, d, "part").select(F.to_json(_shaped(RECORD, k, [0], fixed, _arrays(COLLECTIONS, k))).alias("body"))
+    return workspace.written(made, "bodies")
+
+
+def _tables_sql() -> list[tuple[str, str, list[tuple[str, str, int | None]]]]:
+    """(table, FROM, its columns as (name, expression, width)) of every declared table."""
+    fixed = {"handlerId": "'H' || k", "type.code": "'A'", "sequence": "1"}
+    out = [(DECLARED.name, "(SELECT p_partkey AS k FROM part)", [(f.column, fixed.get(path, _leaf_sql(kind, i)), f.width) for i, (f, (path, kind)) in enumerate(zip(DECLARED.fields, leaves(RECORD)))])]
+
+    def below(found: dict, declared, source: str) -> None:
+        for n, (c, (shape, inside)) in enumerate(zip(declared, found.values())):
+            own = f"(SELECT k + j AS k FROM {source}, unnest(range(1, (k + {n}) % 3 + 1)) AS u(j))"
+            kinds = leaves(shape) if isinstance(shape, dict) else [("", shape[1])]
+            out.append((c.name, own, [(f.column, _leaf_sql(kind, i), f.width) for i, (f, (_, kind)) in enumerate(zip(c.fields, kinds))]))
+            below(inside, c.children, own)
+
+    below(COLLECTIONS, DECLARED.collections, "(SELECT p_partkey AS k FROM part)")
+    return out
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", '{c}' AS "column", count(x) AS n, min(x)::VARCHAR AS least, max(x)::VARCHAR AS greatest FROM (SELECT {e} AS x FROM {source})""" for name, source, columns in _tables_sql() for c, e, _ in columns
+    )
+)
+def c1_declared_columns(s, d):
+    """All 377 declared columns of records and collections, from one reading of each body: values, least and greatest."""
+    found = ingest.projected(shred.parsed(_whole_bodies(s, d)), DECLARED)
+    out = None
+    for name, columns in [(DECLARED.name, [f.column for f in DECLARED.fields]), *((c.name, c.payload) for c, *_ in DECLARED.walk())]:
+        ends = [F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.min(c).cast("string").alias("least"), F.max(c).cast("string").alias("greatest")) for c in columns]
+        own = found[name].agg(F.array(*ends).alias("x")).select(F.lit(name).alias("table"), F.inline("x"))
+        out = out.unionByName(own) if out else own
+    return out
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", '{c}' AS "column", {w} AS width, count(*) AS n, max(length(x))::INT AS longest FROM (SELECT {e} AS x FROM {source}) WHERE length(x) > {w} HAVING count(*) > 0"""
+        for name, source, columns in _tables_sql()
+        for c, e, w in columns
+        if w
+    )
+)
+def b5_declared_widths(s, d):
+    """Columns of all declared tables that have values longer than declared."""
+    return validate.declared_widths(ingest.projected(shred.parsed(_whole_bodies(s, d)), DECLARED), DECLARED)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.fieldmap import Collection, Field, FieldMap
-from palimpsest.operators import journal, merge, scan, validate
+from palimpsest.operators import cascade, journal, merge, scan, validate
 from palimpsest.sources import buckets
 from palimpsest.streaming import ingest
 
@@ -275,3 +275,45 @@ def test_sweep_keeps_earlier_completions_and_finds_nothing_twice(spark):
     found = journal.swept(s, runs, "run", F.lit(77), location="MD").collect()
     assert {(r.run, r.previous_status, r.status, r.completed) for r in found} == {(1, "Pending", "Failed", 77), (2, "InProgress", "Failed", 5)}
     assert journal.swept(s.withColumn("status", F.lit("Failed")), runs, "run", F.lit(77)).count() == 0
+
+
+def test_a_deletion_walks_the_tree_once(spark, tmp_path):
+    root = str(tmp_path / "m")
+    ingest.create(spark, root, MAP, 4)
+    put(tmp_path / "in", "one", first_load())
+    found = spark.read.text(str(tmp_path / "in"), wholetext=True).select(F.lit("p").alias("path"), F.col("value").alias("body"))
+    ingest.apply(found, root, MAP)
+    doomed = spark.createDataFrame([("md5 ", 1), ("MD8", 1), ("MD8", 1), ("none", 1)], "id string, seq int")
+    rows = lambda: {name: buckets.read(spark, root, name) for name in buckets.latest(spark, root).tables}
+    live = lambda: {name: {r[0] for r in t.filter("not is_deleted").select("id").collect()} for name, t in rows().items()}
+    before = live()
+    buckets.commit(spark, root, cascade.changes(MAP, doomed, "withdrawn by hand"))
+    assert live() == {name: ids - {"MD5", "MD8"} for name, ids in before.items()}
+    at = buckets.latest(spark, root).tables
+    buckets.commit(spark, root, cascade.changes(MAP, doomed, "withdrawn by hand"))
+    assert buckets.latest(spark, root).tables == at
+    assert {r.table: r.orphans for r in cascade.orphans(rows(), MAP).collect()} == {"owner": 0, "waste": 0, "waste_code": 0, "record_raw": 0}
+    torn = rows() | {"waste": rows()["waste"].withColumn("is_deleted", F.lit(True))}
+    assert {r.table: r.orphans for r in cascade.orphans(torn, MAP).collect()}["waste_code"] > 0
+    with pytest.raises(ValueError):
+        cascade.changes(MAP, doomed, "short")
+
+
+def test_everything_can_be_projected_again_from_the_raw_texts(spark, tmp_path):
+    root = str(tmp_path / "m")
+    ingest.create(spark, root, MAP, 2)
+    put(tmp_path / "in", "one", first_load())
+    found = spark.read.text(str(tmp_path / "in"), wholetext=True).select(F.lit("p").alias("path"), F.col("value").alias("body"))
+    ingest.apply(found, root, MAP)
+    for name, again in ingest.reprojected(spark, root, MAP).items():
+        stored = buckets.read(spark, root, name).filter("not is_deleted").select(*again.columns)
+        assert sorted(map(str, again.collect())) == sorted(map(str, stored.collect()))
+
+
+def test_the_declared_record():
+    from palimpsest.record_map import DECLARED
+
+    tree = list(DECLARED.walk())
+    assert len(DECLARED.fields) == len({f.column for f in DECLARED.fields}) == 210
+    assert len(tree) == 18 and sum(len(c.fields) for c, *_ in tree) == 167 and sum(above is not None for _, above, _ in tree) == 3
+    assert all(len({*own, *c.payload}) == len(own) + len(c.fields) for c, _, own in tree)
