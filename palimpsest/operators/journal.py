@@ -24,6 +24,13 @@ def new_attempts(status: DataFrame, attempts: DataFrame, recorded: DataFrame, ke
     return d.withColumn("verdict", verdict).drop("known", "there")
 
 
+def with_duration(attempts: DataFrame) -> DataFrame:
+    """``attempts`` with duration: the one given, or the capped time from start to completion where there is one."""
+    took = F.unix_millis("completed") - F.unix_millis("started")
+    derived = F.when(took.isNotNull(), F.least(took, F.lit(CAP_MS))).cast("int")  # least() passes over nulls
+    return attempts.withColumn("duration", F.coalesce(F.col("duration").cast("int"), derived))
+
+
 def append_attempts(status: DataFrame, attempts: DataFrame, recorded: DataFrame, keys: list[str], number: str) -> DataFrame:
     """One row: attempts written, already recorded and orphaned, in one aggregation."""
     n = lambda v: F.coalesce(F.sum((F.col("verdict") == v).cast("long")), F.lit(0)).alias(v)

@@ -44,7 +44,7 @@ def attempt_rules() -> dict[str, Column]:
         "no_start": F.col("started").isNull(),
         "outcome_unknown": outcome.isNull() | ~outcome.isin(*ATTEMPT_OUTCOMES),
         "http_outside": ~F.col("http").between(100, 599),
-        "negative": (F.col("duration") < 0) | (F.col("bytes") < 0),
+        "negative": (F.col("duration") < 0) | (F.col("bytes") < 0) | (F.col("retry_after") < 0),
         "ends_before_start": F.col("completed") < F.col("started"),
         "success_with_error": (outcome == "Succeeded") & error,
         "failure_without_detail": outcome.isin("Failed", "Throttled", "TimedOut") & F.col("http").isNull() & ~error,

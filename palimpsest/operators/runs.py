@@ -71,6 +71,12 @@ def run_counters(status: DataFrame, calls: DataFrame, run: str) -> DataFrame:
     return counted.join(calls, run, "left").withColumn("retries", F.greatest(F.coalesce(F.col("requests") - F.col("logical"), F.lit(0)), F.lit(0)))
 
 
+def elapsed(runs: DataFrame, now: Column) -> DataFrame:
+    """``runs`` with elapsed_seconds: to the completion, or to ``now`` while there is none; capped."""
+    seconds = F.unix_seconds(F.coalesce(F.col("completed"), now)) - F.unix_seconds("started")
+    return runs.withColumn("elapsed_seconds", F.when(seconds.isNotNull(), F.least(seconds, F.lit(2_147_483_647))).cast("int"))
+
+
 def summary(runs: DataFrame, status: DataFrame, attempts: DataFrame, observations: DataFrame, run: str = "run") -> DataFrame:
     """One row per run: what its status, attempt and observation rows say, beside the run's own counters.
 
@@ -86,6 +92,7 @@ def summary(runs: DataFrame, status: DataFrame, attempts: DataFrame, observation
         n(F.col("outcome").isNull(), "outcome_not_set"),
         F.count_distinct("entity").alias("entities"),
         n(F.col("is_deleted"), "status_deleted"),
+        F.count("execution_log").alias("our_failures"),
         F.coalesce(F.sum("attempts"), F.lit(0)).alias("attempts_total"),
         F.count("duration").alias("durations"),
         F.coalesce(F.sum("duration"), F.lit(0)).alias("duration_total"),
@@ -95,6 +102,7 @@ def summary(runs: DataFrame, status: DataFrame, attempts: DataFrame, observation
     )
     a = attempts.groupBy(run).agg(
         F.count("*").alias("attempt_rows"),
+        n(F.col("is_deleted"), "attempts_deleted"),
         *named("outcome", "attempt", ("Succeeded", "Failed", "Throttled", "TimedOut", "Cancelled")),
         F.max("attempt").alias("attempt_max"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes_total"),
@@ -103,7 +111,7 @@ def summary(runs: DataFrame, status: DataFrame, attempts: DataFrame, observation
         F.max("retry_after").alias("retry_after_max"),
     )
     o = observations.groupBy(run).agg(
-        F.count("*").alias("observation_rows"), *named("severity", "observation", ("Error", "Warning", "Info")), F.count_distinct("type").alias("observation_types")
+        F.count("*").alias("observation_rows"), n(F.col("is_deleted"), "observations_deleted"), *named("severity", "observation", ("Error", "Warning", "Info")), F.count_distinct("type").alias("observation_types")
     )
     d = runs.join(s, run, "left").join(a, run, "left").join(o, run, "left")
     d = d.fillna(0, [c for x in (s, a, o) for c, kind in x.dtypes if kind == "bigint" and c != run and c not in ("first_seen", "last_completed") and not c.endswith("_max")])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.fieldmap import Collection, Field, FieldMap
-from palimpsest.operators import cascade, current, journal, merge, reads, shred, validate
+from palimpsest.operators import cascade, current, journal, merge, reads, runs, shred, validate
 from palimpsest.plans.queries import KEY, L, PAIR, TL, V, lines, table, target_lines, versions
 from palimpsest.plans.queries import sent as lines_sent
 from palimpsest.record_map import BIT, COLLECTIONS, DATE, DECLARED, FLOAT, RECORD, Shape, leaves
@@ -400,6 +400,28 @@ def d23_any_case(s, d):
     return journal.withheld(given).groupBy("path", "message", "withheld").agg(F.count("*").alias("n"))
 
 
+@query(
+    """SELECT event_id AS n, CASE WHEN event_type = 'view' THEN floor(value)::INT WHEN event_type <> 'error' THEN least(floor(value)::BIGINT * 86400 * 1000, 2147483647)::INT END AS duration FROM events"""
+)
+def d22_attempt_durations(s, d):
+    """Events as attempts that took as many days as their value, some of which measured it themselves or never ended."""
+    e, at = table(s, d, "events"), F.col("ts").cast("timestamp")
+    done = F.when(F.col("event_type") != "error", F.timestamp_micros(F.unix_micros(at) + F.floor("value").cast("long") * 86_400_000_000))
+    a = e.select(F.col("event_id").alias("n"), at.alias("started"), done.alias("completed"), F.when(F.col("event_type") == "view", F.floor("value").cast("long")).alias("duration"))
+    return journal.with_duration(a).select("n", "duration")
+
+
+@query(
+    """SELECT event_id AS run, least(CASE WHEN event_type = 'error' THEN 1706700000 - floor(epoch_us(ts) // 1000000)::BIGINT ELSE floor(value)::BIGINT * 60 END, 2147483647)::INT AS elapsed_seconds FROM events"""
+)
+def e5_elapsed(s, d):
+    """Events as runs of as many minutes as their value; errors run until now."""
+    at = F.col("ts").cast("timestamp")
+    done = F.when(F.col("event_type") != "error", F.timestamp_micros(F.unix_micros(at) + F.floor("value").cast("long") * 60_000_000))
+    r = table(s, d, "events").select(F.col("event_id").alias("run"), at.alias("started"), done.alias("completed"))
+    return runs.elapsed(r, F.timestamp_seconds(F.lit(1706700000))).select("run", "elapsed_seconds")
+
+
 # ---- segmented scans ----
 
 OPEN = """r AS (SELECT event_id AS run, CASE WHEN value > 50 THEN event_type ELSE upper(event_type) END AS place, epoch_us(ts) // 1000 AS a,
@@ -455,8 +477,8 @@ def d28_watermark_audit(s, d):
     )
     n = lambda name: F.count_if(kind == name)
     status = F.when(n("error") > n("purchase") + 5, "Failed").when(n("view") > n("purchase"), "Running").otherwise("Succeeded")
-    runs = e.groupBy(day.alias("run")).agg(status.alias("run_status")).withColumn("is_deleted", F.lit(False))
-    return journal.watermark_audit(q, runs, ["feed", "place"], "n", F.lit(110)).select("n", "before", "verdict")
+    days = e.groupBy(day.alias("run")).agg(status.alias("run_status")).withColumn("is_deleted", F.lit(False))
+    return journal.watermark_audit(q, days, ["feed", "place"], "n", F.lit(110)).select("n", "before", "verdict")
 
 
 # ---- the tree: customers as records, their orders and, inside those, the orders' lines ----

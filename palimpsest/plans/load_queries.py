@@ -61,6 +61,7 @@ def status(s: SparkSession, d: str) -> DataFrame:
         seconds.alias("first_seen"),
         F.when(F.col("event_type").isin("purchase", "error"), seconds + 60).alias("completed"),
         (F.col("value") > 150).alias("is_deleted"),
+        F.when((F.col("event_type") == "error") & (F.col("value") < 40), F.col("event_id")).alias("execution_log"),
         "value",
         "ts",
     )
@@ -77,12 +78,13 @@ def attempts(s: SparkSession, d: str) -> DataFrame:
         F.expr(_case(HTTP_OF)).alias("http"),
         F.expr(whole("value * 100")).alias("bytes"),
         F.expr(f"case when event_type = 'click' then {whole('value')} end").alias("retry_after"),
+        (F.col("value") > 170).alias("is_deleted"),
     )
 
 
 def observations(s: SparkSession, d: str) -> DataFrame:
     e = table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return e.select(F.expr(f"cast({_RUN} as bigint)").alias("run"), F.col("user_id").alias("entity"), F.expr(_case(SEVERITY_OF)).alias("severity"), F.col("event_type").alias("type"))
+    return e.select(F.expr(f"cast({_RUN} as bigint)").alias("run"), F.col("user_id").alias("entity"), F.expr(_case(SEVERITY_OF)).alias("severity"), F.col("event_type").alias("type"), (F.col("value") > 160).alias("is_deleted"))
 
 
 def run_table(s: SparkSession, d: str) -> DataFrame:
@@ -112,10 +114,10 @@ def run_table(s: SparkSession, d: str) -> DataFrame:
 
 ST = f"""st AS (SELECT event_id AS status_id, ({_RUN})::BIGINT AS run, user_id AS entity, event_id AS seq, {_case(STATUS_OF)} AS status, {_OUTCOME} AS outcome, (1 + floor(value / 50))::BIGINT AS attempts,
   CASE WHEN event_type <> 'view' THEN floor(value * 10)::BIGINT END AS duration, {_case(HTTP_OF)} AS http, floor(epoch(ts))::BIGINT AS first_seen,
-  CASE WHEN event_type IN ('purchase', 'error') THEN floor(epoch(ts))::BIGINT + 60 END AS completed, value > 150 AS is_deleted, value, ts FROM events)"""
+  CASE WHEN event_type IN ('purchase', 'error') THEN floor(epoch(ts))::BIGINT + 60 END AS completed, value > 150 AS is_deleted, CASE WHEN event_type = 'error' AND value < 40 THEN event_id END AS execution_log, value, ts FROM events)"""
 AT = f"""att AS (SELECT ({_RUN})::BIGINT AS run, user_id AS entity, floor(1 + value / 50)::BIGINT AS attempt, {_case(ATTEMPT_OF)} AS outcome, {_case(HTTP_OF)} AS http, floor(value * 100)::BIGINT AS bytes,
-  CASE WHEN event_type = 'click' THEN floor(value)::BIGINT END AS retry_after FROM events)"""
-OB = f"ob AS (SELECT ({_RUN})::BIGINT AS run, user_id AS entity, {_case(SEVERITY_OF)} AS severity, event_type AS type FROM events)"
+  CASE WHEN event_type = 'click' THEN floor(value)::BIGINT END AS retry_after, value > 170 AS is_deleted FROM events)"""
+OB = f"ob AS (SELECT ({_RUN})::BIGINT AS run, user_id AS entity, {_case(SEVERITY_OF)} AS severity, event_type AS type, value > 160 AS is_deleted FROM events)"
 _N = lambda c, v: f"count(*) FILTER ({c} = '{v}')"
 RN = f"""{ST}, rn0 AS (SELECT run, {_N('status', 'Failed')} AS failed, {_N('status', 'Skipped')} AS skipped, {_N('outcome', 'Inserted')} AS inserted0, {_N('outcome', 'Updated')} AS updated,
   {_N('outcome', 'Unchanged')} AS unchanged, {_N('outcome', 'SoftDeleted')} AS soft_deleted, count(*) AS enumerated, min(ts) AS started, max(value) AS top FROM st GROUP BY run),
@@ -220,7 +222,7 @@ def b13_status_rules(s, d):
     _sql_rules(
         "events",
         "event_id",
-        {"negative": "value < 1", "ends_before_start": "value > 200", "success_with_error": "event_type = 'purchase' AND value > 50", "failure_without_detail": "event_type = 'signup' AND value <= 50", "outcome_unknown": "event_type = 'view'"},
+        {"negative": "value < 1 OR value BETWEEN 90 AND 91", "ends_before_start": "value > 200", "success_with_error": "event_type = 'purchase' AND value > 50", "failure_without_detail": "event_type = 'signup' AND value <= 50", "outcome_unknown": "event_type = 'view'"},
     )
 )
 def b14_attempt_rules(s, d):
@@ -234,6 +236,7 @@ def b14_attempt_rules(s, d):
         F.expr(_case(HTTP_OF)).alias("http"),
         F.when(F.col("value") < 1, -1).otherwise(1).alias("duration"),
         F.lit(1).alias("bytes"),
+        F.when(F.col("value").between(90, 91), -5).alias("retry_after"),
         F.when(F.col("value") > 50, "E1").alias("error_code"),
         F.lit(None).cast("string").alias("failure"),
     )
@@ -442,10 +445,10 @@ _SUMS = lambda t, c, prefix, values: ", ".join(f"count(*) FILTER ({c} = '{v}') A
 
 @query(
     f"""WITH {RN}, {AT}, {OB}, s AS (SELECT run, count(*) AS status_rows, {_SUMS('st', 'status', 'status', STATUS_OF.values())}, {_SUMS('st', 'outcome', 'outcome', ('Inserted', 'Updated', 'Unchanged', 'SoftDeleted'))},
-      count(*) FILTER (outcome IS NULL) AS outcome_not_set, count(DISTINCT entity) AS entities, count(*) FILTER (is_deleted) AS status_deleted, sum(attempts)::BIGINT AS attempts_total, count(duration) AS durations, coalesce(sum(duration), 0)::BIGINT AS duration_total,
+      count(*) FILTER (outcome IS NULL) AS outcome_not_set, count(DISTINCT entity) AS entities, count(*) FILTER (is_deleted) AS status_deleted, count(execution_log) AS our_failures, sum(attempts)::BIGINT AS attempts_total, count(duration) AS durations, coalesce(sum(duration), 0)::BIGINT AS duration_total,
       max(duration) AS duration_max, min(first_seen) AS first_seen, max(completed) AS last_completed FROM st GROUP BY run),
-    a AS (SELECT run, count(*) AS attempt_rows, {_SUMS('att', 'outcome', 'attempt', ATTEMPT_OF.values())}, max(attempt) AS attempt_max, sum(bytes)::BIGINT AS bytes_total, count(*) FILTER (http BETWEEN 400 AND 499) AS http_4xx, count(*) FILTER (http BETWEEN 500 AND 599) AS http_5xx, max(retry_after) AS retry_after_max FROM att GROUP BY run),
-    o AS (SELECT run, count(*) AS observation_rows, {_SUMS('ob', 'severity', 'observation', ('Error', 'Warning', 'Info'))}, count(DISTINCT type) AS observation_types FROM ob GROUP BY run)
+    a AS (SELECT run, count(*) AS attempt_rows, count(*) FILTER (is_deleted) AS attempts_deleted, {_SUMS('att', 'outcome', 'attempt', ATTEMPT_OF.values())}, max(attempt) AS attempt_max, sum(bytes)::BIGINT AS bytes_total, count(*) FILTER (http BETWEEN 400 AND 499) AS http_4xx, count(*) FILTER (http BETWEEN 500 AND 599) AS http_5xx, max(retry_after) AS retry_after_max FROM att GROUP BY run),
+    o AS (SELECT run, count(*) AS observation_rows, count(*) FILTER (is_deleted) AS observations_deleted, {_SUMS('ob', 'severity', 'observation', ('Error', 'Warning', 'Info'))}, count(DISTINCT type) AS observation_types FROM ob GROUP BY run)
     SELECT s.*, a.* EXCLUDE (run), o.* EXCLUDE (run), rn.run_status, CASE WHEN rn.run_status <> 'Running' THEN rn.inserted <> outcome_inserted END AS drift FROM rn JOIN s USING (run) JOIN a USING (run) JOIN o USING (run)"""
 )
 def e11_full_summary(s, d):
