@@ -222,7 +222,7 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + ends, distinct + bool(ends)
     unit = total + 0.5 * (distinct + 1)
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()  # bounded
+    head = counts.select("word", "n").orderBy(F.desc("n"), "word").limit(HEAD).collect()  # bounded, without the spelling
     known = np.array([r.word for r in head], np.int64)
     by = np.argsort(known)
     known, known_n = known[by], np.array([r.n for r in head], np.int64)[by]

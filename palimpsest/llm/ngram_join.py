@@ -432,9 +432,9 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = rows.join(comp, "node", "left").select("doc_id", "key", group.alias("group"), *alone)
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("x")
     stay = rows.groupBy("group", "alone_doc_id", "alone_key").agg(least).select(F.col("x.doc_id").alias("__id"), F.col("x.key").alias("__stay"))
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    kept = keyed.join(stay, keyed.doc_id.eqNullSafe(stay["__id"]) & (keyed["__key"] == stay["__stay"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__key"]).drop("__key")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("key"))
+    kept = keyed.join(stay, keyed["own"].eqNullSafe(stay["__id"]) & (keyed["key"] == stay["__stay"]), "left_semi")
+    return kept.dropDuplicates(["own", "key"]).select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 SQL = r"""
