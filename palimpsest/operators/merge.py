@@ -185,22 +185,22 @@ def missing_parents(elements: DataFrame, parents: DataFrame, keys: list[str]) ->
     return anti(elements, parents.filter("not is_deleted"), keys)
 
 
-def nested_code_plan(target: DataFrame, batch: DataFrame, owners: DataFrame, owner: list[str], ordinal: str, columns: list[str], full: bool) -> DataFrame:
-    """The list nested in code-list elements: owner, ordinal and action.
+def nested_code_rows(target: DataFrame, batch: DataFrame, owners: DataFrame, owner: list[str], ordinal: str, columns: list[str], full: bool) -> DataFrame:
+    """The list nested in code-list elements after its merge: owner, ordinal, columns, is_deleted and action.
 
     ``owners`` has every stored owner after its own merge (is_deleted, and whether this payload has it: ``sent``).
     Rows of the payload are upserted under live owners. ``full`` retires the ordinals that a live owner of the payload
     no longer sends. Whatever the mode, and whether or not it was sent, a retired owner keeps no live row: they cascade.
     """
     keys, live = [*owner, ordinal], owners.filter("not is_deleted")
-    plan = merge_plan(target, semi(batch, live, owner), keys, columns).select(*keys, "action")
-    there = target.filter("not is_deleted")
-    cascade = semi(there, owners.filter("is_deleted"), owner).select(*keys, F.lit("cascade").alias("action"))
-    out = plan.unionByName(cascade)
-    if not full:
-        return out
-    gone = anti(semi(there, live.filter("sent"), owner), batch, keys)
-    return out.unionByName(gone.select(*keys, F.lit("retire").alias("action")))
+    there, gone = target.filter("not is_deleted"), lambda d, action: d.select(*keys, *columns, F.lit(True).alias("is_deleted"), F.lit(action).alias("action"))
+    out = upsert_rows(target, semi(batch, live, owner), keys, columns).unionByName(gone(semi(there, owners.filter("is_deleted"), owner), "cascade"))
+    return out.unionByName(gone(anti(semi(there, live.filter("sent"), owner), batch, keys), "retire")) if full else out
+
+
+def nested_code_plan(target: DataFrame, batch: DataFrame, owners: DataFrame, owner: list[str], ordinal: str, columns: list[str], full: bool) -> DataFrame:
+    """Actions of nested_code_rows()."""
+    return nested_code_rows(target, batch, owners, owner, ordinal, columns, full).select(*owner, ordinal, "action")
 
 
 def deleted_status(status: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest import code_lists
 from palimpsest.fieldmap import Collection, Field, FieldMap
 from palimpsest.operators import cascade, current, journal, merge, reads, runs, shred, validate
 from palimpsest.plans.queries import KEY, L, PAIR, TL, V, lines, table, target_lines, versions
 from palimpsest.plans.queries import sent as lines_sent
 from palimpsest.record_map import BIT, COLLECTIONS, DATE, DECLARED, FLOAT, RECORD, Shape, leaves
-from palimpsest.sources import buckets, workspace
+from palimpsest.sources import buckets, json_bodies, workspace
 from palimpsest.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -624,3 +625,80 @@ def c1_declared_columns(s, d):
 def b5_declared_widths(s, d):
     """Columns of all declared tables that have values longer than declared."""
     return validate.declared_widths(ingest.projected(shred.parsed(_whole_bodies(s, d)), DECLARED), DECLARED)
+
+
+# ---- code lists: sizes of brands as waste codes, regions as districts with their nations as counties ----
+
+CODES = """w AS (SELECT 'B' || right(p_brand, 1) AS location, 'C' || p_size AS code, max(p_retailprice) AS top, p_size FROM part GROUP BY 1, 2, p_size),
+  w2 AS (SELECT *, p_size < 45 AND location <> 'B1' AS sent, location NOT IN ('B1', 'B2') AS mentioned FROM w WHERE location <> 'B9'),
+  c AS (SELECT n_regionkey AS r, n_nationkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS pos,
+    row_number() OVER (PARTITION BY n_regionkey, n_nationkey <= 15 ORDER BY n_nationkey) - 1 AS pos2 FROM nation)"""
+
+
+def _lists(s: SparkSession, d: str, again: bool) -> DataFrame:
+    """Bodies of two lists. ``again``: without the large sizes and two brands, without region 0 and the later nations."""
+    w = table(s, d, "part").groupBy(F.concat(F.lit("B"), F.right("p_brand", F.lit(1))).alias("activityLocation"), F.concat(F.lit("C"), F.col("p_size").cast("string")).alias("code"), "p_size").agg(F.max("p_retailprice").alias("top"))
+    w = w.filter("p_size < 45 and activityLocation not in ('B1', 'B2')").withColumn("code", F.lower("code")) if again else w
+    w = w.select(F.to_json(F.struct("activityLocation", "code", F.col("top").cast("string").alias("description"), F.lit("1").alias("active"))).alias("e"), F.lit("WasteCode").alias("list_name"))
+    n = table(s, d, "nation")
+    n = n.filter("n_nationkey <= 15 and n_regionkey <> 0") if again else n
+    county = F.struct("n_nationkey", F.struct(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("description")).alias("c"))
+    n = n.groupBy("n_regionkey").agg(F.transform(F.array_sort(F.collect_list(county)), lambda x: x["c"]).alias("counties"))
+    n = n.select(F.to_json(F.struct(F.lit("US").alias("activityLocation"), F.concat(F.lit("D"), F.col("n_regionkey").cast("string")).alias("code"), "counties")).alias("e"), F.lit("StateDistrict").alias("list_name"))
+    return w.unionByName(n).groupBy("list_name").agg(F.concat(F.lit("["), F.array_join(F.collect_list("e"), ","), F.lit("]")).alias("body"))
+
+
+@query(
+    f"""WITH {CODES} SELECT 'code' AS "table", location AS a, 'C' || p_size AS b, 0 AS pos, top::VARCHAR AS text, location NOT IN ('B1', 'B2') AND p_size >= 45 AS is_deleted FROM w
+    UNION ALL SELECT 'code', 'US', 'D' || r, 0, NULL, r = 0 FROM c GROUP BY r
+    UNION ALL SELECT 'county', 'US', 'D' || old.r, old.pos, coalesce(new.n_name, old.n_name), old.r = 0 OR new.n_name IS NULL AND EXISTS (SELECT 1 FROM c x WHERE x.r = old.r AND x.n_nationkey <= 15)
+      FROM c old LEFT JOIN c new ON new.r = old.r AND old.r <> 0 AND new.n_nationkey <= 15 AND new.pos2 = old.pos"""
+)
+def a3_code_refresh(s, d):
+    """Two full refreshes in one commit each: codes that are no longer sent go, within the locations sent; retired districts take their counties."""
+    root = workspace.new_folder(s, "lists")
+    code_lists.create(s, root)
+    for again in (False, True):
+        code_lists.refresh(s, root, _lists(s, d, again))
+    code = buckets.read(s, root, "code").select(F.lit("code").alias("table"), F.col("location").alias("a"), F.col("code").alias("b"), F.lit(0).alias("pos"), F.col("description").alias("text"), "is_deleted")
+    return code.unionByName(buckets.read(s, root, "county").select(F.lit("county").alias("table"), F.col("location").alias("a"), F.col("district").alias("b"), "pos", F.col("county_description").alias("text"), "is_deleted"))
+
+
+@query(
+    """SELECT list_name, rule, count(*) AS n FROM (SELECT CASE p_brand WHEN 'Brand#1' THEN 'HsmReason' WHEN 'Brand#2' THEN 'Naics' WHEN 'Brand#3' THEN 'NoList' ELSE 'WasteCode' END AS list_name, p_size, p_brand, p_name FROM part) p,
+      unnest([CASE WHEN p_size = 1 THEN 'code_missing' END, CASE WHEN p_size = 2 AND list_name <> 'HsmReason' THEN 'location_missing' END,
+        CASE WHEN p_size > 1 AND length('K' || p_size) > CASE list_name WHEN 'HsmReason' THEN 1 WHEN 'NoList' THEN 0 ELSE 6 END THEN 'code_too_wide' END,
+        CASE WHEN p_size = 3 THEN 'location_too_wide' END, CASE WHEN p_size = 4 AND list_name <> 'WasteCode' THEN 'description_too_wide' END, CASE WHEN p_size = 5 AND list_name <> 'WasteCode' THEN 'code_type_too_wide' END,
+        CASE WHEN list_name = 'NoList' THEN 'unknown_list' END]) AS u(rule) WHERE rule IS NOT NULL GROUP BY 1, 2
+    UNION ALL SELECT 'StateDistrict', 'county_code_missing', count(*) FROM nation WHERE n_regionkey = 1 UNION ALL SELECT 'StateDistrict', 'county_too_wide', count(*) FROM nation WHERE n_regionkey = 2"""
+)
+def b15_list_rules(s, d):
+    """Parts as elements of four lists, one of which there isn't, and nations as counties, some without code or too wide."""
+    size, brand = F.col("p_size"), F.col("p_brand")
+    name = F.when(brand == "Brand#1", "HsmReason").when(brand == "Brand#2", "Naics").when(brand == "Brand#3", "NoList").otherwise("WasteCode")
+    e = F.struct(
+        F.when(size == 3, "ABC").when(size != 2, "AB").alias("activityLocation"),
+        F.when(size > 1, F.concat(F.lit("K"), size.cast("string"))).alias("code"),
+        F.when(size == 4, F.repeat(F.lit("x"), 300)).alias("description"),
+        F.when(size == 5, F.repeat(F.lit("y"), 11)).alias("codeType"),
+    )
+    p = table(s, d, "part").select(name.alias("list_name"), F.to_json(e).alias("e"))
+    county = F.struct(F.when(F.col("n_regionkey") != 1, F.when(F.col("n_regionkey") == 2, "TOO-WIDE").otherwise("N1")).alias("code"))
+    n = table(s, d, "nation").groupBy("n_regionkey").agg(F.collect_list(county).alias("counties"))
+    n = n.select(F.lit("StateDistrict").alias("list_name"), F.to_json(F.struct(F.lit("US").alias("activityLocation"), F.lit("D").alias("code"), "counties")).alias("e"))
+    bodies = p.unionByName(n).groupBy("list_name").agg(F.concat(F.lit("["), F.array_join(F.collect_list("e"), ","), F.lit("]")).alias("body"))
+    return code_lists.violations(code_lists.elements(bodies)).select("list_name", "rule", "n")
+
+
+@query(
+    """SELECT month, count(*) AS n, min(r) AS first_retrieved, max(sha) AS greatest FROM (SELECT strftime(o_orderdate, '%Y%m') AS month, epoch_us(o_orderdate::TIMESTAMP) // 1000 + 3600000 AS r,
+      sha256('{"id":' || o_orderkey || ',"price":' || CAST(floor(o_totalprice) AS BIGINT) || '.5}') AS sha FROM orders) GROUP BY 1"""
+)
+def a1_envelopes(s, d):
+    """Envelopes of orders: when each was retrieved, and the text of its record."""
+    o = table(s, d, "orders")
+    record = F.concat(F.lit('{ "id" : '), F.col("o_orderkey").cast("string"), F.lit(' , "price":'), F.floor("o_totalprice").cast("long").cast("string"), F.lit(".5 }"))
+    e = F.concat(F.lit('{"retrievedDateUtc" : "'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('T00:00:00-01:00", "handler":'), record, F.lit(" }"))
+    bodies = o.groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(e), " , "), F.lit("]")).alias("body"))
+    found = json_bodies.envelopes(bodies)
+    return found.groupBy("month").agg(F.count("*").alias("n"), F.min(F.unix_millis("retrieved")).alias("first_retrieved"), F.max(F.sha2("record", 256)).alias("greatest"))

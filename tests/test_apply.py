@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from palimpsest import code_lists
 from palimpsest.fieldmap import Collection, Field, FieldMap
 from palimpsest.operators import cascade, journal, merge, scan, validate
 from palimpsest.sources import buckets
@@ -317,3 +318,49 @@ def test_the_declared_record():
     assert len(DECLARED.fields) == len({f.column for f in DECLARED.fields}) == 210
     assert len(tree) == 18 and sum(len(c.fields) for c, *_ in tree) == 167 and sum(above is not None for _, above, _ in tree) == 3
     assert all(len({*own, *c.payload}) == len(own) + len(c.fields) for c, _, own in tree)
+
+
+def lists(spark, **found):
+    return spark.createDataFrame([(name, json.dumps(body)) for name, body in found.items()], "list_name string, body string")
+
+
+def live(spark, root, table, *columns):
+    return {tuple(r) for r in buckets.read(spark, root, table).filter("not is_deleted").select(*columns).collect()}
+
+
+def test_code_lists_refresh_whole_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "m")
+    code_lists.create(spark, root, 4)
+    reasons = [{"code": c, "description": c, "active": "true"} for c in "ABC"]
+    waste = [{"activityLocation": loc, "code": f"{loc}{k}"} for loc in ("MD", "VA") for k in range(3)]
+    district = [{"activityLocation": "MD", "code": f"D{k}", "counties": [{"code": "1"}, {"code": "2"}]} for k in range(2)]
+    code_lists.refresh(spark, root, lists(spark, HsmReason=reasons, WasteCode=waste, StateDistrict=district))
+    assert len(live(spark, root, "code", *code_lists.KEYS)) == 11 and len(live(spark, root, "county", "district", "pos")) == 4
+
+    # within the locations sent: VA stays; a district goes with its counties, another loses one; a list that isn't full loses nothing
+    later = lists(spark, HsmReason=[{"code": "a "}], WasteCode=[{"activityLocation": "md", "code": "MD0"}, {"activityLocation": "MD", "code": "new"}], StateDistrict=[{"activityLocation": "MD", "code": "d0", "counties": [{"code": "9"}]}])
+    code_lists.refresh(spark, root, later, full=["WasteCode", "StateDistrict"])
+    assert live(spark, root, "code", *code_lists.KEYS) == {("HsmReason", "", c) for c in "ABC"} | {("WasteCode", "VA", f"VA{k}") for k in range(3)} | {("WasteCode", "MD", "MD0"), ("WasteCode", "MD", "new"), ("StateDistrict", "MD", "D0")}
+    assert live(spark, root, "county", "district", "pos", "county_code") == {("D0", 0, "9")}
+
+    before = buckets.latest(spark, root)
+    for bad, says in (
+        ({"WasteCode": []}, "never empty"),
+        ({"WasteCode": [{"activityLocation": "VA", "code": "VA0"}]}, "would be retired"),
+        ({"HsmReason": [{"code": "AB"}]}, "code_too_wide"),
+        ({"Naics": [{"code": "1"}]}, "location_missing"),
+        ({"HsmReason": [{"code": "A"}, {"code": "a "}]}, "share a key"),
+        ({"HsmReason": {"code": "A"}}, "not_array"),
+        ({"StateDistrict": [{"activityLocation": "MD", "code": "D0", "counties": [{"description": "no code"}]}]}, "county_code_missing"),
+        ({"HsmReason": [{"code": "A"}], "WasteCode": []}, "never empty"),
+    ):
+        with pytest.raises(validate.BatchRefused, match=says):
+            code_lists.refresh(spark, root, lists(spark, **bad))
+    assert buckets.latest(spark, root) == before
+    code_lists.refresh(spark, root, lists(spark, WasteCode=[]), full=[])  # an empty upsert does nothing
+    assert buckets.latest(spark, root).tables == before.tables
+
+
+def test_the_catalogue(spark):
+    rows = code_lists.catalogue(spark).collect()
+    assert len(rows) == len({r.address for r in rows}) == 23 and sum(not r.located for r in rows) == 7
