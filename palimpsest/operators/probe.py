@@ -34,6 +34,6 @@ def shape_disagreement(one: DataFrame, other: DataFrame) -> DataFrame:
 def census(walked: DataFrame, documents: DataFrame, keys: list[str]) -> DataFrame:
     """Per path: documents that send it, that send it as null, and that lack it."""
     each = walked.groupBy("path", *keys).agg(F.max((~F.is_variant_null("value")).cast("int")).alias("full"))
-    total = documents.select(*keys).distinct().count()
+    total = documents.agg(F.count_distinct(*keys)).scalar()
     n = each.groupBy("path").agg(F.sum("full").alias("sent"), F.sum(1 - F.col("full")).alias("null"))
-    return n.withColumn("absent", F.lit(total) - F.col("sent") - F.col("null"))
+    return n.withColumn("absent", total - F.col("sent") - F.col("null"))

@@ -43,7 +43,7 @@ def page(
         rows = rows if low is None else rows.filter(F.col(c) >= F.lit(low))
         rows = rows if high is None else rows.filter(F.col(c) <= F.lit(high))
     if total:
-        rows = rows.withColumn("total_rows", F.lit(rows.count()))
+        rows = rows.withColumn("total_rows", rows.agg(F.count("*")).scalar())  # counted by the same query, which runs when it is read
     skip, take = min(max(skip, 0), 2_000_000_000), min(max(take, 1), 500)
     c = F.col(sort)
     return rows.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_first(), *tie).offset(skip).limit(take)
@@ -88,5 +88,5 @@ def matches(rows: DataFrame, term: str, ident: str, name: str, place: str) -> Da
 def search(rows: DataFrame, term: str, ident: str, name: str, place: str, key: str, skip: int = 0, take: int = 25) -> DataFrame:
     """A page of matches() by rank, name and key, 100 rows at most, with the number of all matches."""
     found = matches(rows, term, ident, name, place)
-    found = found.withColumn("total_rows", F.lit(found.count()))
+    found = found.withColumn("total_rows", found.agg(F.count("*")).scalar())
     return found.orderBy("match_rank", F.col(name).asc_nulls_first(), key).offset(min(max(skip, 0), 2_000_000_000)).limit(min(max(take, 1), 100))
