@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import id_crc, slices, staged, texts_of
@@ -24,7 +24,7 @@ from palimpsest.llm.hashing import mix, powers, span_hashes
 
 HEAD = 131_072  # the most frequent words, whose counts every task gets; all others are joined exactly
 ZIPF = 2.7  # a piece of rank r weighs 1 / (r + ZIPF)
-ITERATIONS = 2  # of expectation-maximisation over the training fold
+ITERATIONS = 3  # of expectation-maximisation over the training fold
 PRIOR = 10_000.0  # pieces that the vocabulary's own weights count for beside the expected counts
 BYTES = 0.01  # mass of the 256 byte pieces, which any character without a piece falls back on
 MARK = 0x2581  # begins a word
@@ -206,6 +206,17 @@ def estimate(counts: DataFrame, path: str, iterations: int = ITERATIONS) -> np.n
     return logp
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """(word, n) of the words that occur as often as the ``most`` most frequent ones or more; ``most`` rows at most.
+
+    The count that divides them is found on the histogram of counts, so that no task sends its own candidates to the driver.
+    """
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over different counts
+    bars = counts.groupBy("n").agg(F.count("*").alias("words")).withColumn("above", F.sum("words").over(above))
+    least = bars.filter(F.col("above") <= most).agg(F.min("n")).first()[0]
+    return counts.select("word", "n").filter(F.col("n") >= (least if least is not None else 1 << 62))
+
+
 def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
@@ -222,7 +233,7 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + ends, distinct + bool(ends)
     unit = total + 0.5 * (distinct + 1)
-    head = counts.select("word", "n").orderBy(F.desc("n"), "word").limit(HEAD).collect()  # bounded, without the spelling
+    head = most_frequent(counts, HEAD).collect()  # HEAD rows at most, without their spelling
     known = np.array([r.word for r in head], np.int64)
     by = np.argsort(known)
     known, known_n = known[by], np.array([r.n for r in head], np.int64)[by]
