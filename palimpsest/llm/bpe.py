@@ -127,8 +127,8 @@ class ByteBPE:
         return data
 
     def leaf(self, text: str) -> list[tuple[str, bytes]]:
-        """(pre-token, its ids) of a leaf without special tokens."""
-        return [(p, self.ids_of(p)) for p in self.pretokens(text)]
+        """(pre-token, its ids) of a leaf, which is a special token or holds none."""
+        return [(text, self.special[text])] if text in self.special else [(p, self.ids_of(p)) for p in self.pretokens(text)]
 
     def join(self, left: list[tuple[str, bytes]], right: list[tuple[str, bytes]]) -> list[tuple[str, bytes]]:
         """Join two encoded neighbours; windows grow until a pre-token boundary of the right side is met."""
@@ -178,8 +178,9 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, leaf_chars: int
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256 and, with ``keep_ids``, ids (array of int).
     Null and empty texts have no tokens. Repeated rows and null ids give a row each. Texts longer
-    than ``leaf_chars`` are spread over tasks in 2^k leaves; the leaves of one document meet again
-    in one group, never more than that. Special-token strings in a text are those tokens.
+    than ``leaf_chars`` are cut at special tokens, and what lies between them is spread over tasks in
+    2^k leaves; the leaves of one document meet again in one group, never more than that.
+    Special-token strings in a text are those tokens.
     """
     path = tokenizer or default_tokenizer()
     schema = DIGEST + (", ids array<int>" if keep_ids else "")
@@ -201,49 +202,51 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, leaf_chars: int
 
     short = d.filter(n <= leaf_chars).mapInArrow(whole, schema)
 
-    # Special tokens cut a text as well, so leaf borders stay clear of them: such texts are rare and keep one leaf.
-    leaves = F.when(F.col("text").rlike(r"<\|endoftext\|>"), F.lit(1)).otherwise(F.pow(F.lit(2), F.ceil(F.log2(n / leaf_chars))).cast("int"))
-    each = F.ceil(n / F.col("leaves")).cast("int")
+    # Special tokens stand alone, so a text is cut there first; what lies between is halved.
+    special = list(load(path).special)
+    at_special = "|".join(map(re.escape, special))
+    segments = F.filter(F.split("text", f"(?<={at_special})|(?={at_special})"), lambda x: x != "") if special else F.array("text")
+    halvings = F.greatest(F.lit(0), F.ceil(F.log2(F.length("segment") / leaf_chars)))
+    leaves = F.pow(F.lit(2), F.when(F.col("segment").isin(special), 0).otherwise(halvings)).cast("int")
+    each = F.ceil(F.length("segment") / F.col("leaves")).cast("int")
     cut = (
         d.filter(n > leaf_chars)
-        .withColumns({"leaves": leaves, "row": F.monotonically_increasing_id()})
-        .select("row", "doc_id", "leaves", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("leaves") - 1), lambda k: F.substring("text", k * each + 1, each))).alias("leaf", "part"))
-        .repartition("row", "leaf")
+        .withColumn("row", F.monotonically_increasing_id())
+        .select("row", "doc_id", F.posexplode(segments).alias("at", "segment"))
+        .withColumn("leaves", leaves)
+        .select("row", "doc_id", "at", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("leaves") - 1), lambda k: F.substring("segment", k * each + 1, each))).alias("leaf", "part"))
+        .repartition("row", "at", "leaf")
     )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in slices(batches, 4):
             lens, ids = [], []
-            for text, leaves in zip(batch.column(4).to_pylist(), batch.column(2).to_pylist()):
-                if leaves == 1:
-                    lens.append(b"")
-                    ids.append(bpe.encode(text).tobytes())
-                    continue
+            for text in batch.column(4).to_pylist():
                 found = bpe.leaf(text)
                 lens.append(np.asarray([(len(p), len(i) // 2) for p, i in found], "<u4").tobytes())
                 ids.append(b"".join(i for _, i in found))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lens, pa.binary()), pa.array(ids, pa.binary())], names=["row", "doc_id", "leaves", "leaf", "part", "lens", "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lens, pa.binary()), pa.array(ids, pa.binary())], names=["row", "doc_id", "at", "leaf", "part", "lens", "ids"])
 
     def joined(pdf):
         import pandas as pd
 
-        bpe, pdf = load(path), pdf.sort_values("leaf")
-        if len(pdf) == 1:
-            ids = np.frombuffer(pdf.ids.iloc[0], "<u2")
-        else:
-            level = []
-            for text, lens, data in zip(pdf.part, pdf.lens, pdf.ids):
-                at = held = 0
-                pieces = []
-                for chars, tokens in np.frombuffer(lens, "<u4").reshape(-1, 2).tolist():
-                    pieces.append((text[at : at + chars], data[held : held + 2 * tokens]))
-                    at, held = at + chars, held + 2 * tokens
-                level.append(pieces)
+        bpe, pdf = load(path), pdf.sort_values(["at", "leaf"])
+        levels: dict[int, list] = {}
+        for segment, text, lens, data in zip(pdf["at"], pdf["part"], pdf["lens"], pdf["ids"]):
+            at = held = 0
+            pieces = []
+            for chars, tokens in np.frombuffer(lens, "<u4").reshape(-1, 2).tolist():
+                pieces.append((text[at : at + chars], data[held : held + 2 * tokens]))
+                at, held = at + chars, held + 2 * tokens
+            levels.setdefault(segment, []).append(pieces)
+        out = []
+        for level in levels.values():
             while len(level) > 1:
                 level = [bpe.join(level[k], level[k + 1]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
-            ids = np.frombuffer(b"".join(i for _, i in level[0]), "<u2")
+            out += [i for _, i in level[0]]
+        ids = np.frombuffer(b"".join(out), "<u2")
         return pd.DataFrame([(pdf.doc_id.iloc[0], *row(bpe, ids))], columns=names).astype({"doc_id": "Int64"})
 
-    parts = cut.mapInArrow(encoded, "row long, doc_id long, leaves int, leaf int, part string, lens binary, ids binary")
+    parts = cut.mapInArrow(encoded, "row long, doc_id long, at int, leaf int, part string, lens binary, ids binary")
     return short.unionByName(parts.groupBy("row").applyInPandas(joined, schema))

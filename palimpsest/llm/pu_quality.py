@@ -3,13 +3,15 @@
 Trusted positives are documents labelled good; everything else is unlabelled web text. The class
 prior is estimated from how a first classifier's scores spread over both (the least ratio of their
 tails), and a small network minimises the non-negative unbiased risk
-pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)) under the logistic loss.
+pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)) under the logistic loss. R_u and the tails are taken over
+all unlabelled documents: texts are turned into features once, and each step of the descent is one
+sum over the stored features, of which only the sums reach the driver.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import eq
 
 import numpy as np
@@ -17,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import id_crc, one_text, slices, texts_of
+from palimpsest.llm.common import id_crc, slices, staged, texts_of
 
 POSITIVES = 8_000  # labelled good documents that are fitted on at most, the first by hash
-UNLABELLED = 8_000  # unlabelled documents that are fitted on at most, the first by hash
+START = 8_000  # unlabelled documents that the descent's starting point is fitted on, the first by hash
+STEPS = 16  # steps of the descent over all unlabelled documents
 THRESHOLD = 0.3
 SYMBOLS = "#*$%&<>"
 N_FEATURES = 16
@@ -51,15 +54,37 @@ def features(text: str) -> list[float]:
     ]
 
 
-def _rows(df: DataFrame) -> np.ndarray:
-    """Features of a bounded sample, on the driver."""
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out and x (the features, as 32-bit floats) of every row."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
-            yield pa.RecordBatch.from_arrays([pa.array([features(t) for t in texts_of(batch.column(0))], pa.list_(pa.float64()))], names=["x"])
+        for batch in slices(batches, 1):
+            x = pa.array([features(t) for t in texts_of(batch.column(1))], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), x], names=["doc_id", "held_out", "x"])
 
-    found = df.select("text").mapInArrow(made, "x array<double>").collect()
-    return np.array([r.x for r in found], float).reshape(-1, N_FEATURES)
+    d = docs.select("doc_id", "text", (id_crc(F.col("doc_id")) % 5 == 0).alias("held_out"))
+    return d.mapInArrow(made, "doc_id long, held_out boolean, x array<float>")
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, N_FEATURES)
+
+
+def summed(rows: DataFrame, size: int, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum of ``of(features)``, a vector of ``size``, over all rows; tasks add up their own rows first."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, met = np.zeros(size), False
+        for batch in batches:
+            if batch.num_rows:
+                total, met = total + of(matrix(batch.column(0))), True
+        if met:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["k", "v"])
+
+    out = np.zeros(size)
+    for r in rows.select("x").mapInArrow(made, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():  # ``size`` rows
+        out[r.k] = r.v
+    return out
 
 
 class Network:
@@ -77,6 +102,11 @@ class Network:
     def logits(self, z: np.ndarray) -> np.ndarray:
         return np.tanh(z @ self.w[0] + self.w[1]) @ self.w[2] + self.w[3]
 
+    def copy(self) -> Network:
+        other = Network(self.mean, self.scale)
+        other.w = [w.copy() for w in self.w]
+        return other
+
     def gradients(self, z: np.ndarray, slope: np.ndarray) -> list[np.ndarray]:
         h = np.tanh(z @ self.w[0] + self.w[1])
         back = slope[:, None] * self.w[2] * (1 - h * h)
@@ -86,10 +116,9 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(self.inputs(x)), -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.02) -> Network:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, mean: np.ndarray, scale: np.ndarray, steps: int = 400, rate: float = 0.02) -> Network:
     """Full-batch Adam on the non-negative risk; where the negative part falls below 0 its gradient is turned round."""
-    both = np.vstack([positive, unlabelled])
-    net = Network(both.mean(0), both.std(0) + 1e-6)
+    net = Network(mean, scale)
     p, u = net.inputs(positive), net.inputs(unlabelled)
     first, second = [np.zeros_like(w) for w in net.w], [np.zeros_like(w) for w in net.w]
     for t in range(1, steps + 1):
@@ -108,37 +137,96 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return net
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The least ratio of unlabelled to positive score tails, with an allowance for their size (half of each is fitted on, half measured)."""
-    net = fit(positive[::2], unlabelled[::2], 0.5, 200)
-    p, u = np.sort(net.probability(positive[1::2])), np.sort(net.probability(unlabelled[1::2]))
+class Unlabelled:
+    """Sums over all unlabelled rows (column x) that the risk and its gradient need."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+        found = summed(rows, 1 + 2 * N_FEATURES, lambda x: np.concatenate(([len(x)], x.sum(0), (x * x).sum(0))))
+        self.n = int(found[0])
+        self.mean, square = found[1:].reshape(2, -1) / max(1, self.n)
+        self.scale = np.sqrt(np.maximum(square - self.mean**2, 0)) + 1e-6
+
+    def tails(self, net: Network, cuts: np.ndarray) -> np.ndarray:
+        """The share of rows with a score of each cut or more."""
+
+        def of(x: np.ndarray) -> np.ndarray:
+            return len(x) - np.searchsorted(np.sort(net.probability(x)), cuts)
+
+        return summed(self.rows, len(cuts), of) / self.n
+
+    def risk(self, net: Network) -> tuple[float, list[np.ndarray]]:
+        """The mean loss of calling a row negative, and its gradient by the weights of ``net``."""
+
+        def of(x: np.ndarray) -> np.ndarray:
+            z = net.inputs(x)
+            f = np.clip(net.logits(z), -30, 30)
+            return np.concatenate([[np.log1p(np.exp(f)).sum()], *(g.ravel() for g in net.gradients(z, 1 / (1 + np.exp(-f))))])
+
+        ends = np.cumsum([1, *(w.size for w in net.w)])
+        found = summed(self.rows, int(ends[-1]), of) / self.n
+        return float(found[0]), [found[a:b].reshape(w.shape) for a, b, w in zip(ends, ends[1:], net.w)]
+
+
+def descend(net: Network, positive: np.ndarray, unlabelled: Unlabelled, prior: float, steps: int = STEPS, rate: float = 0.005) -> tuple[Network, list[float]]:
+    """Adam on the non-negative risk over all rows: (the network of least risk on the way, the risk at each step)."""
+    net, p = net.copy(), net.inputs(positive)
+    first, second = [np.zeros_like(w) for w in net.w], [np.zeros_like(w) for w in net.w]
+    best, risks = net, []
+    for t in range(1, steps + 1):
+        fp = np.clip(net.logits(p), -30, 30)
+        sp = 1 / (1 + np.exp(-fp))
+        loss_u, by_u = unlabelled.risk(net)
+        rest = loss_u - prior * np.log1p(np.exp(fp)).mean()
+        risks.append(float(prior * np.log1p(np.exp(-fp)).mean() + max(0.0, rest)))
+        if risks[-1] <= min(risks):
+            best = net.copy()
+        # Over all rows the sums are exact, so where the negative part is below 0 it counts as 0 and has no slope.
+        held, slope = (1, prior * ((sp - 1) - sp)) if rest >= 0 else (0, prior * (sp - 1))
+        for k, (a, b) in enumerate(zip(net.gradients(p, slope / len(p)), by_u)):
+            g = a + held * b
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+            net.w[k] = net.w[k] - rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
+    return best, risks
+
+
+def class_prior(positive: np.ndarray, start: np.ndarray, unlabelled: Unlabelled) -> float:
+    """The least ratio of unlabelled to positive score tails, with an allowance for their size (fitted on half of the positives and of ``start``; measured on the other half and on all unlabelled rows)."""
+    net = fit(positive[::2], start[::2], 0.5, unlabelled.mean, unlabelled.scale, 200)
+    p = np.sort(net.probability(positive[1::2]))
     cuts = np.quantile(p, np.linspace(0, 0.95, 96))
-    tail_p, tail_u = 1 - np.searchsorted(p, cuts) / len(p), 1 - np.searchsorted(u, cuts) / len(u)
-    slack = np.sqrt(1 / len(p)) + np.sqrt(1 / len(u))
+    tail_p, tail_u = 1 - np.searchsorted(p, cuts) / len(p), unlabelled.tails(net, cuts)
+    slack = np.sqrt(1 / len(p)) + np.sqrt(1 / unlabelled.n)
     k = int(np.argmin((tail_u + slack) / np.maximum(tail_p, 1e-9)))
     return float(np.clip(tail_u[k] / max(tail_p[k], 1e-9), 0.05, 0.95))
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int) -> tuple[DataFrame, DataFrame]:
-    """Texts of trusted positives and of unlabelled documents, both outside the held-out fold and bounded; one text an id."""
-    fold = F.col("doc_id").isNotNull() & (id_crc(F.col("doc_id")) % 5 != 0)
-    good = labels.filter(fold & (F.col("quality") == 1)).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives)
-    other = docs.filter(fold).select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(unlabelled)
-    d = docs.select("doc_id", "text")
-    pick = lambda ids: one_text(d.join(F.broadcast(ids), "doc_id", "left_semi"))
-    return pick(good), pick(other)
+def picked(rows: DataFrame, ids: DataFrame) -> np.ndarray:
+    """Features of a bounded set of ids, one row an id, on the driver."""
+    found = rows.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("x").alias("x")).orderBy("doc_id").collect()
+    return np.array([r.x for r in found], float).reshape(-1, N_FEATURES)
 
 
-def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[Network | None, float]:
-    """(classifier, estimated prior); no classifier without a few rows of both kinds."""
-    p, u = map(_rows, sample_rows(docs, labels, positives, unlabelled))
+def train(rows: DataFrame, labels: DataFrame, positives: int = POSITIVES, start: int = START, steps: int = STEPS) -> tuple[Network | None, float]:
+    """(classifier, estimated prior) from described rows; no classifier without a few rows of both kinds.
+
+    Trusted positives are bounded by ``positives``. ``start`` bounds the rows that the first weights are
+    fitted on, from which ``steps`` steps go down the risk over all unlabelled rows outside the held-out fold.
+    """
+    rows = rows.filter(F.col("doc_id").isNotNull() & ~F.col("held_out"))
+    fold = F.col("doc_id").isNotNull() & (id_crc(F.col("doc_id")) % 5 != 0)
+    good = labels.filter(fold & (F.col("quality") == 1)).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives)
+    some = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(start)
+    p, u = picked(rows, good), picked(rows, some)
     if len(p) < 10 or len(u) < 10:
         return None, 0.5
-    prior = class_prior(p, u)
-    return fit(p, u, prior), prior
+    unlabelled = Unlabelled(rows)
+    prior = class_prior(p, u, unlabelled)
+    return descend(fit(p, u, prior, unlabelled.mean, unlabelled.scale), p, unlabelled, prior, steps)[0], prior
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, positives: int = POSITIVES, start: int = START) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted for every row of ``docs``.
 
     Labels of the held-out fold (crc32 of the id modulo 5 is 0) are never read, and lang, source and
@@ -146,13 +234,12 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, posi
     from, every score is the prior 0.5. Repeated rows are rows, extra columns are ignored, an empty
     table gives no rows.
     """
-    net, prior = train(docs, labels, positives, unlabelled)
+    rows = staged(described(docs), "quality-features")
+    net, prior = train(rows, labels, positives, start)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            texts = texts_of(batch.column(1))
-            out = net.probability(np.array([features(t) for t in texts], float)) if net else np.full(len(texts), prior)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.float64())], names=["doc_id", "held_out", "score"])
+        for batch in batches:
+            out = net.probability(matrix(batch.column(2))) if net else np.full(batch.num_rows, prior)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["doc_id", "held_out", "score"])
 
-    d = docs.select("doc_id", "text", (id_crc(F.col("doc_id")) % 5 == 0).alias("held_out"))
-    return d.mapInArrow(scored, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return rows.mapInArrow(scored, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from palimpsest.llm.common import id_crc, one_text, slices, staged, texts_of
 
 TRAIN_ROWS = 20_000  # labelled documents that the lexicon is fitted on at most, the first by hash
-LEXICON = 50_000  # entries at most
 PRECISE = 0.95  # share of toxic documents among those with a feature of the lexicon, at least
 THRESHOLD = 0.7
 
@@ -201,22 +200,23 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, rows: int = T
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(toxic, pa.int64()), pa.array(at, pa.int64())], names=["feature", "toxic", "at"])
 
     counts = training_rows(docs, labels, rows).select("text", "toxic", "doc_id").mapInArrow(made, "feature string, toxic long, at long")
-    # The lists hold documents of the bounded sample, and toxic ones alone.
+    # The lists hold documents of the bounded sample, and toxic ones alone; so the lexicon is bounded by the sample.
     counts = staged(counts.groupBy("feature").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"), F.collect_set("at").alias("at")), "features")
     total = next(iter(counts.filter("feature = ''").collect()), None)
     if total is None or not 0 < total.t < total.n:
         return {}, (total.t + 0.1) / (total.n + 1) if total else 0.1
     base = total.t / total.n
     # By chance a feature is met t times among toxic documents only with probability base**t.
-    kept = counts.filter(f"feature != '' and t >= 3 and t >= {PRECISE} * n").orderBy(F.desc("t"), "feature").limit(LEXICON).collect()
     # The bar rises with the number of features that could pass by chance, so that almost none does.
     tested = math.log(counts.filter("n >= 3").count() + 1) + 0.5
+    passes = (F.col("t") / F.col("n") - base) * F.col("t") * -math.log(base) >= tested
+    kept = counts.filter((F.col("feature") != "") & (F.col("t") >= 3) & (F.col("t") >= PRECISE * F.col("n")) & passes).collect()
     p: dict[str, float] = {}
     explained: set[int] = set()
     for r in sorted(kept, key=lambda r: (-r.t, -len(r.feature.rstrip("~")), r.feature)):
         # A feature counts where no stronger one explains the document: else rare words of a toxic text with many copies would pass.
         own = set(r.at) - explained
-        if own and (r.t / r.n - base) * r.t * -math.log(base) >= tested:
+        if own:
             explained |= own
             p[r.feature] = (r.t + base) / (r.n + 1)
     return p, min(0.3, base / 4)
