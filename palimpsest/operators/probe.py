@@ -37,3 +37,24 @@ def census(walked: DataFrame, documents: DataFrame, keys: list[str]) -> DataFram
     total = documents.agg(F.count_distinct(*keys)).scalar()
     n = each.groupBy("path").agg(F.sum("full").alias("sent"), F.sum(1 - F.col("full")).alias("null"))
     return n.withColumn("absent", total - F.col("sent") - F.col("null"))
+
+
+def probed(summaries: DataFrame, entity: str, kind: str, seq: str, current: str) -> DataFrame:
+    """Per named entity of a window: its versions (kind/seq by kind, then seq), how many rows they are, the current ones, and the deepest seq.
+
+    Rows without an entity count in probe_totals() alone; a null kind is written as ?, and a null flag isn't current.
+    """
+    one = F.struct(F.coalesce(kind, F.lit("")).alias("a"), F.col(seq).alias("b"), F.concat_ws("/", F.coalesce(kind, F.lit("?")), F.col(seq).cast("string")).alias("c"))
+    names = F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["c"]), ", ")
+    counts = [F.count("*").alias("n_versions"), F.count_if(F.coalesce(current, F.lit(False))).alias("currents"), F.max(seq).alias("deepest")]
+    return summaries.filter(F.col(entity).isNotNull()).groupBy(entity).agg(names.alias("versions"), *counts)
+
+
+def probe_totals(summaries: DataFrame, entity: str, current: str) -> DataFrame:
+    """One row: summaries, entities and current ones of a window."""
+    return summaries.agg(F.count("*").alias("summaries"), F.count_distinct(entity).alias("entities"), F.count_if(F.coalesce(current, F.lit(False))).alias("currents"))
+
+
+def deepest_histories(found: DataFrame, entity: str, most: int = 20) -> DataFrame:
+    """The first ``most`` entities of probed() by deepest seq above 1, then id; a single row can name a long history."""
+    return found.filter("deepest > 1").orderBy(F.desc("deepest"), entity).limit(most)

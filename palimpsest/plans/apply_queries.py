@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from palimpsest import code_lists
 from palimpsest.fieldmap import Collection, Field, FieldMap
-from palimpsest.operators import cascade, current, journal, merge, reads, runs, shred, validate
-from palimpsest.plans.queries import KEY, L, PAIR, TL, V, lines, table, target_lines, versions
+from palimpsest.operators import cascade, current, journal, merge, probe, reads, runs, shred, validate
+from palimpsest.plans import load_plan
+from palimpsest.plans.queries import KEY, L, PAIR, TL, V, S, lines, status, table, target_lines, versions
 from palimpsest.plans.queries import sent as lines_sent
 from palimpsest.record_map import BIT, COLLECTIONS, DATE, DECLARED, FLOAT, RECORD, Shape, leaves
 from palimpsest.sources import buckets, json_bodies, workspace
@@ -702,3 +703,41 @@ def a1_envelopes(s, d):
     bodies = o.groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(e), " , "), F.lit("]")).alias("body"))
     found = json_bodies.envelopes(bodies)
     return found.groupBy("month").agg(F.count("*").alias("n"), F.min(F.unix_millis("retrieved")).alias("first_retrieved"), F.max(F.sha2("record", 256)).alias("greatest"))
+
+
+# ---- summary probe, resume ----
+
+PROBED = f"""{V}, w AS (SELECT CASE WHEN amount > 900 THEN entity END AS entity, CASE WHEN priority <> '5-LOW' THEN kind END AS kind, seq, CASE WHEN priority <> '2-HIGH' THEN current END AS current FROM v),
+  g AS (SELECT entity, string_agg(coalesce(kind, '?') || '/' || seq, ', ' ORDER BY coalesce(kind, ''), seq) AS versions, count(*) AS n_versions, count(*) FILTER (current) AS currents, max(seq) AS deepest
+  FROM w WHERE entity IS NOT NULL GROUP BY entity)"""
+
+
+def window_of(s: SparkSession, d: str) -> DataFrame:
+    """Versions as a window's summaries: cheap ones name no entity, low ones no kind, high ones leave the flag out."""
+    p = F.col("priority")
+    return versions(s, d).select(F.when(F.col("amount") > 900, F.col("entity")).alias("entity"), F.when(p != "5-LOW", F.col("kind")).alias("kind"), "seq", F.when(p != "2-HIGH", F.col("current")).alias("current"))
+
+
+@query(f"WITH {PROBED} SELECT count(*) AS summaries, count(DISTINCT entity) AS entities, count(*) FILTER (current) AS currents FROM w")
+def g1_probe_totals(s, d):
+    return probe.probe_totals(window_of(s, d), "entity", "current")
+
+
+@query(f"WITH {PROBED} SELECT * FROM g WHERE n_versions > 1")
+def g1_named_repeatedly(s, d):
+    return probe.probed(window_of(s, d), "entity", "kind", "seq", "current").filter("n_versions > 1")
+
+
+@query(f"WITH {PROBED} SELECT * FROM g WHERE deepest > 1 ORDER BY deepest DESC, entity LIMIT 20")
+def g1_deepest_histories(s, d):
+    return probe.deepest_histories(probe.probed(window_of(s, d), "entity", "kind", "seq", "current"), "entity")
+
+
+@query(
+    f"""WITH {S}, w AS (SELECT DISTINCT entity FROM s WHERE status IN ('Pending', 'InProgress')), c AS (SELECT DISTINCT entity FROM s WHERE status = 'Succeeded'), u AS (SELECT DISTINCT entity FROM s WHERE status = 'Failed'),
+    n AS (SELECT (SELECT count(*) FROM (FROM w EXCEPT FROM c)) AS to_fetch, (SELECT count(*) FROM (FROM w INTERSECT FROM c)) AS to_skip, (SELECT count(*) FROM ((FROM c UNION FROM u) EXCEPT FROM w)) AS vanished)
+    SELECT to_fetch, to_skip, vanished, CASE WHEN to_fetch + to_skip = 0 THEN 0 ELSE to_skip * 100.0::DOUBLE / (to_fetch + to_skip) END AS skip_rate FROM n"""
+)
+def f5_skip_rate(s, d):
+    own = lambda *x: status(s, d).filter(F.col("status").isin(*x)).select("entity").distinct()
+    return load_plan.resume_summary(load_plan.resume_plan(own("Pending", "InProgress"), own("Succeeded"), own("Failed"), ["entity"]))

@@ -33,6 +33,14 @@ def resume_plan(walked: DataFrame, completed: DataFrame, unfinished: DataFrame,
     return tag(fetch, "fetch").union(tag(skip, "skip")).union(tag(known.join(walked, keys, "left_anti"), "vanished"))
 
 
+def resume_summary(plan: DataFrame) -> DataFrame:
+    """One row of a resume_plan(): to_fetch, to_skip, vanished, and skip_rate, the percentage of what was walked that is skipped (0 where nothing was)."""
+    n = lambda s: F.count_if(F.col("decision") == s)
+    walked = n("fetch") + n("skip")
+    rate = F.when(walked == 0, 0.0).otherwise(n("skip") * 100.0 / walked)
+    return plan.agg(n("fetch").alias("to_fetch"), n("skip").alias("to_skip"), n("vanished").alias("vanished"), rate.alias("skip_rate"))
+
+
 def window_report(windows: DataFrame, summaries: DataFrame, asked: DataFrame) -> DataFrame:
     """Per window: summaries, versions seen here first, current ones, and how it went (NotAttempted where nobody asked)."""
     n = lambda c, name: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(name)

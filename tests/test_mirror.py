@@ -1,6 +1,7 @@
 import pytest
 
-from palimpsest.operators import merge, reads, shred, validate
+from palimpsest.operators import merge, probe, reads, shred, validate
+from palimpsest.plans import load_plan
 from palimpsest.sources import snapshot
 from palimpsest.streaming import ingest
 
@@ -51,3 +52,21 @@ def test_landed_files_are_merged_once(spark, tmp_path):
     for _ in range(2):
         ingest.landed(spark, str(tmp_path / "in"), "id long", lambda df, n: seen.append(df.count()), str(tmp_path / "cp")).awaitTermination()
     assert sum(seen) == 5
+
+
+def test_probe_of_a_window(spark):
+    rows = [("b", "N", 3, True), ("b", "B", 7, None), ("a", "B", 10, True), ("c", None, 1, False), (None, "B", 99, True), ("d", "B", 2, False), ("d", "B", 1, False)]
+    w = spark.createDataFrame(rows, "id string, kind string, seq int, now boolean")
+    found = {r.id: r for r in probe.probed(w, "id", "kind", "seq", "now").collect()}
+    assert found["b"].versions == "B/7, N/3" and found["b"].currents == 1 and found["d"].versions == "B/1, B/2" and found["c"].versions == "?/1" and len(found) == 4
+    # One row can name ten versions of history.
+    assert [(r.id, r.deepest) for r in probe.deepest_histories(probe.probed(w, "id", "kind", "seq", "now"), "id", 2).collect()] == [("a", 10), ("b", 7)]
+    assert tuple(probe.probe_totals(w, "id", "now").first()) == (7, 4, 3)
+    none = w.filter("false")
+    assert tuple(probe.probe_totals(none, "id", "now").first()) == (0, 0, 0) and probe.probed(none, "id", "kind", "seq", "now").count() == 0
+
+
+def test_skip_rate(spark):
+    ids = lambda *x: spark.createDataFrame([(k,) for k in x], "id int")
+    assert tuple(load_plan.resume_summary(load_plan.resume_plan(ids(1, 2, 3, 4), ids(2, 9), ids(3, 8), ["id"])).first()) == (3, 1, 2, 25.0)
+    assert tuple(load_plan.resume_summary(load_plan.resume_plan(ids(), ids(7), ids(), ["id"])).first()) == (0, 0, 1, 0.0)
