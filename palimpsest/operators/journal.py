@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.functions.keys import grouped, joined, key, over, same
+from palimpsest.functions.keys import folded, grouped, joined, key, over, same
 from palimpsest.operators.scan import running_max
 
 
@@ -50,7 +50,7 @@ def swept(status: DataFrame, runs: DataFrame, run: str, now: Column, location: s
     """
     found = stranded(status.filter("not is_deleted"), runs.filter("not is_deleted"), run)
     if location is not None:
-        found = found.filter(key(found, "location") == F.lit(location))
+        found = found.filter(key(found, "location") == folded(F.lit(location)))
     if only is not None:
         found = found.filter(F.col(run) == only)
     return found.withColumns({"previous_status": F.col("status"), "status": F.lit("Failed"), "completed": F.coalesce("completed", now)})

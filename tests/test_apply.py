@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from palimpsest import code_lists
 from palimpsest.fieldmap import Collection, Field, FieldMap
-from palimpsest.operators import cascade, journal, merge, scan, validate
+from palimpsest.functions import keys
+from palimpsest.operators import cascade, journal, merge, scan, shred, validate
 from palimpsest.sources import buckets
 from palimpsest.streaming import ingest
 
@@ -364,3 +365,34 @@ def test_code_lists_refresh_whole_or_not_at_all(spark, tmp_path):
 def test_the_catalogue(spark):
     rows = code_lists.catalogue(spark).collect()
     assert len(rows) == len({r.address for r in rows}) == 23 and sum(not r.located for r in rows) == 7
+
+
+def test_a_body_of_another_shape_is_read_as_a_variant_has_it(spark):
+    odd = ['{"id": 7, "seq": "2", "owners": [{"name": 1.50}, null, 5, [1]], "episodic": {"wastes": [{"codes": ["a", null, {"b": 1}]}, {"codes": {}}, {"codes": null}, {}, 3]}}']
+    odd += ['{"id": {"a": 1}, "ok": 1, "owners": {"name": "x"}, "episodic": 5}', '{"id": "a", "id": "b"}', '[{"id": "a"}]', "{", '{"owners": null, "episodic": {"wastes": [{"codes": []}, {"codes": ["z"]}]}}']
+    given = shred.parsed(spark.createDataFrame([(b,) for b in odd], "body string"))
+    found, keys, v = shred.read_whole(given, MAP, sent=True), ["id", "seq"], F.col("v")
+    assert found.select(*(f.column for f in MAP.fields)).collect() == shred.parents(given, MAP).collect()
+    for c, path in (("owner", "$.owners"), ("waste", "$.episodic.wastes")):
+        own = next(x for x, *_ in MAP.walk() if x.name == c)
+        want = given.select(F.posexplode(F.try_variant_get(v, path, "array<variant>")).alias("pos", "e")).select("pos", *(shred.value(F.col("e"), f) for f in own.fields))
+        assert shred.rows_of(found, [], own).collect() == want.collect()
+    codes = next(x for x, *_ in MAP.walk() if x.name == "waste_code")
+    assert [tuple(r) for r in shred.rows_of(found, [], codes).collect()] == [(0, 0, "a"), (0, 1, None), (0, 2, '{"b":1}'), (1, 0, "z")]
+    assert [tuple(r) for r in shred.sent_of(found, [], codes).collect()] == [(0, True), (1, True), (2, True), (3, False), (4, False), (0, True), (1, True)]
+
+
+def test_a_leaf_carries_no_names_of_its_record(spark):
+    """An element was a variant with the dictionary of its whole record; what is stored of a record is now its declared columns alone."""
+    names = {f"p{k}": k for k in range(300)}
+    given = shred.parsed(spark.createDataFrame([(json.dumps({"id": "a", "owners": [{"name": "x"}] * 50} | names),)], "body string"))
+    found = shred.read_whole(given, MAP)
+    assert "variant" not in found.schema.simpleString() and shred.rows_of(found, [], MAP.collections[0]).count() == 50
+
+
+def test_keys_are_plain_text_when_they_are_compared(spark, mirror):
+    t = spark.createDataFrame([("ΟΔΟΣ ", 1), ("İx", 2)], "k string, v int")
+    b = spark.createDataFrame([("οδος", 1), ("i̇X  ", 2), (" İx", 3)], "k string, w int")
+    both = keys.joined(t, b, ["k"])
+    assert {r.v: r.w for r in both.collect()} == {1: 1, 2: 2}
+    assert "collat" not in both._jdf.queryExecution().toString().lower()
