@@ -11,6 +11,7 @@ from palimpsest.fieldmap import Collection, Field, FieldMap
 from palimpsest.functions.columns import lenient_date, shape_mask
 from palimpsest.operators import current, journal, merge, quality, reads, shred, validate
 from palimpsest.plans import load_plan
+from palimpsest.sources import workspace
 
 KEY = ["entity", "kind", "seq"]
 PAIR = ["entity", "kind"]
@@ -193,9 +194,10 @@ def _orphans(spark, d):
 
 
 def _convergence(spark, d):
-    t, b = target(spark, d), batch(spark, d)
-    once = merge.apply_plan(t, merge.merge_plan(t, b, KEY, VALUES), KEY, VALUES)
-    twice = merge.apply_plan(once, merge.merge_plan(once, b, KEY, VALUES), KEY, VALUES)
+    t, b = workspace.written(target(spark, d), "target"), workspace.written(batch(spark, d), "batch")
+    merged = lambda x, name: workspace.written(merge.apply_plan(x, workspace.written(merge.merge_plan(x, b, KEY, VALUES), "plan"), KEY, VALUES), name)
+    once = merged(t, "once")
+    twice = merged(once, "twice")
     first = merge.converged(t, once).select(F.lit("first run").alias("step"), "side", "n")
     return first.unionByName(merge.converged(once, twice).select(F.lit("second run").alias("step"), "side", "n"))
 

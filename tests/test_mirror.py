@@ -70,3 +70,10 @@ def test_skip_rate(spark):
     ids = lambda *x: spark.createDataFrame([(k,) for k in x], "id int")
     assert tuple(load_plan.resume_summary(load_plan.resume_plan(ids(1, 2, 3, 4), ids(2, 9), ids(3, 8), ["id"])).first()) == (3, 1, 2, 25.0)
     assert tuple(load_plan.resume_summary(load_plan.resume_plan(ids(), ids(7), ids(), ["id"])).first()) == (0, 0, 1, 0.0)
+
+
+def test_convergence_makes_the_versions_once(spark):
+    from palimpsest.plans import queries
+
+    plan = queries.QUERIES["i11_convergence"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan  # what is compared is stored
