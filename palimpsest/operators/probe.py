@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.columns import json_shape
+from palimpsest.operators import shred
 
 
 def date_scan(walked: DataFrame) -> DataFrame:
@@ -31,11 +32,10 @@ def shape_disagreement(one: DataFrame, other: DataFrame) -> DataFrame:
     return sets(one, "one").join(sets(other, "other"), "leaf").filter("one <> other")
 
 
-def census(walked: DataFrame, documents: DataFrame, keys: list[str]) -> DataFrame:
-    """Per path: documents that send it, that send it as null, and that lack it."""
-    each = walked.groupBy("path", *keys).agg(F.max((~F.is_variant_null("value")).cast("int")).alias("full"))
-    total = documents.agg(F.count_distinct(*keys)).scalar()
-    n = each.groupBy("path").agg(F.sum("full").alias("sent"), F.sum(1 - F.col("full")).alias("null"))
+def census(documents: DataFrame, body: str = "body") -> DataFrame:
+    """Per path: documents (a row each) that send it, that send it as null, and that lack it."""
+    total = documents.agg(F.count("*")).scalar()
+    n = shred.profile(documents, body, by_key=False).select("path", F.col("full").alias("sent"), (F.col("docs") - F.col("full")).alias("null"))
     return n.withColumn("absent", total - F.col("sent") - F.col("null"))
 
 

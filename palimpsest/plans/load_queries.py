@@ -640,8 +640,7 @@ def g6_shape_disagreement(s, d):
 def g7_property_census(s, d):
     from palimpsest.plans.queries import bodies
 
-    b = bodies(s, d)
-    return probe.census(shred.walk(b, ["order_id"]), b, ["order_id"])
+    return probe.census(bodies(s, d))
 
 
 # ---- observations and reports ----------------------------------------------------------------------

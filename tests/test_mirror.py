@@ -77,3 +77,17 @@ def test_convergence_makes_the_versions_once(spark):
 
     plan = queries.QUERIES["i11_convergence"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Join" not in plan  # what is compared is stored
+
+
+def test_profile_counts_documents_inside_their_rows(spark):
+    bodies = ['{"a.b": 1, "a": {"b": null}}', '{"l": [{"x": 1}, {"x": null}, {"x": 2}]}', '{"l": [{"x": null}], "": 3}', '{"l": []}', "[{\"x\": 1}]", "no json", None]
+    d = spark.createDataFrame([(b,) for b in bodies], "body string")
+    found = shred.profile(d)
+    got = {(r.path, r.key, r.depth): (r.n, r.docs, r.full) for r in found.collect()}
+    assert got == {("$.a.b", "a.b", 1): (1, 1, 1), ("$.a.b", "b", 2): (1, 1, 0), ("$.a", "a", 1): (1, 1, 1), ("$.l", "l", 1): (3, 3, 3), ("$.l[].x", "x", 3): (4, 2, 1), ("$.", "", 1): (1, 1, 1), ("$[].x", "x", 2): (1, 1, 1)}
+    walked = shred.walk(d.withColumn("k", d.body), ["k"]).groupBy("path", "key", "depth").count().collect()
+    assert {(r.path, r.key, r.depth): r["count"] for r in walked} == {k: v[0] for k, v in got.items()}
+    assert {r.path: (r.sent, r["null"], r.absent) for r in probe.census(d).collect()}["$.a.b"] == (1, 0, 6)
+    # A document never meets another before it is counted: the groups are the paths.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and "Expand" not in plan
