@@ -579,7 +579,9 @@ def _arrays(found: dict, k: Column) -> dict[str, Column]:
 def _whole_bodies(s: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
     fixed = {"handlerId": F.concat(F.lit("H"), k.cast("string")), "type.code": F.lit("A"), "sequence": F.lit(1)}
-    made = table(s, d, "part").select(F.to_json(_shaped(RECORD, k, [0], fixed, _arrays(COLLECTIONS, k))).alias("body"))
+    # A part is a small row and makes a body of kilobytes: a split of the table would be much work for one task.
+    spread = table(s, d, "part").repartition(4 * s.sparkContext.defaultParallelism, "p_partkey")
+    made = spread.select(F.to_json(_shaped(RECORD, k, [0], fixed, _arrays(COLLECTIONS, k))).alias("body"))
     return workspace.written(made, "bodies")
 
 
