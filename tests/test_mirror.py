@@ -91,3 +91,9 @@ def test_profile_counts_documents_inside_their_rows(spark):
     # A document never meets another before it is counted: the groups are the paths.
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 2 and "Expand" not in plan
+
+
+def test_bodies_are_made_and_read_by_many_tasks(spark):
+    from palimpsest.plans import apply_queries
+
+    assert len(apply_queries._whole_bodies(spark, "/root/testdata/sf0.001").inputFiles()) > 4
