@@ -2,7 +2,9 @@
 
 Payload bytes are kept as 8-bit G.711 samples (mu-law or A-law) or as 4-bit IMA ADPCM blocks in a
 WAV container. Decoding expands mu-law and A-law by lookup tables, runs the ADPCM recursion with
-numpy across all blocks of a batch at once, and resamples the PCM from 8 to 16 kHz.
+numpy across all blocks of a batch at once, and resamples the PCM from 8 to 16 kHz. PCM lies on disk
+losslessly coded: what interpolation gives is left out, the rest is told by G.711 codes or those of an
+adaptive quantiser where they give it exactly.
 """
 
 from __future__ import annotations
@@ -127,6 +129,121 @@ def features(tag: int, pcm: np.ndarray) -> str:
     return f"{NAMES[tag]} samples={len(pcm)} peak={int(np.abs(wide).max())} power={int(np.dot(wide, wide)) // len(pcm)} crossings={crossings} crc={zlib.crc32(pcm.tobytes())}"
 
 
+PLAIN = 0  # coded PCM begins with a format tag (how its 8 kHz samples are told) or this
+FRAME = 2 * (BLOCK - 4) + 1  # samples of an ADPCM block
+ANEW = 16  # added to a code before which the step index is set anew
+
+#: The 16-bit samples (as unsigned) that a G.711 table has, and for each its code: the greatest.
+KNOWN = {tag: np.isin(np.arange(65_536, dtype=np.uint16), table.view(np.uint16)) for tag, table in TABLES.items()}
+CODES = {tag: np.zeros(65_536, np.uint8) for tag in TABLES}
+for _tag, _table in TABLES.items():
+    CODES[_tag][_table.view(np.uint16)] = np.arange(256)
+
+#: The change that each code makes at each step index, and the last index (and code) that makes a change (from -65,535; -1: none).
+CHANGES = np.array([[(step >> 3) + (step if c & 4 else 0) + (step >> 1 if c & 2 else 0) + (step >> 2 if c & 1 else 0) for c in range(8)] for step in STEPS.tolist()], np.int32)
+CHANGES = np.concatenate([CHANGES, -CHANGES], axis=1)
+MAKING = np.full(131_071, -1, np.int32)
+MAKING[CHANGES.ravel() + 65_535] = np.arange(CHANGES.size)
+LARGEST = np.array([7, 15, 6, 14, 5, 13, 4, 12, 3, 11, 2, 10, 1, 9, 0, 8])  # codes by size of their change, and the changes so
+BY_SIZE = np.ascontiguousarray(CHANGES[:, LARGEST])
+
+
+def _clipped(x: np.ndarray) -> np.ndarray:
+    return np.clip(x, -32_768, 32_767)
+
+
+def _stepped(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """8 kHz frames (n, FRAME) as (codes (n, FRAME - 1), indexes (n, FRAME - 1)); None where no codes give the samples.
+
+    An adaptive quantiser follows the samples. Where its range cuts off what it did, its index is a guess: a code plus ANEW says
+    that the index is to be set from ``indexes``.
+    """
+    n = len(frames)
+    value, index = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    codes, anew = np.empty((n, FRAME - 1), np.uint8), np.zeros((n, FRAME - 1), np.uint8)
+    if frames[:, 0].any():
+        return None
+    for k in range(FRAME - 1):
+        target = frames[:, k + 1].astype(np.int32)
+        fits = _clipped(value[:, None] + BY_SIZE[index]) == target[:, None]
+        first = fits.argmax(axis=1)
+        code, off = LARGEST[first], np.flatnonzero(~fits[np.arange(n), first])
+        if len(off):
+            made = MAKING[target[off] - value[off] + 65_535]
+            for j in np.flatnonzero(made < 0):  # only at either end of the range
+                every = np.flatnonzero(_clipped(value[off[j]] + CHANGES.ravel()) == target[off[j]])
+                if not len(every):
+                    return None
+                made[j] = every[-1]
+            index[off], code[off] = made >> 4, made & 15
+            anew[off, k] = index[off]
+        codes[:, k] = code
+        codes[off, k] |= ANEW
+        value = target
+        index = np.clip(index + INDEX_MOVES[code & 7], 0, 88)
+    return codes, anew
+
+
+def _followed(codes: np.ndarray, anew: np.ndarray) -> np.ndarray:
+    """The frames of _stepped()."""
+    out = np.zeros((FRAME, len(codes)), np.int16)
+    value, index = np.zeros(len(codes), np.int32), np.zeros(len(codes), np.int32)
+    for k, (code, own) in enumerate(zip(np.ascontiguousarray(codes.T), np.ascontiguousarray(anew.T))):
+        index = np.where(code & ANEW, own, index)
+        code = code & 15
+        value = _clipped(value + CHANGES[index, code])
+        index = np.clip(index + INDEX_MOVES[code & 7], 0, 88)
+        out[k + 1] = value
+    return np.ascontiguousarray(out.T)
+
+
+def encode_pcm(every: list[np.ndarray]) -> list[bytes]:
+    """16 kHz PCM of several texts, each losslessly coded by itself.
+
+    Samples are left out where they are what resample() makes of the others. Those are told by their G.711 codes where a
+    G.711 table has them all, else by the codes of an adaptive quantiser where those give them exactly. All other PCM stays plain.
+    """
+    out, frames = [], {}
+    for k, pcm in enumerate(every):
+        own = np.ascontiguousarray(pcm[::2])
+        out.append(struct.pack("<B", PLAIN) + pcm.tobytes())
+        if len(own) and 2 * len(own) == len(pcm) and np.array_equal(resample(own), pcm):
+            tag = next((tag for tag, known in KNOWN.items() if known[own.view(np.uint16)].all()), ADPCM)
+            if tag != ADPCM:
+                out[k] = struct.pack("<B", tag) + CODES[tag][own.view(np.uint16)].tobytes()
+            elif len(own) % FRAME == 0 and not own[::FRAME].any():
+                frames[k] = own.reshape(-1, FRAME)
+    told = _stepped(np.concatenate(list(frames.values()))) if frames else None
+    if told:
+        ends = np.cumsum([len(x) for x in frames.values()])[:-1]
+        for k, codes, anew in zip(frames, np.split(told[0], ends), np.split(told[1], ends)):
+            out[k] = struct.pack("<BI", ADPCM, codes.size) + codes.tobytes() + anew[codes >= ANEW].tobytes()
+    elif len(frames) > 1:  # one of them is another kind of PCM
+        for k in frames:
+            out[k] = encode_pcm([every[k]])[0]
+    return out
+
+
+def decode_pcm(every: list[bytes]) -> list[np.ndarray]:
+    """The PCM that encode_pcm() was given; what an adaptive quantiser told goes through one recursion."""
+    out, codes, anew = [], {}, {}
+    for k, data in enumerate(every):
+        tag = data[0]
+        if tag == ADPCM:
+            size = struct.unpack_from("<I", data, 1)[0]
+            codes[k] = np.frombuffer(data, np.uint8, size, 5).reshape(-1, FRAME - 1)
+            anew[k] = np.zeros_like(codes[k])
+            anew[k][codes[k] >= ANEW] = np.frombuffer(data, np.uint8, offset=5 + size)
+            out.append(None)
+        else:
+            out.append(np.frombuffer(data, np.int16, offset=1) if tag == PLAIN else resample(TABLES[tag][np.frombuffer(data, np.uint8, offset=1)]))
+    if codes:
+        frames = _followed(np.concatenate(list(codes.values())), np.concatenate(list(anew.values())))
+        for k, own in zip(codes, np.split(frames, np.cumsum([len(x) for x in codes.values()])[:-1])):
+            out[k] = resample(own.ravel())
+    return out
+
+
 def store(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes (unpadded) and media (a WAV per text; equal texts, equal media).
 
@@ -151,6 +268,9 @@ def _decoded(found: list[tuple[int, bytes]]) -> list[np.ndarray]:
     return [next(pcm).ravel() if t == ADPCM else TABLES[t][np.frombuffer(d, np.uint8)] for t, d in found]
 
 
+PCM_COLUMNS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, format long, pcm binary"
+
+
 def resampled(media: DataFrame) -> DataFrame:
     """pcm (16-bit little-endian at 16 kHz) of stored media, with format and the digest of what was read back."""
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "format", "pcm"]
@@ -167,8 +287,7 @@ def resampled(media: DataFrame) -> DataFrame:
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), types[2:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, format long, pcm binary"
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(made, schema)
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(made, PCM_COLUMNS)
 
 
 def described(pcm: DataFrame) -> DataFrame:
@@ -185,7 +304,33 @@ def described(pcm: DataFrame) -> DataFrame:
     return pcm.select(*kept, "format", "pcm").mapInArrow(made, schema)
 
 
+def coded(pcm: DataFrame) -> DataFrame:
+    """resampled() as it lies on disk: each pcm by encode_pcm()."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 8, 8_000_000):
+            data = encode_pcm([np.frombuffer(x.as_buffer(), "<i2") for x in batch.column(8)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:8], pa.array(data, pa.binary())], names=batch.schema.names)
+
+    return pcm.mapInArrow(made, PCM_COLUMNS)
+
+
+def uncoded(stored: DataFrame) -> DataFrame:
+    """What coded() was given."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 8, 2_000_000):
+            data = [x.tobytes() for x in decode_pcm(batch.column(8).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:8], pa.array(data, pa.binary())], names=batch.schema.names)
+
+    return stored.mapInArrow(made, PCM_COLUMNS)
+
+
+#: How both tables are written: repeats are found over pages of 8 MB.
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6", "parquet.page.size": str(8 << 20)}
+
+
 def telephony(docs: DataFrame) -> DataFrame:
     """Store every text as telephony audio, store the PCM of what is read back, and describe both."""
-    media = staged(store(docs), "media", compression="zstd")
-    return described(staged(resampled(media), "pcm", compression="zstd"))
+    media = staged(store(docs), "media", **PACKED)
+    return described(staged(resampled(media), "pcm", codec=(coded, uncoded), **PACKED))

@@ -35,12 +35,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def staged(df: DataFrame, name: str, batch_rows: int | None = None, **options: str) -> DataFrame:
+Codec = tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]
+
+
+def staged(df: DataFrame, name: str, batch_rows: int | None = None, codec: Codec | None = None, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: what follows survives a lost executor without running
     the stages before it again, and several readers share one computation. ``options`` go to the writer.
-    ``batch_rows`` bounds the rows of an Arrow batch while it is written, for tables with wide rows.
+    ``batch_rows`` bounds the rows of an Arrow batch while it is written, for tables with wide rows. With ``codec`` the
+    first function makes what lies on disk, the second ``df`` from it again.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
@@ -48,12 +52,14 @@ def staged(df: DataFrame, name: str, batch_rows: int | None = None, **options: s
     if batch_rows:
         before = spark.conf.get(conf)
         spark.conf.set(conf, batch_rows)
+    pack, unpack = codec or (lambda x: x, lambda x: x)
+    packed = pack(df)
     try:
-        df.write.options(**options).parquet(path)
+        packed.write.options(**options).parquet(path)
     finally:
         if before:
             spark.conf.set(conf, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return unpack(spark.read.schema(packed.schema).parquet(path))
 
 
 def forget(*frames: DataFrame) -> None:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import time
@@ -108,6 +109,34 @@ def test_pcm_is_stored_and_described_as_read_back(docs, monkeypatch):
         assert f"crc={zlib.crc32(r.pcm)}" in found[r.doc_id, r.payload_sha256]
 
 
+def test_pcm_is_stored_in_few_bytes_and_without_loss(docs, monkeypatch):
+    np, sizes, encode = audio.np, Counter(), audio.encode_pcm
+    text = " ".join(t for k, t in ROWS if (k or 0) >= 10).encode()
+    data = text + b"\xff" * (-len(text) % audio.UNIT)
+    every = [audio.resample(audio._decoded([audio.parse(audio.wav(data[k:] + data[:k], tag))])[0].ravel()) for tag in audio.FORMATS for k in (0, 1)]
+    for pcm, found in zip(every, encode(every)):
+        assert found[0] != audio.PLAIN and len(found) < pcm.nbytes / 3
+        assert np.array_equal(audio.decode_pcm([found])[0], pcm)
+    noise = np.frombuffer(bytes(R.randrange(256) for _ in range(2 * 65 * 40)), "<i2")
+    framed = np.where(np.arange(len(noise)) % 65 == 0, 0, noise).astype(np.int16)
+    odd = [noise, noise[:0], noise[:1], audio.resample(noise), audio.resample(framed), audio.resample(framed // 512), *every]
+    assert all(np.array_equal(a, b) for a, b in zip(audio.decode_pcm(encode(odd)), odd))
+    assert encode(odd)[-1][0] == encode(every)[-1][0] == audio.ADPCM  # whatever else is in the batch
+
+    folders, write = {}, audio.staged
+
+    def staged(df, name, **options):
+        return folders.setdefault(name, write(df, name, **options))
+
+    monkeypatch.setattr(audio, "staged", staged)
+    assert audio.telephony(docs).count() == len(ROWS)
+    folders["plain"] = write(audio.resampled(folders["media"]), "plain", compression="zstd")
+    for name in ("pcm", "plain"):
+        for path in folders[name].inputFiles():
+            sizes[name] += os.path.getsize(path.removeprefix("file://"))
+    assert sizes["pcm"] < 0.7 * sizes["plain"], sizes
+
+
 def test_join_matches_brute_force(docs):
     def grams(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
