@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,15 @@ class FieldMap:
     def widths(self) -> dict[str, int]:
         return {f.column: f.width for f in self.fields if f.width}
 
+    def wide(self) -> FieldMap:
+        """The map of the columns that have a width, and the key; a collection that has none, nor any below it, is left out."""
+
+        def kept(found: tuple[Collection, ...]) -> tuple[Collection, ...]:
+            own = (replace(c, fields=tuple(f for f in c.fields if f.width), children=kept(c.children)) for c in found)
+            return tuple(c for c in own if c.fields or c.children)
+
+        return replace(self, fields=tuple(f for f in self.fields if f.width or f.column in self.keys), collections=kept(self.collections))
+
     def walk(self) -> Iterator[tuple[Collection, Collection | None, list[str]]]:
         """Every collection with the one above it (None: the record) and the key of its rows, parents first."""
 

@@ -627,7 +627,8 @@ def c1_declared_columns(s, d):
 )
 def b5_declared_widths(s, d):
     """Columns of all declared tables that have values longer than declared."""
-    return validate.declared_widths(ingest.projected(shred.parsed(_whole_bodies(s, d)), DECLARED), DECLARED)
+    wide = DECLARED.wide()
+    return validate.declared_widths(ingest.projected(shred.parsed(_whole_bodies(s, d)), wide), wide)
 
 
 # ---- code lists: sizes of brands as waste codes, regions as districts with their nations as counties ----

@@ -1,7 +1,9 @@
 import pytest
 
+from palimpsest.fieldmap import Collection, Field, FieldMap
 from palimpsest.operators import merge, probe, reads, shred, validate
-from palimpsest.plans import load_plan
+from palimpsest.plans import apply_queries, load_plan
+from palimpsest.record_map import DECLARED
 from palimpsest.sources import snapshot
 from palimpsest.streaming import ingest
 
@@ -97,3 +99,19 @@ def test_bodies_are_made_and_read_by_many_tasks(spark):
     from palimpsest.plans import apply_queries
 
     assert len(apply_queries._whole_bodies(spark, "/root/testdata/sf0.001").inputFiles()) > 4
+
+
+def test_widths_are_taken_of_the_columns_that_have_one(spark, monkeypatch):
+    f = FieldMap(("id",), (Field("id", "$.id", "int"), Field("a", "$.a", width=1), Field("b", "$.b", "date")), (Collection("c", "$.c", (Field("x", "$.x", "date"),), (Collection("d", "$.d", (Field("y", "$", width=1),), (), "place"),)), Collection("e", "$.e", (Field("z", "$"),))))
+    assert [x.column for x in f.wide().fields] == ["id", "a"] and [(c.name, c.payload) for c, *_ in f.wide().walk()] == [("c", []), ("d", ["y"])]
+    body = '{"id": 1, "a": "xy", "b": "2020-01-01", "c": [{"x": "2020-01-01", "d": ["u", "vwx"]}], "e": ["many"]}'
+    df = spark.createDataFrame([(body,)], "body string")
+    read = [validate.declared_widths(ingest.projected(shred.parsed(df), m), m) for m in (f, f.wide())]
+    assert sorted(map(tuple, read[0].collect())) == sorted(map(tuple, read[1].collect())) == [("d", "y", 1, 1, 3), ("record", "a", 1, 1, 2)]
+
+    seen, projected = [], ingest.projected
+    monkeypatch.setattr(ingest, "projected", lambda records, fields: seen.append(fields) or projected(records, fields))
+    apply_queries.b5_declared_widths(spark, "/root/testdata/sf0.001")
+    columns = [x for m in seen for own in (m.fields, *(c.fields for c, *_ in m.walk())) for x in own]
+    assert columns and all(x.width or x.column in DECLARED.keys for x in columns)
+    assert seen[0].widths == DECLARED.widths and [c.name for c, *_ in seen[0].walk()] == [c.name for c, *_ in DECLARED.walk()]
