@@ -12,6 +12,7 @@ from palimpsest import code_lists
 from palimpsest.fieldmap import Collection, Field, FieldMap
 from palimpsest.functions import keys
 from palimpsest.operators import cascade, journal, merge, scan, shred, validate
+from palimpsest.plans import apply_queries
 from palimpsest.sources import buckets
 from palimpsest.streaming import ingest
 
@@ -396,3 +397,21 @@ def test_keys_are_plain_text_when_they_are_compared(spark, mirror):
     both = keys.joined(t, b, ["k"])
     assert {r.v: r.w for r in both.collect()} == {1: 1, 2: 2}
     assert "collat" not in both._jdf.queryExecution().toString().lower()
+
+
+def test_a_month_of_any_size_lands_as_bodies_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(apply_queries, "BODY", 5)
+    sf = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    most = orders.groupBy(F.date_format("o_orderdate", "yyyyMM")).count().agg(F.max("count")).first()[0]
+    sizes = [r[0] for r in apply_queries._envelopes(spark, sf, False).select(F.json_array_length("value")).collect()]
+    assert most > 12 and max(sizes) < most and sum(sizes) == orders.count()
+    load = apply_queries.a6_landed_load(spark, sf)
+    monkeypatch.undo()
+    assert load.exceptAll(apply_queries.a6_landed_load(spark, sf)).count() == 0 and load.count() == orders.count()
+
+
+def test_an_array_is_told_whatever_blanks_come_first(spark):
+    given = {"[]": "array", " \t\r\n[1, {}]": "array", "[1": "malformed", " {}": "not_array", '"["': "not_array", "null": "not_array", '[{"a": 1, "a": 2}]': "malformed", None: "missing"}
+    df = validate.array_check(spark.createDataFrame([(b,) for b in given], "body string"))
+    assert {r.body: r.body_state for r in df.collect()} == given
