@@ -2,8 +2,8 @@
 
 Rare-first prefix filtering: in an order with the rare n-grams first, two sets that are similar
 enough share one within their prefixes. Documents with equal sets are one node. Prefix n-grams that
-a single set has are dropped by a bitmap of fixed size; the rest is joined under a length, a
-positional and a suffix filter. Nodes that share an n-gram first meet one leader each, so that a
+no other set of a size that may link has are dropped once they are sorted; the rest is joined under a
+length, a positional and a suffix filter. Nodes that share an n-gram first meet one leader each, so that a
 large group of near copies becomes one component before the pairs between components, all of them,
 are met; each pair is verified once, on its whole sets. Sets are made from the texts where they are
 needed and kept only for the pairs of a round.
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import bit_set, forget, slices, staged, texts_of
@@ -29,10 +29,11 @@ PERCENT = 75  # similarity of 0.75 or more, in hundredths
 HEAVY = 131_072  # frequent n-grams that come last in the order, at most; any order gives the same links
 LOCAL = 3  # documents of one task that have an n-gram, for it to count as frequent there
 HELD = 4_000_000  # n-grams that a task counts at a time
-BITMAP = 1 << 26  # bits of the filter of shared n-grams; past its size it lets more through, never fewer
-SLOTS = 1 << 23  # bits of the filter of the texts whose sets are wanted; past its size it lets more through, never fewer
+SLOTS = 1 << 23, 1 << 28  # bits of the filter of the texts whose sets are wanted, at least and at most
+SPREAD = 64  # bits of it a text that is wanted; past the most it lets more through, never fewer
 CELLS = 256  # cells of a set's profile for the suffix filter
 PARITY = ("p0", "p1", "p2", "p3")
+PLACE = ("left", "rest", "own", "end")
 SMALL = 32  # nodes with a common n-gram whose pairs are all met in one round
 ROUNDS = 2  # leader rounds; then all pairs of the larger groups are met, in bands of set size
 
@@ -141,6 +142,11 @@ class Order:
         by = np.argsort(grams)
         self.grams, self.counts = grams[by], counts[by]
 
+    def late(self, s: np.ndarray) -> np.ndarray:
+        if not len(self.grams):
+            return np.zeros(len(s), bool)
+        return self.grams[np.minimum(np.searchsorted(self.grams, s), len(self.grams) - 1)] == s
+
     def prefix(self, s: np.ndarray, percent: int) -> np.ndarray:
         if not len(s):
             return s
@@ -153,62 +159,52 @@ class Order:
 
 
 def prefixes(docs: DataFrame, order: Order, percent: int) -> DataFrame:
-    """h1, n and prefix (n-grams in order, 64 bits each) of each set, once a task."""
+    """gram, h1 and n (of the set), pos and late (a frequent one) of the n-grams in the prefix of each set, once a task."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, 0):
-            names, sizes, found = [], [], []
+            names, sizes, found = [], [], [np.empty(0, np.uint64)]
             for t in dict.fromkeys(texts_of(batch.column(0))):
                 s = shingles(t)
                 h1 = _name(s)[0]
                 if len(s) and h1 not in seen:
-                    if len(seen) < 200_000:  # copies beyond are merged later
+                    if len(seen) < 200_000:  # copies beyond are dropped later
                         seen.add(h1)
                     names.append(h1)
                     sizes.append(len(s))
-                    found.append(order.prefix(s, percent).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())], names=["h1", "n", "prefix"])
-
-    return docs.select("text").mapInArrow(made, "h1 long, n long, prefix binary")
-
-
-def _bits(grams: np.ndarray) -> np.ndarray:
-    return (grams & np.uint64((1 << 31) - 1)).astype(np.int32)
-
-
-def prefix_bits(found: DataFrame) -> DataFrame:
-    """31 bits (bit) of every prefix n-gram."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_bits(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)))], names=["bit"])
+                    found.append(order.prefix(s, percent))
+            many = np.array([len(x) for x in found[1:]], np.int64)
+            pos = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            grams = np.concatenate(found)
+            columns = [grams.view(np.int64), np.repeat(np.array(names, np.int64), many), np.repeat(np.array(sizes, np.int32), many), pos.astype(np.int32), order.late(grams)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "h1", "n", "pos", "late"])
 
-    return found.select("prefix").mapInArrow(made, "bit int")
+    return docs.select("text").mapInArrow(made, "gram long, h1 long, n int, pos int, late boolean")
 
 
-def postings(found: DataFrame, only: np.ndarray) -> DataFrame:
-    """gram, h1, pos and rest of the prefix n-grams whose bit is set in ``only``.
+def postings(found: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """gram, node, n, left, rest, own and end of the prefix n-grams that another prefix has too, of a set of a size that may link.
 
-    What the bitmap drops no other set has, so it counts in no overlap: ``pos`` is the number of kept
-    n-grams before this one in the prefix, ``rest`` of those that may be common after it, to the set's end.
+    left: how many n-grams of the set come after this one; rest: those of them that were kept or lie behind
+    the prefix; own: n-grams of the prefix that were not kept; end: 31 bits of the order's place where the
+    prefix ends. The n-grams are sorted by themselves, so what is dropped doesn't depend on how many there are.
     """
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            each = batch.column(2).to_pylist()
-            grams = np.frombuffer(b"".join(each), np.uint64)
-            n = np.array([len(x) // 8 for x in each], np.int64)
-            owner = np.repeat(np.arange(len(n)), n)
-            kept = _test(only, _bits(grams) & (BITMAP - 1))
-            at, owner = np.flatnonzero(kept), owner[kept]
-            many = np.bincount(owner, minlength=len(n))
-            pos = np.arange(len(at)) - (np.cumsum(many) - many)[owner]
-            size = batch.column(1).to_numpy() - n + many  # without those dropped
-            columns = [grams[at].view(np.int64), batch.column(0).to_numpy()[owner], pos.astype(np.int32), (size[owner] - pos - 1).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "h1", "pos", "rest"])
-
-    return found.select("h1", "n", "prefix").mapInArrow(made, "gram long, h1 long, pos int, rest int")
+    group = Window.partitionBy("gram").orderBy("n", "h1")
+    behind = (F.ceil(F.col("n") * percent / 100) - 1).cast("int")  # n-grams after the prefix
+    last = F.col("pos") + behind + 1 == F.col("n")  # tells where the prefix ends, kept or not
+    several = found.withColumns({"before": F.lag("h1").over(group), "after": F.lead("h1").over(group)})
+    several = several.filter((F.col("before").isNotNull() | F.col("after").isNotNull() | last) & ~F.col("before").eqNullSafe(F.col("h1")))  # of copies one
+    near = several.withColumns({"less": F.lag("n").over(group), "more": F.lead("n").over(group)})  # the next in size are the likeliest to link
+    shared = _sizes_may_link(F.col("less"), F.col("n"), percent) | _sizes_may_link(F.col("n"), F.col("more"), percent)
+    near = near.withColumn("kept", F.coalesce(shared, F.lit(False))).filter(F.col("kept") | last)
+    own = Window.partitionBy("h1", "n")
+    place = F.when(F.col("late"), (1 << 31) - 1).otherwise(F.shiftrightunsigned("gram", 33)).cast("int")
+    each = {"before": F.row_number().over(own.orderBy("pos")), "many": F.count_if("kept").over(own), "end": F.max(F.when(last, place)).over(own)}
+    kept = near.select("gram", "h1", "n", "pos", "kept", "late").withColumns(each).filter("kept")
+    table = kept.join(nodes.select("h1", "node", F.col("n").cast("int").alias("n")), ["h1", "n"])
+    left, rest, own = F.col("n") - F.col("pos") - 1, behind + F.col("many") - F.col("before"), F.col("n") - behind - F.col("many")
+    return table.select("gram", "node", "n", left.alias("left"), rest.cast("int").alias("rest"), own.cast("int").alias("own"), "end")
 
 
 def _test(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -220,16 +216,22 @@ def _overlap_needed(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent))
 
 
+def _sizes_may_link(less: Column, more: Column, percent: int) -> Column:
+    return 100 * less.cast("long") >= percent * more.cast("long")
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Length and positional filter for two sets that share the n-gram at a.pos and b.pos.
+    """Length and positional filter for two sets that share an n-gram.
 
     The first n-gram in the order that two sets share has all others after it in both. So a pair that
-    links passes at its first common n-gram; at later ones it need not.
+    links passes at its first common n-gram; at later ones it need not. Of the set whose prefix ends
+    first, an n-gram that was not kept is common with no set that may link: the other's prefix would have it. Of the
+    other set it may be, since it may lie behind the first one's prefix; so that one's ``rest`` bounds nothing.
     """
     an, bn = F.col(f"{a}.n"), F.col(f"{b}.n")
-    length = (100 * F.least(an, bn)) >= (percent * F.greatest(an, bn))
-    position = F.least(f"{a}.rest", f"{b}.rest") + 1 >= _overlap_needed(an, bn, percent)
-    return length & position & (F.col(f"{a}.comp") != F.col(f"{b}.comp"))
+    first = F.when(F.col(f"{a}.end") < F.col(f"{b}.end"), F.col(f"{a}.rest")).when(F.col(f"{a}.end") > F.col(f"{b}.end"), F.col(f"{b}.rest")).otherwise(F.greatest(f"{a}.rest", f"{b}.rest"))
+    position = F.least(first, f"{a}.left", f"{b}.left") + 1 >= _overlap_needed(an, bn, percent)
+    return _sizes_may_link(F.least(an, bn), F.greatest(an, bn), percent) & position & (F.col(f"{a}.comp") != F.col(f"{b}.comp"))
 
 
 def led(table: DataFrame, percent: int, seed: int) -> DataFrame:
@@ -239,8 +241,8 @@ def led(table: DataFrame, percent: int, seed: int) -> DataFrame:
     """
     rank = F.xxhash64("node", F.lit(seed))
     if seed == 0:
-        rank = (F.col("n") - F.col("pos") - F.col("rest")).cast("long") * (1 << 32) + F.pmod(rank, F.lit(1 << 32))
-    chief = table.groupBy("gram").agg(*(F.min_by(c, rank).alias(c) for c in ("node", "n", "pos", "rest", "comp"))).alias("a")
+        rank = F.col("own").cast("long") * (1 << 32) + F.pmod(rank, F.lit(1 << 32))
+    chief = table.groupBy("gram").agg(*(F.min_by(c, rank).alias(c) for c in ("node", "n", *PLACE, "comp"))).alias("a")
     pairs = table.alias("b").join(chief, F.col("a.gram") == F.col("b.gram")).filter((F.col("a.node") != F.col("b.node")) & _may_link("a", "b", percent))
     return pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
@@ -309,14 +311,20 @@ def profiled(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return p.select("a", "b", "an", "bn", "ap", "bp").mapInArrow(passed, "a long, b long")
 
 
+def slots_for(wanted: int) -> int:
+    """Bits of the filter for so many texts, so that it lets through of the others one in SPREAD at most."""
+    return min(max(SLOTS[0], 1 << (SPREAD * wanted - 1).bit_length()), SLOTS[1])
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """slot, h1, h2 and grams of the texts that ``wanted`` (seen) names, once a task; a bitmap of fixed size picks the texts."""
-    only = bit_set(wanted.select(F.pmod("seen", F.lit(SLOTS)).alias("bit")), SLOTS)
+    """slot, h1, h2 and grams of the texts that ``wanted`` (seen) names, once a task; a bitmap picks the texts."""
+    size = slots_for(wanted.count())
+    only = bit_set(wanted.select(F.pmod("seen", F.lit(size)).alias("bit")), size)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, known = TaskContext.get().partitionId() << 33, set()
         for batch in batches:
-            picked = batch.filter(pa.array(_test(only, batch.column(1).to_numpy() % SLOTS)))
+            picked = batch.filter(pa.array(_test(only, batch.column(1).to_numpy() % size)))
             for part in slices(iter([picked]), 0):
                 rows = []
                 for t, seen in zip(texts_of(part.column(0)), part.column(1).to_pylist()):
@@ -370,18 +378,14 @@ def link_components(docs: DataFrame, percent: int = PERCENT, key: Column | None
     nodes = found.filter("kind = 0 and n > 0").groupBy("h1", "h2", "n").agg(F.min("seen").alias("seen"), *(F.any_value(c).alias(c) for c in ("profile", *PARITY)))
     nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    prefix = staged(prefixes(docs, order, percent), "prefixes")
-    shared = prefix_bits(prefix).groupBy("bit").count().filter("count > 1").select(F.col("bit").bitwiseAND(BITMAP - 1).alias("bit"))
-    own = postings(prefix, bit_set(shared, BITMAP)).join(nodes.select("h1", "node", F.col("n").cast("int").alias("n")), "h1")
-    table = staged(own.groupBy("gram", "node", "n").agg(F.min("pos").alias("pos"), F.max("rest").alias("rest")), "postings")
-    forget(prefix)
+    table = staged(postings(prefixes(docs, order, percent), nodes, percent), "postings")
 
     comp = tried = None
     for k in range(ROUNDS + 1):
         if comp is None:
             pairs = led(table.withColumn("comp", F.col("node")), percent, 0)
         else:
-            left = table.join(comp, "node", "left").select("gram", "node", "n", "pos", "rest", F.coalesce("comp", "node").alias("comp"))
+            left = table.join(comp, "node", "left").select("gram", "node", "n", *PLACE, F.coalesce("comp", "node").alias("comp"))
             groups = left.groupBy("gram").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
             groups = groups.filter("lo <> hi and members > 2")  # a group of two is settled by the first round
             left = staged(left.join(groups.select("gram", "members"), "gram"), "open")
@@ -390,7 +394,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT, key: Column | None
             small, table = left.filter(last), left.filter(~last)
             pairs = met(small, nodes, percent).union(led(table, percent, k)).distinct()
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            table = table.select("gram", "node", "n", "pos", "rest")
+            table = table.select("gram", "node", "n", *PLACE)
         pairs = staged(profiled(pairs, nodes, percent), "pairs")
         links = verified(docs, nodes, pairs, percent)
         tried = pairs if tried is None else tried.union(pairs)

@@ -154,6 +154,49 @@ def test_join_matches_brute_force(docs):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()) == want
 
 
+def test_join_loses_no_link_near_the_threshold(spark):
+    # Pairs of about 0.75 to 0.9, of other lengths, each in several copies over several tasks; words that many texts share.
+    rows, sets = [], []
+    for _ in range(250):
+        w = [f"w{R.randrange(4000)}" for _ in range(R.randint(20, 120))]
+        x = w[R.randint(0, 4) : len(w) - R.randint(0, 4)]
+        for _ in range(R.randint(0, 1 + len(x) // 60)):
+            x[R.randrange(len(x))] = f"w{R.randrange(4000)}"
+        rows += [" ".join(w), " ".join(x), " ".join(w).upper()]
+    for t in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)})
+    pairs = [(a, b) for a in range(0, len(rows), 3) for b in (a + 1, a + 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert len(pairs) > 350
+    want = {k: k for k in range(len(rows))} | {b: a for a, b in pairs}
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()} == want
+
+
+def test_join_stores_what_may_link_only(spark, monkeypatch):
+    # Copies in several tasks, and a passage in texts of very different length: no other set that may link has their n-grams.
+    texts = [" ".join(f"t{k}w{n}" for n in range(60)) for k in range(40)]
+    rows = [t for t in texts for _ in range(4)] + [" ".join(texts[k].split()[:20]) for k in range(40)]
+    folders, write = {}, ngram_join.staged
+
+    def staged(df, name, **options):
+        folders.setdefault(name, []).append(out := write(df, name, **options))
+        if name == "postings":
+            folders["stored"] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", staged)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    assert len({r.component_id for r in ngram_join.near_duplicates(docs).collect()}) == 80
+    assert folders["stored"] == 0 and "prefixes" not in folders
+
+
+def test_filter_of_wanted_texts_grows_with_them():
+    assert ngram_join.slots_for(0) == ngram_join.slots_for(30_000) == ngram_join.SLOTS[0]
+    assert all(ngram_join.slots_for(n) >= 64 * n for n in (131_072, 131_073, 2_000_000))
+    assert ngram_join.slots_for(10**9) == ngram_join.SLOTS[1]
+
+
 def test_keep_one_loses_no_document(spark):
     a, b, c, d = (prose(60) for _ in range(4))
     # No ids; one id with several texts, one of them in another's group; a group without any id; repeats; no words.
