@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import time
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ from palimpsest.fieldmap import Collection, Field, FieldMap
 from palimpsest.functions import keys
 from palimpsest.operators import cascade, journal, merge, scan, shred, validate
 from palimpsest.plans import apply_queries
-from palimpsest.sources import buckets
+from palimpsest.sources import buckets, workspace
 from palimpsest.streaming import ingest
 
 R = random.Random(3)
@@ -415,3 +416,63 @@ def test_an_array_is_told_whatever_blanks_come_first(spark):
     given = {"[]": "array", " \t\r\n[1, {}]": "array", "[1": "malformed", " {}": "not_array", '"["': "not_array", "null": "not_array", '[{"a": 1, "a": 2}]': "malformed", None: "missing"}
     df = validate.array_check(spark.createDataFrame([(b,) for b in given], "body string"))
     assert {r.body: r.body_state for r in df.collect()} == given
+
+
+def parquet_below(*folders):
+    return {str(p) for folder in folders for p in Path(folder).rglob("*.parquet")}
+
+
+def shuffle_files(spark):
+    return {p.name for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for p in Path(d).rglob("shuffle_*.data")}
+
+
+def test_a_load_leaves_its_tables_and_nothing_else(spark, tmp_path, monkeypatch):
+    """The stored records, the rows of all plans and the shuffles stayed on disk, several times what the tables take."""
+    share, root, folder = (str(tmp_path / x) for x in ("share", "m", "in"))
+    monkeypatch.setattr(workspace, "folder", lambda s: share)
+    ingest.create(spark, root, MAP, 2)
+    put(folder, "a.json", [{"id": f"a{k}", "seq": 1, "owners": [{"name": "x"}]} for k in range(50)])
+    before = shuffle_files(spark)
+    ingest.land(spark, folder, root, MAP, str(tmp_path / "cp")).awaitTermination()
+    assert len(live(spark, root, "owner", "id")) == 50 and not parquet_below(share, f"{root}/plans")
+    for _ in range(50):  # their removal isn't waited for
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+
+    twice = spark.createDataFrame([("x", '[{"handler": {"id": "a", "seq": 1}}, {"handler": {"id": "a", "seq": 1}}]')], "path string, body string")
+    with pytest.raises(validate.BatchRefused):
+        ingest.apply(twice, root, MAP)
+    assert not parquet_below(share)
+
+
+def test_a_batch_reports_from_the_actions_of_its_plans_alone(spark, tmp_path, monkeypatch):
+    share, root = str(tmp_path / "share"), str(tmp_path / "m")
+    monkeypatch.setattr(workspace, "folder", lambda s: share)
+    ingest.create(spark, root, MAP, 2)
+    body = lambda n: spark.createDataFrame([("x", json.dumps([{"handler": {"id": f"a{k}", "seq": 1, "name": n, "owners": [{"name": n}]}} for k in range(9)]))], "path string, body string")
+    ingest.apply(body("old"), root, MAP).drop()
+    done = ingest.apply(body("new"), root, MAP)
+    assert {name: p.columns for name, p in done.plans.items()}["record_raw"] == ["id", "seq", "is_deleted", "action"]
+    assert len(buckets.vacuum(spark, root, keep=1)) >= 3 and len(os.listdir(f"{root}/plans")) == 1
+    report = merge.merge_report(done.plans, done.sent, MAP).first()
+    assert (report.elements, report.updated, report.raw_rows, report.child_rows) == (9, 9, 9, 9) and report.absent_collections == 1
+    done.drop()
+    assert not parquet_below(share, f"{root}/plans") and live(spark, root, "owner", "owner") == {("new",)}
+
+
+@pytest.mark.parametrize("query", ["a6_landed_load"])
+def test_a_load_by_query_keeps_one_state_of_its_tables(spark, tmp_path, monkeypatch, query):
+    """Bodies landed as plain text, and beside the tables stayed their earlier state, all plans, all bodies and all records."""
+    monkeypatch.setattr(workspace, "folder", lambda s: str(tmp_path))
+    apply_queries.QUERIES[query](spark, "/root/testdata/sf0.001").count()
+    [root] = tmp_path.glob("mirror-*")
+    assert not [p for name in ("given", "orders") for p in tmp_path.glob(f"{name}-*/*")]
+    assert all(len(list((root / "data" / name).iterdir())) == 1 for name in ("orders", "orders_raw", "line", "line_flag"))
+    if query == "a6_landed_load":
+        bodies = [p for p in root.glob("landed/**/part-*") if p.is_file()]
+        assert bodies and all(p.name.endswith(".txt.gz") for p in bodies) and not parquet_below(root / "plans") and not list(tmp_path.glob("landed-*/*"))
+    else:
+        assert len(list(tmp_path.glob("landed-*/*.parquet"))) and len(os.listdir(root / "plans")) == 1
