@@ -463,7 +463,7 @@ def test_a_batch_reports_from_the_actions_of_its_plans_alone(spark, tmp_path, mo
     assert not parquet_below(share, f"{root}/plans") and live(spark, root, "owner", "owner") == {("new",)}
 
 
-@pytest.mark.parametrize("query", ["a6_landed_load"])
+@pytest.mark.parametrize("query", ["a6_landed_load", "d7_merge_report"])
 def test_a_load_by_query_keeps_one_state_of_its_tables(spark, tmp_path, monkeypatch, query):
     """Bodies landed as plain text, and beside the tables stayed their earlier state, all plans, all bodies and all records."""
     monkeypatch.setattr(workspace, "folder", lambda s: str(tmp_path))
