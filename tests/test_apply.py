@@ -476,3 +476,31 @@ def test_a_load_by_query_keeps_one_state_of_its_tables(spark, tmp_path, monkeypa
         assert bodies and all(p.name.endswith(".txt.gz") for p in bodies) and not parquet_below(root / "plans") and not list(tmp_path.glob("landed-*/*"))
     else:
         assert len(list(tmp_path.glob("landed-*/*.parquet"))) and len(os.listdir(root / "plans")) == 1
+
+
+def test_stored_rows_are_dealt_once_when_their_buckets_are_written(spark):
+    """A join dealt them by key, whole bodies and all, and a second shuffle then by bucket."""
+    rows = lambda found: spark.createDataFrame([(k, v, hash(k and k.strip().lower()) % 3) for k, v in found], f"k string, v int, {buckets.BUCKET} int")
+    before = rows([(f"K{k}", k) for k in range(40)] + [(None, -1), (None, -2)])
+    new = rows([("k7 ", 70), ("K9", 90), ("new", 1), (None, -3)])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        after = buckets.replaced(before, new, ["k"], 3)
+        assert after._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+        got = sorted((r.k or "", r.v) for r in after.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    want = keys.anti(before, new, ["k"]).unionByName(new)
+    assert got == sorted((r.k or "", r.v) for r in want.collect()) and len(got) == 38 + 2 + 4 and after.columns == before.columns
+
+
+def test_a_large_commit_deals_its_buckets_in_passes(spark, mirror, monkeypatch):
+    """One write dealt all rows of a table at once, however large it was."""
+    b = spark.range(0, 1000, 2).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), (-F.col("id")).alias("v"))
+    dealt, replaced = [], buckets.replaced
+    monkeypatch.setattr(buckets, "replaced", lambda before, new, keys, hit: dealt.append(hit) or replaced(before, new, keys, hit))
+    monkeypatch.setattr(buckets, "PASS", 1)
+    buckets.commit(spark, mirror, {"b": change(b)})
+    assert dealt == [1, 1, 1]
+    assert {r.k: r.v for r in buckets.read(spark, mirror, "b").collect()} == {f"K{k}": k if k % 2 else -k for k in range(1000)}
