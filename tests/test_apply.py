@@ -495,12 +495,13 @@ def test_stored_rows_are_dealt_once_when_their_buckets_are_written(spark):
     assert got == sorted((r.k or "", r.v) for r in want.collect()) and len(got) == 38 + 2 + 4 and after.columns == before.columns
 
 
-def test_a_large_commit_deals_its_buckets_in_passes(spark, mirror, monkeypatch):
+@pytest.mark.parametrize("limit", ["PASS", "PASS_ROWS"])
+def test_a_large_commit_deals_its_buckets_in_passes(spark, mirror, monkeypatch, limit):
     """One write dealt all rows of a table at once, however large it was."""
     b = spark.range(0, 1000, 2).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), (-F.col("id")).alias("v"))
     dealt, replaced = [], buckets.replaced
     monkeypatch.setattr(buckets, "replaced", lambda before, new, keys, hit: dealt.append(hit) or replaced(before, new, keys, hit))
-    monkeypatch.setattr(buckets, "PASS", 1)
+    monkeypatch.setattr(buckets, limit, 1)
     buckets.commit(spark, mirror, {"b": change(b)})
     assert dealt == [1, 1, 1]
     assert {r.k: r.v for r in buckets.read(spark, mirror, "b").collect()} == {f"K{k}": k if k % 2 else -k for k in range(1000)}
